@@ -129,8 +129,9 @@ def parse_rows(staged: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     # The piece after the last delimiter is not a value.
     fits = F.size("values") - 1 == F.col("width")
     if mode == "FAILFAST":
-        problem = F.concat(F.lit("row width differs from header in "), F.col("file"))
-        rows = rows.where(F.when(fits, True).otherwise(F.raise_error(problem).cast("boolean")))
+        # In the projection, so that it is looked at only for rows inside a data section.
+        problem = F.raise_error(F.concat(F.lit("row width differs from header in "), F.col("file")))
+        rows = rows.withColumn("values", F.when(fits, F.col("values")).otherwise(problem))
     elif mode == "DROPMALFORMED":
         rows = rows.where(fits)
     else:

@@ -97,9 +97,9 @@ def append_registry(spark: SparkSession, entries: DataFrame, path: str) -> DataF
     try:
         known = spark.read.schema(REGISTRY_SCHEMA).parquet(path).select("_id")
         entries = entries.join(known, "_id", "left_anti")
-    except AnalysisException:
-        # No registry yet.
-        pass
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
     added = materialize(entries.select("_id", "filename", "colnames"))
     added.write.mode("append").parquet(path)
     return added
