@@ -112,10 +112,12 @@ def ar1_fill(
                     fits[c] = _fill(data[c][start:stop], fits.get(c))
             yield batch.assign(**data)
 
+    # A stated number of partitions: the fits are worth a task each, however few bytes they read.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         series_rows(df, key)
         .withColumns({c: F.col(c).cast("double") for c in values})
-        .repartition(*key)
+        .repartition(tasks, *key)
         .sortWithinPartitions(*key, *order_by)
     )
     return ordered.mapInPandas(stream, schema)

@@ -27,13 +27,14 @@ def universe(
     low, high = F.min(sector_column), F.max(sector_column)
     return rows.groupBy(company).agg(
         F.when(low.eqNullSafe(high), low)
-        .otherwise(F.raise_error(F.concat(F.lit("more than one sector for company "), F.first(company).cast("string"))))
+        .otherwise(F.raise_error(F.concat(F.lit("more than one sector for company "), F.col(company).cast("string"))))
         .alias(sector_column)
     )
 
 
 def in_universe(df: DataFrame, companies: DataFrame, company: str = K.COMPANY) -> DataFrame:
-    """Rows of the listed companies.  Spark broadcasts the list when its size allows."""
+    """Rows of the listed companies.  Pass the list through ``session.small_side`` to have its size
+    checked once; beyond the bound this is a shuffle join that adaptive execution splits on skew."""
     return df.join(companies.select(company), company, "left_semi")
 
 
@@ -120,10 +121,8 @@ def drop_peak(df: DataFrame, column: str = K.CAPEX, also: Sequence[str] = (K.CAP
     The maximum is a scalar subquery: one partial aggregate, one row.  NULL cells are kept.
     """
     peak = df.agg(F.max(column)).scalar()
-    hit = F.col(column).eqNullSafe(peak)
-    for c in also:
-        hit = hit | F.col(c).eqNullSafe(peak)
-    return df.where(peak.isNull() | ~hit)
+    hit = peak.isin([F.col(c) for c in (column, *also)])
+    return df.where(~F.coalesce(hit, F.lit(False)))
 
 
 def missing_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ def industry_codes(rows: DataFrame) -> DataFrame:
     """(level, code, label) without repeats; one code with two labels is an error."""
     low, high = F.min("label"), F.max("label")
     label = F.when(low.eqNullSafe(high), low).otherwise(
-        F.raise_error(F.concat(F.lit("more than one label for code "), F.first("code").cast("string")))
+        F.raise_error(F.concat(F.lit("more than one label for code "), F.col("code").cast("string")))
     )
     return rows.groupBy("level", "code").agg(label.alias("label"))
 
@@ -40,7 +40,7 @@ def label_companies(
 
 
 def attach_labels(df: DataFrame, labels: DataFrame, key: str = K.SERIES_ID) -> DataFrame:
-    """Left join of the labels.  Spark broadcasts them when their size allows."""
+    """Left join of the labels, best passed through ``session.small_side`` first."""
     return df.join(labels, key, "left").select(*df.columns, *[c for c in labels.columns if c != key])
 
 

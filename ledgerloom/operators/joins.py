@@ -37,7 +37,7 @@ def latest_revision(
     ``null_keys='drop'`` leaves out rows with a NULL key part (they cannot match in a join).
     """
     complete, incomplete = split_null_keys(df, keys)
-    kept = _at_top(complete, list(keys), revision).select(df.columns)
+    kept = _at_top(complete, selective_first(keys), revision).select(df.columns)
     if null_keys == "keep":
         # Here NULL equals NULL, which is how structs compare.
         tagged = incomplete.withColumn("__key", F.struct(*keys))
@@ -47,13 +47,20 @@ def latest_revision(
 
 def _at_top(df: DataFrame, keys: list[str], revision: str) -> DataFrame:
     top = df.groupBy(*keys).agg(F.max(revision).alias("__top"))
-    return df.join(top, keys).where(F.col(revision).eqNullSafe(F.col("__top")))
+    # Not an equality: the join then partitions by the key alone, and later joins reuse that.
+    return df.join(top, keys).where((F.col(revision) >= F.col("__top")) | F.col("__top").isNull())
+
+
+def selective_first(keys: Sequence[str]) -> list[str]:
+    """The same keys, company ids in front: a sort then mostly decides on its first column."""
+    return sorted(keys, key=lambda k: k not in (K.SERIES_ID, K.COMPANY))
 
 
 def join_no_dup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Equi-join in which a non-key column found on both sides is taken from the left."""
     shared = (set(left.columns) & set(right.columns)) - set(on)
-    return left.join(right.drop(*shared), list(on), how)
+    joined = left.join(right.drop(*shared), selective_first(on), how)
+    return joined.select(*on, *[c for c in joined.columns if c not in on])
 
 
 def join_statements(
@@ -92,7 +99,7 @@ def left_join_chain(
     """Left-join the tables and keep all columns; each table is addressable by its name."""
     base, *others = [name for name in order if name in tables]
     return reduce(
-        lambda out, name: out.join(tables[name].alias(name), list(keys), "left"),
+        lambda out, name: out.join(tables[name].alias(name), selective_first(keys), "left"),
         others,
         tables[base].alias(base),
     )

@@ -42,9 +42,9 @@ def filing_rank(
 def resolve(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], rank: Column | None = None) -> DataFrame:
     """One row per group with the decided value of each column.
 
-    First the smallest and largest value per (group, rank), then, per column, the pair of the
-    best rank that has a value.  Both steps aggregate before they shuffle, so a company with a
-    large share of all filings arrives as a handful of rows.
+    Per column, the smallest and the largest value among the filings of the best rank; both are
+    plain minimum and maximum of (rank, value).  They are merged before the one exchange, so a
+    company with a large share of all filings arrives as a handful of rows.
     """
     rows = df
     for g in group_by:
@@ -52,15 +52,20 @@ def resolve(df: DataFrame, group_by: Sequence[str], columns: Sequence[str], rank
     rows = rows.select(*group_by, *columns, (filing_rank() if rank is None else rank).alias(RANK))
     ends = []
     for i, c in enumerate(columns):
-        ends += [F.min(c).alias(f"__lo{i}"), F.max(c).alias(f"__hi{i}")]
-    per_rank = rows.groupBy(*group_by, RANK).agg(*ends)
-    best = []
-    for i in range(len(columns)):
-        known = F.when(F.col(f"__lo{i}").isNotNull(), F.col(RANK))
-        best += [F.min_by(f"__lo{i}", known).alias(f"__lo{i}"), F.min_by(f"__hi{i}", known).alias(f"__hi{i}")]
-    return per_rank.groupBy(*group_by).agg(*best).select(
-        *group_by,
-        *[F.when(F.col(f"__lo{i}") == F.col(f"__hi{i}"), F.col(f"__lo{i}")).alias(c) for i, c in enumerate(columns)],
+        known = F.col(c).isNotNull()
+        up = F.struct(F.col(RANK).alias("rank"), F.col(c).alias("value"))
+        down = F.struct((-F.col(RANK)).alias("rank"), F.col(c).alias("value"))
+        ends += [F.min(F.when(known, up)).alias(f"__lo{i}"), F.max(F.when(known, down)).alias(f"__hi{i}")]
+    return (
+        rows.groupBy(*group_by)
+        .agg(*ends)
+        .select(
+            *group_by,
+            *[
+                F.when(F.col(f"__lo{i}.value") == F.col(f"__hi{i}.value"), F.col(f"__lo{i}.value")).alias(c)
+                for i, c in enumerate(columns)
+            ],
+        )
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import keys as K
 from ..operators import clean, industry, panel, resolve
-from ..session import materialize, tune
+from ..session import materialize, small_side, tune
 
 
 def quarterly_panel(
@@ -19,7 +19,8 @@ def quarterly_panel(
 ) -> DataFrame:
     """Quarterly filings with industry labels, settled to one row per company and quarter."""
     rows = clean.quarterly_rows(clean.drop_suffixed(statements))
-    labels = industry.label_companies(info, industry.industry_codes(codes), industry_columns)
+    codes = small_side(industry.industry_codes(codes))
+    labels = small_side(industry.label_companies(info, codes, industry_columns))
     return resolve.resolve_quarterly(industry.attach_labels(rows, labels))
 
 

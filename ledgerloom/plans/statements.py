@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import keys as K
 from ..operators.clean import in_universe, period_between, universe
 from ..operators.joins import join_and_select, join_statements
-from ..session import tune
+from ..session import small_side, tune
 from ..sources.sinks import write_csv, write_parquet
 
 
@@ -26,7 +26,7 @@ def join_latest(
 
     Company and date filters are part of the key, so they run below the ranking, at the scans.
     """
-    companies = universe(info, sector)
+    companies = small_side(universe(info, sector))
     kept = {name: df.transform(period_between, low, high).transform(in_universe, companies) for name, df in tables.items()}
     return join_statements(kept, rank)
 
@@ -39,7 +39,7 @@ def join_selected(
     high: str | datetime.date = "2025-06-30",
 ) -> DataFrame:
     """All revisions of the statements with the sector code, reduced to the model columns."""
-    companies = universe(info, sector)
+    companies = small_side(universe(info, sector))
     kept = {name: df.transform(period_between, low, high).transform(in_universe, companies) for name, df in tables.items()}
     return join_and_select(kept, companies)
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, industry, joins
 from ..plans import statements as flows
+from ..session import small_side
 from . import standins as D
 from .catalog import plain, query, with_ctes
 
@@ -154,7 +155,7 @@ def output_projection(spark, folder):
         n: t.transform(clean.period_between, "1998-01-01", "2000-06-30")
         for n, t in _all_tables(spark, folder, ["is", "bs", "sard_cf"]).items()
     }
-    return plain(joins.join_and_select(tables, clean.universe(D.company_info(spark, folder)), SELECTED))
+    return plain(joins.join_and_select(tables, small_side(clean.universe(D.company_info(spark, folder))), SELECTED))
 
 
 @query(
@@ -169,7 +170,7 @@ def output_projection(spark, folder):
     ),
 )
 def universe_semi_join(spark, folder):
-    companies = clean.universe(D.company_info(spark, folder), 2)
+    companies = small_side(clean.universe(D.company_info(spark, folder), 2))
     rows = D.filings(spark, folder).transform(clean.period_between, "1995-12-31", "2001-03-31")
     kept = clean.in_universe(rows, companies)
     return plain(kept.select(*rows.columns[:8], "REVISION_ID", "SALES_REV_TURN"))
@@ -195,7 +196,7 @@ def distinct_companies(spark, folder):
 )
 def sector_join(spark, folder):
     rows = D.filings(spark, folder).select("ID_BB_COMPANY", "FISCAL_YEAR_PERIOD", "REVISION_ID", "SALES_REV_TURN")
-    return joins.add_sector(rows, clean.universe(D.company_info(spark, folder), 1))
+    return joins.add_sector(rows, small_side(clean.universe(D.company_info(spark, folder), 1)))
 
 
 @query(
@@ -232,8 +233,8 @@ def latest_join_flow(spark, folder):
     ),
 )
 def industry_labels(spark, folder):
-    codes = industry.industry_codes(D.code_rows(spark, folder))
-    labels = industry.label_companies(D.company_info(spark, folder), codes)
+    codes = small_side(industry.industry_codes(D.code_rows(spark, folder)))
+    labels = small_side(industry.label_companies(D.company_info(spark, folder), codes))
     rows = D.filings(spark, folder).select("ID_BB_UNIQUE", "FISCAL_YEAR_PERIOD", "REVISION_ID", "SALES_REV_TURN")
     return industry.attach_labels(rows, labels)
 

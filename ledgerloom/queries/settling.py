@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import group_quantiles
 from ..operators import clean, industry, resolve
 from ..plans import features
-from ..session import materialize
+from ..session import materialize, small_side
 from . import standins as D
 from .catalog import plain, query, with_ctes
 
@@ -153,8 +153,8 @@ _STAT_SQL = {
     ),
 )
 def industry_stats(spark, folder):
-    codes = industry.industry_codes(D.code_rows(spark, folder))
-    labels = industry.label_companies(D.company_info(spark, folder), codes, ["Industry_level_5_num"])
+    codes = small_side(industry.industry_codes(D.code_rows(spark, folder)))
+    labels = small_side(industry.label_companies(D.company_info(spark, folder), codes, ["Industry_level_5_num"]))
     rows = D.panel(spark, folder).select("ID_BB_UNIQUE", "Year", "Quarter", *STATS)
     # The panel feeds three steps, so it is written once.
     labelled = materialize(

@@ -16,6 +16,8 @@ SETTINGS = {
     # Join chains reuse one partitioning of the record key.  Without this flag a hot key in
     # the chain is left in one task, because splitting it costs the next join a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort a join whose build side is known, at run time, to be small per task.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
 
@@ -52,6 +54,11 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A dimension that several joins use: computed once, counted, broadcast within the bound."""
+    return broadcast_within(materialize(df), rows)
+
+
 def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` is within the bound; otherwise leave the join to AQE.
 
