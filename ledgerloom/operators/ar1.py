@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .ordered import floats, in_order, pieces
 from .panel import COMPANY, PERIOD, series_rows
 
 _GRID = np.linspace(-0.999, 0.999, 201)
@@ -100,24 +101,13 @@ def ar1_fill(
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, fits = None, {}
         for batch in batches:
-            if batch.empty:
-                continue
-            keys = list(batch[key].itertuples(index=False, name=None))
-            cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1]], len(keys)]
-            data = {c: batch[c].to_numpy(dtype="float64", na_value=np.nan, copy=True) for c in values}
-            for start, stop in zip(cuts, cuts[1:]):
-                if keys[start] != current:
-                    current, fits = keys[start], {}
+            data = {c: floats(batch, c) for c in values}
+            for name, start, stop in pieces(batch, key):
+                if name != current:
+                    current, fits = name, {}
                 for c in values:
                     fits[c] = _fill(data[c][start:stop], fits.get(c))
             yield batch.assign(**data)
 
-    # A stated number of partitions: the fits are worth a task each, however few bytes they read.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        series_rows(df, key)
-        .withColumns({c: F.col(c).cast("double") for c in values})
-        .repartition(tasks, *key)
-        .sortWithinPartitions(*key, *order_by)
-    )
-    return ordered.mapInPandas(stream, schema)
+    typed = series_rows(df, key).withColumns({c: F.col(c).cast("double") for c in values})
+    return in_order(typed, key, order_by).mapInPandas(stream, schema)

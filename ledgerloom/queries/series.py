@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators import ar1, impute, panel as P
+from pyspark.sql import functions as F
+
+from ..operators import ar1, impute, long_series as L, panel as P
 from ..plans import features
 from . import standins as D
 from .catalog import plain, query, with_ctes
@@ -134,8 +136,18 @@ def ema(spark, folder):
     return P.ema(rows, ["ARD_CAPITAL_EXPENDITURES"]).drop("ARD_CAPITAL_EXPENDITURES")
 
 
-def impute_sql(column: str, start: bool, end: bool, between: bool, name: str) -> list[str]:
+def impute_sql(
+    column: str,
+    start: bool,
+    end: bool,
+    between: bool,
+    name: str,
+    source: str = "panel",
+    series: str = "ID_BB_UNIQUE",
+    order: str = '"Year", "Quarter"',
+) -> list[str]:
     """CTEs that end in ``name`` (key, v): the chosen steps over one column."""
+    key = f"{series}, {order}"
     x1 = "CASE WHEN p < fp THEN fv ELSE x END" if start else "x"
     x2 = (
         "CASE WHEN p > lp THEN CASE WHEN cnt = 1 THEN lv ELSE ic + sl * (p - gp - 1) END ELSE x1 END" if end else "x1"
@@ -145,26 +157,26 @@ def impute_sql(column: str, start: bool, end: bool, between: bool, name: str) ->
         if between
         else "x2"
     )
-    g = "PARTITION BY ID_BB_UNIQUE"
+    g = f"PARTITION BY {series}"
     full = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
     n = name
     return [
-        f"{n}0 AS (SELECT {KEY_SQL}, {column} AS x, row_number() OVER ({W}) AS p FROM panel)",
+        f"{n}0 AS (SELECT {key}, {column} AS x, row_number() OVER (PARTITION BY {series} ORDER BY {order}) AS p FROM {source})",
         f"""{n}1 AS (SELECT *, MIN(CASE WHEN x IS NOT NULL THEN p END) OVER ({g}) AS fp,
               MAX(CASE WHEN x IS NOT NULL THEN p END) OVER ({g}) AS lp,
               first_value(x IGNORE NULLS) OVER ({g} ORDER BY p {full}) AS fv,
               last_value(x IGNORE NULLS) OVER ({g} ORDER BY p {full}) AS lv FROM {n}0)""",
         f"{n}2 AS (SELECT *, {x1} AS x1 FROM {n}1)",
         f"{n}3 AS (SELECT *, COALESCE(MAX(CASE WHEN x1 IS NULL AND p < lp THEN p END) OVER ({g}), 0) AS gp FROM {n}2)",
-        f"""{n}4 AS (SELECT ID_BB_UNIQUE, regr_slope(x1, p - gp - 1) AS sl, regr_intercept(x1, p - gp - 1) AS ic,
-              COUNT(*) AS cnt FROM {n}3 WHERE p > gp AND p <= lp GROUP BY ID_BB_UNIQUE)""",
-        f"{n}5 AS (SELECT {n}3.*, {x2} AS x2 FROM {n}3 LEFT JOIN {n}4 USING (ID_BB_UNIQUE))",
+        f"""{n}4 AS (SELECT {series}, regr_slope(x1, p - gp - 1) AS sl, regr_intercept(x1, p - gp - 1) AS ic,
+              COUNT(*) AS cnt FROM {n}3 WHERE p > gp AND p <= lp GROUP BY {series})""",
+        f"{n}5 AS (SELECT {n}3.*, {x2} AS x2 FROM {n}3 LEFT JOIN {n}4 USING ({series}))",
         f"""{n}6 AS (SELECT *, last_value(x2 IGNORE NULLS) OVER ({g} ORDER BY p ROWS UNBOUNDED PRECEDING) AS px,
               MAX(CASE WHEN x2 IS NOT NULL THEN p END) OVER ({g} ORDER BY p ROWS UNBOUNDED PRECEDING) AS pp,
               first_value(x2 IGNORE NULLS) OVER ({g} ORDER BY p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nx,
               MIN(CASE WHEN x2 IS NOT NULL THEN p END) OVER ({g} ORDER BY p ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np
               FROM {n}5)""",
-        f"{n} AS (SELECT {KEY_SQL}, {x3} AS v FROM {n}6)",
+        f"{n} AS (SELECT {key}, {x3} AS v FROM {n}6)",
     ]
 
 
@@ -197,3 +209,118 @@ _impute("impute_full", impute.fill_gaps, True, True, True)
 @query("ar1_impute")
 def ar1_impute(spark, folder):
     return plain(ar1.ar1_fill(_panel(spark, folder, GAPPED), GAPPED), 3)
+
+
+# Events of a user: an irregular series of any length, with a day as its block.
+def _ticks(spark, folder):
+    rows = D.table(spark, folder, "events").select(
+        "user_id",
+        "ts",
+        "event_id",
+        F.when(F.col("event_type") != "error", F.round(F.col("value") * 100)).alias("value"),
+    )
+    return rows, L.Series(("user_id",), ("ts", "event_id"), F.col("ts").cast("date"))
+
+
+TICKS_SQL = """ticks AS (SELECT user_id, ts, event_id,
+  CASE WHEN event_type <> 'error' THEN ROUND(value * 100) END AS value FROM events)"""
+TW = "PARTITION BY user_id ORDER BY ts, event_id"
+
+
+@query(
+    "long_lags",
+    with_ctes(
+        TICKS_SQL,
+        select=f"""SELECT event_id, value - LAG(value) OVER ({TW}) AS "value(q2q_diff)" FROM ticks""",
+    ),
+)
+def long_lags(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return L.first_diff(rows, ["value"], s).select("event_id", "value(q2q_diff)")
+
+
+@query(
+    "long_offsets",
+    with_ctes(
+        TICKS_SQL,
+        select=f"""SELECT event_id, LAG(value, 4) OVER ({TW}) AS back4, LAG(value, 1) OVER ({TW}) AS back1 FROM ticks""",
+    ),
+)
+def long_offsets(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return L.lags(rows, {"back4": ("value", 4), "back1": ("value", 1)}, s).select("event_id", "back4", "back1")
+
+
+@query(
+    "long_leads",
+    with_ctes(TICKS_SQL, select=f"SELECT event_id, LEAD(value) OVER ({TW}) AS value_lead1 FROM ticks"),
+)
+def long_leads(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return L.leads(rows, {"value_lead1": "value"}, s).select("event_id", "value_lead1")
+
+
+@query(
+    "long_rolling_avg",
+    with_ctes(
+        TICKS_SQL,
+        select=f"""SELECT event_id, AVG(value) OVER ({TW} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+                   AS "value(rolling_avg_5)" FROM ticks""",
+    ),
+)
+def long_rolling_avg(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return L.rolling_avg(rows, ["value"], s, 5).select("event_id", "value(rolling_avg_5)")
+
+
+@query(
+    "long_growth",
+    with_ctes(
+        TICKS_SQL,
+        f"f AS (SELECT user_id, ts, event_id, last_value(value IGNORE NULLS) OVER ({TW} ROWS UNBOUNDED PRECEDING) AS value FROM ticks)",
+        f"g AS (SELECT user_id, ts, event_id, (value / NULLIF(LAG(value) OVER ({TW}), 0) - 1) * 100 AS c FROM f)",
+        select=f"""SELECT event_id, c AS "value(q2q_pct_change)",
+                   CASE WHEN c IS NOT NULL THEN ROUND(product(1 + c / 100) OVER ({TW}), 9) END AS "value(q2q_cumulative_growth)"
+                   FROM g""",
+    ),
+)
+def long_growth(spark, folder):
+    rows, s = _ticks(spark, folder)
+    out = L.growth(rows, ["value"], s)
+    return out.select(
+        "event_id",
+        "value(q2q_pct_change)",
+        F.round("value(q2q_cumulative_growth)", 9).alias("value(q2q_cumulative_growth)"),
+    )
+
+
+@query(
+    "long_ema",
+    with_ctes(
+        TICKS_SQL,
+        f"n AS MATERIALIZED (SELECT user_id, event_id, value AS x, row_number() OVER ({TW}) AS rn FROM ticks)",
+        """e AS (SELECT user_id, event_id, rn, x AS y, CAST(1 AS DOUBLE) AS w FROM n WHERE rn = 1
+           UNION ALL SELECT s.user_id, s.event_id, s.rn,
+             CASE WHEN s.x IS NULL THEN e.y WHEN e.y IS NULL THEN s.x
+                  ELSE (e.w * 0.6 * e.y + 0.4 * s.x) / (e.w * 0.6 + 0.4) END,
+             CASE WHEN s.x IS NULL THEN e.w * 0.6 ELSE 1 END
+           FROM n s JOIN e ON s.user_id = e.user_id AND s.rn = e.rn + 1)""",
+        select='SELECT event_id, ROUND(y, 5) AS "value(ema_4)" FROM e',
+    ),
+)
+def long_ema(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return plain(L.ema(rows, ["value"], s, 4).select("event_id", "value(ema_4)"), 5)
+
+
+@query(
+    "long_fill_gaps",
+    with_ctes(
+        TICKS_SQL,
+        *impute_sql("value", True, True, True, "z", "ticks", "user_id", "ts, event_id"),
+        select="SELECT event_id, ROUND(v, 4) AS value FROM z",
+    ),
+)
+def long_fill_gaps(spark, folder):
+    rows, s = _ticks(spark, folder)
+    return plain(L.fill_gaps(rows, ["value"], s).select("event_id", "value"), 4)
