@@ -1,9 +1,10 @@
 """Latest revisions and the statement join chain.
 
-Two kinds of skew are handled without a salt of our own.  Rows whose key has a NULL part can
-never match, so they skip every join and are added back at the end.  Any other hot key is split
-by adaptive skew joins (see ``session.tune``), which works on map output and therefore also
-splits copies of one row and gives the same result when a task is repeated.
+Skew.  Rows whose record key has a NULL part can never match, so they skip every join and are added
+back at the end.  A hot key in the chain is split by adaptive skew joins (see ``session.tune``),
+which cut map output and so also split copies of one row and give the same rows when a task is
+repeated.  Ranking is one window when no key is hot; when one is, it becomes a join, which can be
+split the same way.
 """
 
 from __future__ import annotations
@@ -12,10 +13,15 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import keys as K
 
+# Rows of one key that a single task may hold.
+HOT_ROWS = 2_000_000
+# Keys the sketch follows: a key with more than about 1/75,000 of the rows is seen.
+TRACKED_KEYS = 100_000
+
 
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows with a complete key, rows with a NULL key part)."""
@@ -23,34 +29,50 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(~incomplete), df.where(incomplete)
 
 
+def hot_tables(tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int = HOT_ROWS) -> set[str]:
+    """Names of the tables in which one key has more than ``rows`` rows.
+
+    One job for all tables: a mergeable sketch of bounded size over the hashed key, so it reads
+    the key columns and shuffles nothing but the sketches.
+    """
+    hashed = [t.select(F.lit(name).alias("table"), F.xxhash64(*keys).alias("key")) for name, t in tables.items()]
+    top = (
+        reduce(DataFrame.unionAll, hashed)
+        .groupBy("table")
+        .agg(F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})").alias("top"))
+    )
+    return {r.table for r in top.where(F.col("top")[0]["count"] > rows).select("table").collect()}
+
+
 def latest_revision(
     df: DataFrame,
     keys: Sequence[str] = K.RECORD_KEYS,
     revision: str = K.REVISION,
-    null_keys: str = "keep",
+    hot: bool | None = None,
     rank_column: str | None = None,
 ) -> DataFrame:
     """Rows that carry the highest revision of their key; ties all stay.
 
-    This equals ``rank() over (partition by keys order by revision desc) = 1``, written as a
-    partial aggregate and a join so that no key, however many rows it has, ends up in one task.
-    ``null_keys='drop'`` leaves out rows with a NULL key part (they cannot match in a join).
+    ``hot`` says whether a key has too many rows for one task; ``None`` looks first.  Without a
+    hot key this is a rank, cut to the top before its one exchange.  With one, the top revision
+    per key is aggregated and joined back, and adaptive execution splits the hot key's rows.
     """
-    complete, incomplete = split_null_keys(df, keys)
-    kept = _at_top(complete, selective_first(keys), revision).select(df.columns)
-    if null_keys == "keep":
-        # Here NULL equals NULL, which is how structs compare.
-        tagged = incomplete.withColumn("__key", F.struct(*keys))
-        kept = kept.unionByName(_at_top(tagged, ["__key"], revision).select(df.columns))
+    if hot is None:
+        hot = bool(hot_tables({"rows": df}, keys))
+    if hot:
+        # NULL equals NULL here, which is how structs compare.  The struct also keeps the join from
+        # reusing the aggregate's partitioning: only a join directly over its shuffles can be split.
+        tagged = df.withColumn("__key", F.struct(*selective_first(keys)))
+        top = tagged.groupBy("__key").agg(F.max(revision).alias("__top"))
+        top = top.select(F.struct(F.col("__key")).alias("__key"), "__top")
+        joined = tagged.withColumn("__key", F.struct("__key")).join(top, "__key")
+        kept = joined.where((F.col(revision) >= F.col("__top")) | F.col("__top").isNull()).select(df.columns)
+    else:
+        w = Window.partitionBy(*selective_first(keys)).orderBy(F.col(revision).desc())
+        kept = df.withColumn("__rank", F.rank().over(w)).where(F.col("__rank") == 1).drop("__rank")
     return kept.withColumn(rank_column, F.lit(1)) if rank_column else kept
 
 
-def _at_top(df: DataFrame, keys: list[str], revision: str) -> DataFrame:
-    top = df.groupBy(*keys).agg(F.max(revision).alias("__top"))
-    # Not an equality: the join then partitions by the key alone, and later joins reuse that.
-    return df.join(top, keys).where((F.col(revision) >= F.col("__top")) | F.col("__top").isNull())
-
-
 def selective_first(keys: Sequence[str]) -> list[str]:
     """The same keys, company ids in front: a sort then mostly decides on its first column."""
     return sorted(keys, key=lambda k: k not in (K.SERIES_ID, K.COMPANY))
@@ -69,6 +91,7 @@ def join_statements(
     keys: Sequence[str] = K.RECORD_KEYS,
     order: Sequence[str] = K.STATEMENT_ORDER,
     revision: str = K.REVISION,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left-join the statement tables on the record key, left columns winning.
 
@@ -76,15 +99,20 @@ def join_statements(
     revisions, and the name of one table ranks that table alone and requires a match in it.
     """
     base, *others = [name for name in order if name in tables]
+    ranked = [name for name in (base, *others) if rank in ("all", name)]
+    # A window on one side of a join keeps the other side from being split, so one hot table is
+    # enough to rank all of them by join.
+    used = {name: tables[name] for name in (base, *others)}
+    hot = bool(ranked) and bool(hot_tables(used, keys, hot_rows))
     complete, incomplete = split_null_keys(tables[base], keys)
-    if rank in ("all", base):
-        complete = latest_revision(complete, keys, revision, null_keys="drop")
-        incomplete = latest_revision(incomplete, keys, revision)
+    if base in ranked:
+        complete = latest_revision(complete, keys, revision, hot)
+        incomplete = latest_revision(incomplete, keys, revision, hot)
     out = complete
     for name in others:
         right, _ = split_null_keys(tables[name], keys)
-        if rank in ("all", name):
-            right = latest_revision(right, keys, revision, null_keys="drop")
+        if name in ranked:
+            right = latest_revision(right, keys, revision, hot)
         out = join_no_dup(out, right, keys, "inner" if rank == name else "left")
     if rank in others:
         return out

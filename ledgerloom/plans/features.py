@@ -17,10 +17,17 @@ def quarterly_panel(
     codes: DataFrame,
     industry_columns: Sequence[str] = K.INDUSTRY_COLUMNS,
 ) -> DataFrame:
-    """Quarterly filings with industry labels, settled to one row per company and quarter."""
+    """Quarterly filings with industry labels, settled to one row per company and quarter.
+
+    A company with one set of labels has them on all its filings, so settling cannot change them
+    and they join the settled rows, of which there are far fewer.
+    """
     rows = clean.quarterly_rows(clean.drop_suffixed(statements))
     codes = small_side(industry.industry_codes(codes))
     labels = small_side(industry.label_companies(info, codes, industry_columns))
+    repeated = labels.groupBy(K.SERIES_ID).count().where("count > 1")
+    if repeated.isEmpty():
+        return industry.attach_labels(resolve.resolve_quarterly(rows), labels)
     return resolve.resolve_quarterly(industry.attach_labels(rows, labels))
 
 

@@ -75,7 +75,7 @@ def statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def unique_statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A statement table with one row per record key."""
     rows = statements(spark, folder, name)
-    return rows.groupBy(*rows.columns[:8]).agg(F.sum(money(f"V_{name}")).cast("double").alias(f"V_{name}"))
+    return rows.groupBy(*rows.columns[:8]).agg(F.sum(F.round(F.col(f"V_{name}") * 100).cast("long")).alias(f"V_{name}"))
 
 
 FILINGS_SQL = """filings AS (
@@ -124,7 +124,7 @@ def statements_sql(name: str) -> str:
 
 def unique_statements_sql(name: str) -> str:
     return (
-        f"u_{name} AS (SELECT {KEYS_SQL}, CAST(SUM(CAST(SALES_REV_TURN AS DECIMAL(18,2))) AS DOUBLE) AS V_{name} "
+        f"u_{name} AS (SELECT {KEYS_SQL}, CAST(SUM(CAST(ROUND(SALES_REV_TURN * 100) AS BIGINT)) AS BIGINT) AS V_{name} "
         f"FROM filings WHERE {_STATEMENT_FILTER_SQL[name]} GROUP BY ALL)"
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import keys as K
 from ..functions import scalar as S
-from ..session import broadcast_within, checkpoint_folder
+from ..session import checkpoint_folder, materialize, small_side
 
 FIELDS_OPEN, FIELDS_CLOSE = "START-OF-FIELDS", "END-OF-FIELDS"
 DATA_OPEN, DATA_CLOSE = "START-OF-DATA", ("END-OF-DATA", "END-OF-FILE")
@@ -112,8 +112,8 @@ def parse_rows(staged: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    ranges = sections(staged)
-    names = field_names(staged, ranges)
+    ranges = small_side(sections(staged))
+    names = materialize(field_names(staged, ranges))
     layouts = [r.names for r in names.select("names").distinct().collect()]
     for layout in layouts:
         if len(set(layout)) != len(layout):
@@ -122,7 +122,7 @@ def parse_rows(staged: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     columns = columns or list(K.FLATFILE_PREFIX)
     places = F.transform(F.lit(columns), lambda c: F.array_position(F.col("names"), c).cast("int"))
     files = names.select("file", F.size("names").alias("width"), places.alias("places"))
-    data = broadcast_within(ranges.where(F.col("kind") == "data").drop("kind").join(files, "file"))
+    data = small_side(ranges.where(F.col("kind") == "data").drop("kind").join(files, "file"))
     rows = _inside(staged.select("file", "pos", "line", "region", "file_type"), data).withColumn(
         "values", F.split("line", r"\|")
     )
