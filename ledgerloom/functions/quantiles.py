@@ -41,7 +41,8 @@ def group_quantiles(
         return _direct(df, group_by, columns, probs)
     large = broadcast_within(large)
     small = _direct(df.join(large, group_by, "left_anti"), group_by, columns, probs)
-    return small.unionByName(_narrowed(df.join(large, group_by, "left_semi"), group_by, columns, probs, accuracy))
+    hot = df.join(large, group_by, "left_semi")
+    return small.unionByName(_narrowed(hot, group_by, columns, probs, accuracy, max(direct_rows, 1)))
 
 
 def _direct(df: DataFrame, group_by: list[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -49,9 +50,15 @@ def _direct(df: DataFrame, group_by: list[str], columns: Sequence[str], probs: S
 
 
 def _narrowed(
-    df: DataFrame, group_by: list[str], columns: Sequence[str], probs: Sequence[float], accuracy: int
+    df: DataFrame,
+    group_by: list[str],
+    columns: Sequence[str],
+    probs: Sequence[float],
+    accuracy: int,
+    direct_rows: int,
 ) -> DataFrame:
-    reach = MARGIN / accuracy
+    # At least a few ranks wide, for every column with more than ``direct_rows`` values.
+    reach = max(MARGIN / accuracy, 4.0 / direct_rows)
     bounds = [min(max(p + side * reach, 0.0), 1.0) for p in probs for side in (-1, 1)]
     sketch = broadcast_within(
         materialize(
@@ -64,11 +71,12 @@ def _narrowed(
     bracketed = df.join(sketch, group_by)
     slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
 
+    # A column with few values in a large group keeps them all.
     def low(i: int, j: int) -> Column:
-        return F.col(f"__b{i}")[2 * j]
+        return F.when(F.col(f"__n{i}") > direct_rows, F.col(f"__b{i}")[2 * j]).otherwise(F.lit(float("-inf")))
 
     def high(i: int, j: int) -> Column:
-        return F.col(f"__b{i}")[2 * j + 1]
+        return F.when(F.col(f"__n{i}") > direct_rows, F.col(f"__b{i}")[2 * j + 1]).otherwise(F.lit(float("inf")))
 
     below = bracketed.groupBy(*group_by).agg(
         F.array(
