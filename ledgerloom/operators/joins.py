@@ -19,8 +19,10 @@ from .. import keys as K
 
 # Rows of one key that a single task may hold.
 HOT_ROWS = 2_000_000
-# Keys the sketch follows: a key with more than about 1/75,000 of the rows is seen.
-TRACKED_KEYS = 100_000
+# Keys followed by each sketch, and sketches by key hash: a key with more than about 1/50,000 of
+# the rows is seen, and no task merges more than its share of the sketches.
+TRACKED_KEYS = 1024
+SKETCHES = 64
 
 
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -38,10 +40,10 @@ def hot_tables(tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int =
     hashed = [t.select(F.lit(name).alias("table"), F.xxhash64(*keys).alias("key")) for name, t in tables.items()]
     top = (
         reduce(DataFrame.unionAll, hashed)
-        .groupBy("table")
+        .groupBy("table", F.pmod("key", F.lit(SKETCHES)))
         .agg(F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})").alias("top"))
     )
-    return {r.table for r in top.where(F.col("top")[0]["count"] > rows).select("table").collect()}
+    return {r.table for r in top.where(F.get("top", F.lit(0))["count"] > rows).select("table").distinct().collect()}
 
 
 def latest_revision(

@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans import ingest as ingest_flow
-from ..session import checkpoint_folder
-from ..sources import flatfile, sinks
+from ..operators import clean
+from ..session import checkpoint_folder, small_side
+from ..sources import flatfile, sinks, tables
 from . import standins as D
 from .catalog import plain, query, with_ctes
 
@@ -200,3 +201,52 @@ def registry(spark, folder):
     sinks.append_registry(spark, entries, path)
     sinks.append_registry(spark, entries, path)
     return spark.read.parquet(path).select("_id", "filename", F.concat_ws(",", "colnames").alias("colnames"))
+
+
+STATEMENT_SQL = """SELECT ID_BB_UNIQUE, CAST(LATEST_PERIOD_END_DT_FULL_RECORD AS VARCHAR) AS LATEST_PERIOD_END_DT_FULL_RECORD,
+  REVISION_ID, SALES_REV_TURN FROM filings
+  WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1996-06-30' AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2000-12-31'
+    AND ID_BB_COMPANY IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier JOIN nation ON s_nationkey = n_nationkey
+                          WHERE n_regionkey = 4)"""
+STATEMENT_OUT = ["ID_BB_UNIQUE", "LATEST_PERIOD_END_DT_FULL_RECORD", "REVISION_ID", "SALES_REV_TURN"]
+
+
+@query("statement_scan", with_ctes(D.FILINGS_SQL, select=STATEMENT_SQL))
+def statement_scan(spark, folder):
+    path = _new_folder(spark, "statements")
+    sinks.write_parquet(D.filings(spark, folder), path)
+    companies = small_side(clean.universe(D.company_info(spark, folder), 4))
+    rows = tables.read_statements(spark, path, "is", companies, "1996-06-30", "2000-12-31")
+    return plain(rows.select([F.col(f"is.{c}") for c in STATEMENT_OUT]))
+
+
+@query("staging_scan", with_ctes(D.FILINGS_SQL, select=STATEMENT_SQL))
+def staging_scan(spark, folder):
+    name = f"staging_{uuid.uuid4().hex}"
+    D.filings(spark, folder).createOrReplaceTempView(name)
+    companies = small_side(clean.universe(D.company_info(spark, folder), 4))
+    staged = tables.staging_tables(spark, {"is": name}, companies)["is"]
+    return plain(clean.period_between(staged, "1996-06-30", "2000-12-31").select(STATEMENT_OUT))
+
+
+@query(
+    "csv_scan",
+    "SELECT l_orderkey, l_returnflag, l_extendedprice, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate FROM lineitem",
+)
+def csv_scan(spark, folder):
+    rows = D.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_returnflag", "l_extendedprice", F.col("l_shipdate").cast("date").alias("l_shipdate")
+    )
+    path = _new_folder(spark, "csv")
+    # The copy of a column, as a repeated header would name it, is dropped by the scan.
+    sinks.write_csv(rows.withColumn("l_orderkey.1", F.col("l_orderkey")), path, null_marker=None)
+    typed = {"l_orderkey": "long", "l_extendedprice": "double", "l_shipdate": "date"}
+    return plain(tables.read_csv(spark, path, typed))
+
+
+@query("sink_by_type", "SELECT o_orderstatus, o_orderkey, o_totalprice FROM orders")
+def sink_by_type(spark, folder):
+    rows = D.table(spark, folder, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice")
+    frames = {kind: rows.where(F.col("o_orderstatus") == kind) for kind in ("F", "O", "P")}
+    paths = sinks.write_by_type(frames, _new_folder(spark, "by-type"))
+    return clean.union_all([spark.read.parquet(path) for path in paths.values()])

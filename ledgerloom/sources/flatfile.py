@@ -113,15 +113,18 @@ def parse_rows(staged: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     ranges = small_side(sections(staged))
-    names = materialize(field_names(staged, ranges))
-    layouts = [r.names for r in names.select("names").distinct().collect()]
+    names = materialize(field_names(staged, ranges).withColumn("hash", F.xxhash64("names")))
+    # Different field lists are few: they are versions of a file type, not files.
+    found = sorted(names.select("hash", "names").distinct().collect(), key=lambda r: (-len(r.names), r.names))
+    hashes, layouts = [r["hash"] for r in found], [r.names for r in found]
+    if len(set(hashes)) != len(hashes):
+        raise ValueError("two field lists have the same hash")
     for layout in layouts:
         if len(set(layout)) != len(layout):
             raise ValueError(f"a file lists a field twice: {layout}")
-    columns = list(dict.fromkeys(c for layout in sorted(layouts, key=lambda x: (-len(x), x)) for c in layout))
-    columns = columns or list(K.FLATFILE_PREFIX)
-    places = F.transform(F.lit(columns), lambda c: F.array_position(F.col("names"), c).cast("int"))
-    files = names.select("file", F.size("names").alias("width"), places.alias("places"))
+    columns = list(dict.fromkeys(c for layout in layouts for c in layout)) or list(K.FLATFILE_PREFIX)
+    layout = (F.array_position(F.lit(hashes or [0]), F.col("hash")) - 1).cast("int")
+    files = names.select("file", F.size("names").alias("width"), layout.alias("layout"))
     data = small_side(ranges.where(F.col("kind") == "data").drop("kind").join(files, "file"))
     rows = _inside(staged.select("file", "pos", "line", "region", "file_type"), data).withColumn(
         "values", F.split("line", r"\|")
@@ -137,16 +140,13 @@ def parse_rows(staged: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     else:
         rows = rows.withColumn("values", F.expr("slice(values, 1, size(values) - 1)"))
 
-    def value(j: int, name: str) -> Column:
-        # Place 0: the file does not list the field.
-        found = (
-            F.get("values", F.lit(layouts[0].index(name)))
-            if len(layouts) == 1
-            else F.get("values", F.get("places", F.lit(j)) - 1)
-        )
-        return S.null_token(found).alias(name)
+    def value(name: str) -> Column:
+        # Where each layout has the field; -1 reads as NULL.
+        places = [x.index(name) if name in x else -1 for x in layouts] or [-1]
+        place = F.lit(places[0]) if len(set(places)) == 1 else F.get(F.lit(places), F.col("layout"))
+        return S.null_token(F.get("values", place)).alias(name)
 
-    return rows.select("file", "region", "file_type", *[value(j, c) for j, c in enumerate(columns)])
+    return rows.select("file", "region", "file_type", *[value(c) for c in columns])
 
 
 def read_flatfiles(
