@@ -60,7 +60,7 @@ def vendor_files(rows, folder: str, bucket: str, layouts: dict[bool, list[str]],
 def _vendor_rows(spark, folder):
     day = F.col("l_shipdate").cast("date")
     return D.table(spark, folder, "lineitem").select(
-        F.date_format(day, "yyyyMM").alias("bucket"),
+        F.concat(F.year(day).cast("string"), F.quarter(day).cast("string")).alias("bucket"),
         (F.year(day) >= 1998).alias("rich"),
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("SECURITY_DESCRIPTION"),
         F.lit("0").alias("RCODE"),
@@ -122,7 +122,7 @@ def ingest_cleaned(spark, folder):
     status, level = F.col("o_orderstatus"), F.col("o_orderpriority")
     text_day = F.date_format(day, "yyyyMMdd")
     rows = D.table(spark, folder, "orders").select(
-        F.date_format(day, "yyyyMM").alias("bucket"),
+        F.concat(F.year(day).cast("string"), F.quarter(day).cast("string")).alias("bucket"),
         F.lit(True).alias("rich"),
         F.col("o_orderkey").cast("string").alias("SECURITY_DESCRIPTION"),
         F.lit("0").alias("RCODE"),
