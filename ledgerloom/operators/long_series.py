@@ -56,6 +56,38 @@ class Series:
         return rows.join(summary, self.unit, "left")
 
 
+# Block lengths to try, longest first: year, month, day, hour, minute, second.
+_BLOCK_SECONDS = (31_536_000, 2_592_000, 86_400, 3_600, 60, 1)
+
+
+def time_block(df: DataFrame, partition_by: Sequence[str], column: str, rows: int = 1_000_000) -> Column:
+    """The longest span of ``column`` in which no series has more than ``rows`` rows.
+
+    One aggregate per span tried; it counts rows per series and span before anything is shuffled.
+    """
+    kind, c = df.schema[column].dataType, F.col(column)
+    if isinstance(kind, T.DateType):
+        seconds = F.unix_date(c).cast("long") * 86_400
+    elif isinstance(kind, T.TimestampNTZType):
+        clock = F.hour(c) * 3_600 + F.minute(c) * 60 + F.second(c)
+        seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + clock
+    else:
+        seconds = F.unix_seconds(c)
+    for span in _BLOCK_SECONDS:
+        block = F.floor(seconds / span)
+        largest = (
+            series_rows(df, partition_by)
+            .groupBy(*partition_by, block.alias(BLOCK))
+            .count()
+            .agg(F.max("count").alias("largest"))
+            .first()
+            .largest
+        )
+        if largest is None or largest <= rows:
+            return block
+    raise ValueError(f"a series has {largest} rows within one second of {column}: name a finer block")
+
+
 def _tails(rows: DataFrame, s: Series, columns: Sequence[str], size: int) -> DataFrame:
     """Per block, ``__tail``: the last ``size`` rows of the series before the block, oldest first."""
     back = F.row_number().over(Window.partitionBy(*s.unit).orderBy(F.desc(ROW)))

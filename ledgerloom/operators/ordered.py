@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from ..session import shuffle_tasks
+
 
 def in_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Each key in one partition, sorted.
@@ -15,8 +17,7 @@ def in_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> Data
     The number of partitions is stated, so adaptive execution does not merge them: the Python
     work per row is worth a task, however few bytes it reads.
     """
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(tasks, *key).sortWithinPartitions(*key, *order_by)
+    return df.repartition(shuffle_tasks(df.sparkSession), *key).sortWithinPartitions(*key, *order_by)
 
 
 def pieces(batch: pd.DataFrame, key: Sequence[str]) -> Iterator[tuple[tuple, int, int]]:

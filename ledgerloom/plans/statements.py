@@ -10,9 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import keys as K
 from ..operators.clean import in_universe, period_between, universe
 from ..operators.joins import join_and_select, join_statements
-from ..session import small_side, tune
+from ..session import materialize, small_side, tune
 from ..sources.sinks import write_csv, write_parquet
 
+STATEMENT_BASE = K.STATEMENT_ORDER[0]
+
+
+def restrict(
+    tables: Mapping[str, DataFrame],
+    companies: DataFrame,
+    low: str | datetime.date,
+    high: str | datetime.date,
+) -> dict[str, DataFrame]:
+    """Each table inside the dates and the universe; both are key columns, so this runs at the scans."""
+    return {name: df.transform(period_between, low, high).transform(in_universe, companies) for name, df in tables.items()}
+
 
 def join_latest(
     tables: Mapping[str, DataFrame],
@@ -22,13 +34,8 @@ def join_latest(
     high: str | datetime.date = "2025-01-01",
     rank: str = "all",
 ) -> DataFrame:
-    """Latest revisions of one sector's statements, joined on the record key, keys once.
-
-    Company and date filters are part of the key, so they run below the ranking, at the scans.
-    """
-    companies = small_side(universe(info, sector))
-    kept = {name: df.transform(period_between, low, high).transform(in_universe, companies) for name, df in tables.items()}
-    return join_statements(kept, rank)
+    """Latest revisions of one sector's statements, joined on the record key, keys once."""
+    return join_statements(restrict(tables, small_side(universe(info, sector)), low, high), rank)
 
 
 def join_selected(
@@ -40,17 +47,42 @@ def join_selected(
 ) -> DataFrame:
     """All revisions of the statements with the sector code, reduced to the model columns."""
     companies = small_side(universe(info, sector))
-    kept = {name: df.transform(period_between, low, high).transform(in_universe, companies) for name, df in tables.items()}
-    return join_and_select(kept, companies)
+    return join_and_select(restrict(tables, companies, low, high), companies)
 
 
-def export_latest(spark: SparkSession, tables, info, path: str, single_file: bool = False, **options) -> bool:
+def export_latest(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    info: DataFrame,
+    path: str,
+    sector: int = 10,
+    low: str | datetime.date = "1995-01-01",
+    high: str | datetime.date = "2025-01-01",
+    rank: str = "all",
+    single_file: bool = False,
+) -> bool:
     """``join_latest`` to headed CSV."""
     tune(spark)
-    return write_csv(join_latest(tables, info, **options), path, single_file, null_marker=None)
+    kept = restrict(tables, small_side(universe(info, sector)), low, high)
+    # A left join has a row exactly when its first table has one; an inner join has to be looked at.
+    left_only = rank in ("all", "none", STATEMENT_BASE)
+    empty = kept[STATEMENT_BASE].isEmpty() if left_only else None
+    joined = join_statements(kept, rank)
+    return write_csv(joined if left_only else materialize(joined), path, single_file, null_marker=None, empty=empty)
 
 
-def export_selected(spark: SparkSession, tables, info, path: str, **options) -> bool:
+def export_selected(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    info: DataFrame,
+    path: str,
+    sector: int = K.ALL_SECTORS,
+    low: str | datetime.date = "1995-01-01",
+    high: str | datetime.date = "2025-06-30",
+) -> bool:
     """``join_selected`` to Parquet, partitioned by sector."""
     tune(spark)
-    return write_parquet(join_selected(tables, info, **options), path, partition_by=[K.SECTOR])
+    companies = small_side(universe(info, sector))
+    kept = restrict(tables, companies, low, high)
+    empty = kept[STATEMENT_BASE].isEmpty()
+    return write_parquet(join_and_select(kept, companies), path, partition_by=[K.SECTOR], empty=empty)

@@ -211,15 +211,19 @@ def ar1_impute(spark, folder):
     return plain(ar1.ar1_fill(_panel(spark, folder, GAPPED), GAPPED), 3)
 
 
-# Events of a user: an irregular series of any length, with a day as its block.
-def _ticks(spark, folder):
+# Events of a user: an irregular series of any length, cut into spans of bounded size.
+BLOCK_ROWS = 200_000
+
+
+def _ticks(spark, folder, by_day=True):
     rows = D.table(spark, folder, "events").select(
         "user_id",
         "ts",
         "event_id",
         F.when(F.col("event_type") != "error", F.round(F.col("value") * 100)).alias("value"),
     )
-    return rows, L.Series(("user_id",), ("ts", "event_id"), F.col("ts").cast("date"))
+    block = F.col("ts").cast("date") if by_day else L.time_block(rows, ["user_id"], "ts", BLOCK_ROWS)
+    return rows, L.Series(("user_id",), ("ts", "event_id"), block)
 
 
 TICKS_SQL = """ticks AS (SELECT user_id, ts, event_id,
@@ -269,7 +273,7 @@ def long_leads(spark, folder):
     ),
 )
 def long_rolling_avg(spark, folder):
-    rows, s = _ticks(spark, folder)
+    rows, s = _ticks(spark, folder, by_day=False)
     return L.rolling_avg(rows, ["value"], s, 5).select("event_id", "value(rolling_avg_5)")
 
 

@@ -21,14 +21,32 @@ SETTINGS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Switch on adaptive execution with skew splitting for this session."""
+# Wanted bytes per shuffle task, and the most tasks a shuffle is cut into.
+SHUFFLE_TASK_BYTES = 128 << 20
+MAX_SHUFFLE_TASKS = 100_000
+_INITIAL_TASKS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Switch on adaptive execution with skew splitting for this session.
+
+    ``shuffle_bytes``, the size of the largest input of a shuffle, sets how finely shuffles are cut
+    to begin with; adaptive execution merges what turns out small.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        wanted = max(-(-shuffle_bytes // SHUFFLE_TASK_BYTES), shuffle_tasks(spark))
+        spark.conf.set(_INITIAL_TASKS, str(min(wanted, MAX_SHUFFLE_TASKS)))
     return spark
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    """How many tasks a shuffle starts with."""
+    return int(spark.conf.get(_INITIAL_TASKS, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
     """Shared folder for durable intermediate results; a local one only where none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -24,25 +24,40 @@ REGISTRY_SCHEMA = T.StructType(
 )
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> bool:
-    """Overwrite ``path``; an empty frame is skipped with a warning.  Returns whether it wrote."""
+def _skipped(df: DataFrame, path: str, empty: bool | None) -> bool:
     require_unique_columns(df)
-    if df.isEmpty():
+    if df.isEmpty() if empty is None else empty:
         warnings.warn(f"nothing to write to {path}")
+        return True
+    return False
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), empty: bool | None = None) -> bool:
+    """Overwrite ``path``; an empty frame is skipped with a warning.  Returns whether it wrote.
+
+    Looking for a first row runs the shuffles of ``df`` before the write runs them again.  A caller
+    that knows more cheaply whether there is one says so in ``empty``.
+    """
+    if _skipped(df, path, empty):
         return False
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return True
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False, null_marker: str | None = CSV_NULL) -> bool:
+def write_csv(
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    null_marker: str | None = CSV_NULL,
+    empty: bool | None = None,
+) -> bool:
     r"""Overwrite ``path`` with headed CSV; NULL and the empty string are both written as ``\N``.
 
-    ``single_file`` puts all rows through one task: for small reports only.
+    ``single_file`` puts all rows through one task: for small reports only.  ``empty`` as in
+    ``write_parquet``.
     """
-    require_unique_columns(df)
-    if df.isEmpty():
-        warnings.warn(f"nothing to write to {path}")
+    if _skipped(df, path, empty):
         return False
     writer = (df.coalesce(1) if single_file else df).write.mode("overwrite").option("header", True)
     if null_marker is not None:

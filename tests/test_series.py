@@ -268,3 +268,25 @@ def test_ar1_fill(frame, conf):
 def test_long_ema_across_batches(frame, conf):
     conf("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
     same(collect(L.ema(frame, ["v"], blocks("year")), "v(ema_3)"), by_pandas(lambda s: s.ewm(span=3, adjust=False).mean()))
+
+
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date"])
+def test_time_block(spark, kind):
+    step = "interval 1 day" if kind == "date" else "interval 7 minutes"
+    df = spark.range(400).selectExpr(
+        "if(id % 3 = 0, 'hot', cast(id as string)) as ID_BB_UNIQUE",
+        f"cast(timestamp'2024-03-30 20:00:00' + {step} * id as {kind}) as ts",
+        "if(id % 7 = 0, null, cast(id % 11 as double)) as v",
+    )
+    for rows in (1000, 40, 10, 2):
+        if kind == "date" and rows == 1000:
+            assert "31536000" in str(L.time_block(df, ["ID_BB_UNIQUE"], "ts", rows))
+        block = L.time_block(df, ["ID_BB_UNIQUE"], "ts", rows)
+        largest = df.groupBy("ID_BB_UNIQUE", block).count().agg(F.max("count")).first()[0]
+        assert largest <= rows
+    s = L.Series(("ID_BB_UNIQUE",), ("ts",), block)
+    got = L.rolling_avg(df, ["v"], s, 4).where("ID_BB_UNIQUE = 'hot'").orderBy("ts").toPandas()
+    want = got.v.rolling(4, min_periods=1).mean()
+    np.testing.assert_allclose(got["v(rolling_avg_4)"].astype(float), want)
+    with pytest.raises(ValueError, match="within one second"):
+        L.time_block(df.selectExpr("'a' as k", f"cast('2024-01-01' as {kind}) as ts"), ["k"], "ts", 1)
