@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
 from ..session import shuffle_tasks
 
+# The small task functions travel with the task, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
+
 
 def in_order(df: DataFrame, key: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Each key in one partition, sorted.
