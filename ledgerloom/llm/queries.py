@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import simhash
+from . import repeats, simhash
 from .catalog import query, table
 
 
@@ -12,3 +12,9 @@ from .catalog import query, table
 def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, bits=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op9_substring_dedup")
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.repeated_words(table(spark, folder, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
