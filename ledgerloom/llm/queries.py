@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import repeats, simhash
+from . import packing, repeats, simhash
 from .catalog import query, table
+from .vocabulary import TOKENIZER
 
 
 @query("op7_simhash_near_dedup")
@@ -18,3 +19,8 @@ def simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.repeated_words(table(spark, folder, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), TOKENIZER, capacity=packing.Capacity(tokens=2048))
