@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, repeats, simhash
+from . import packing, repeats, sharding, simhash
 from .catalog import query, table
 from .vocabulary import TOKENIZER
 
@@ -24,3 +24,11 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), TOKENIZER, capacity=packing.Capacity(tokens=2048))
+
+
+@query("op6_sampled_splitters")
+def sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select("doc_id", "source", F.octet_length(text).cast("long").alias("bytes"), F.crc32(text).alias("text_crc32"))
+    found = sharding.shards(docs, 40, ["source", "doc_id"], F.col("bytes") + 16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
