@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, repeats, sharding, simhash
+from . import packing, quality, repeats, sharding, simhash
 from .catalog import query, table
 from .vocabulary import TOKENIZER
 
@@ -32,3 +32,9 @@ def sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", F.octet_length(text).cast("long").alias("bytes"), F.crc32(text).alias("text_crc32"))
     found = sharding.shards(docs, 40, ["source", "doc_id"], F.col("bytes") + 16)
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op8_risk_controlled_quality")
+def risk_controlled_quality(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"), F.col("quality") == 1)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
 from .shared import written
@@ -58,9 +58,13 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, out: str
     return plain.mapInArrow(run, f"{kinds}{', ' if kinds else ''}`{out}` bigint")
 
 
-def _prefix(column: str, depth) -> F.Column:
+def _prefix(column: str, depth: int) -> Column:
     """The first ``depth`` bits, the others zero."""
-    return F.lit(0).cast("long") if depth == 0 else F.col(column).bitwiseAND(F.lit(-(1 << (BITS - depth))).cast("long"))
+    return F.col(column).bitwiseAND(F.lit(-(1 << (BITS - depth))).cast("long"))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
 def node_pairs(points: DataFrame, bits: int, leaf: int) -> DataFrame:
@@ -69,8 +73,11 @@ def node_pairs(points: DataFrame, bits: int, leaf: int) -> DataFrame:
     Together the pairs cover every pair of fingerprints within ``bits`` exactly once.
     """
     spark = points.sparkSession
-    pairs = spark.createDataFrame([(0, 0, 0)], "a long, b long, diff int")
-    done, depth = None, 0
+    # The pair of roots, walked down by one step.
+    top = [(a, b, (a ^ b).bit_count()) for a in range(1 << STEP) for b in range(a, 1 << STEP)]
+    top = [(_signed(a << (BITS - STEP)), _signed(b << (BITS - STEP)), d) for a, b, d in top if d <= bits]
+    pairs = spark.createDataFrame(top, "a long, b long, diff int")
+    done, depth = None, STEP
     while True:
         nodes = written(points.groupBy(_prefix("fp", depth).alias("node")).agg(F.count("*").alias("n")), "nodes")
         sized = pairs.join(nodes.toDF("a", "na"), "a").join(nodes.toDF("b", "nb"), "b")
