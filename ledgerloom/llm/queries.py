@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, quality, repeats, sharding, simhash
+from . import packing, quality, repeats, sharding, simhash, urllists
 from .catalog import query, table
 from .vocabulary import TOKENIZER
 
@@ -38,3 +38,54 @@ def sampled_splitters(spark: SparkSession, folder: str) -> DataFrame:
 def risk_controlled_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels"), F.col("quality") == 1)
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+URL_LISTS_SQL = r"""
+WITH page AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id * 7919) % 36 AS INTEGER) AS DATE) AS day,
+    lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
+    list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS seg
+  FROM pages),
+entry AS (
+  SELECT e.event_type AS list, CAST(e.ts AS DATE) AS day, e.value >= 30 AS added,
+    CASE e.event_id % 3 WHEN 0 THEN p.host
+      WHEN 1 THEN regexp_replace(p.host, '^[^.]+\.', '')
+      ELSE p.host || '/' || coalesce(p.seg[1], '') END AS pattern
+  FROM events e JOIN page p ON e.user_id = p.page_id),
+change AS (
+  SELECT list, pattern, day, max(CAST(added AS INTEGER)) AS added FROM entry GROUP BY ALL),
+span AS (
+  SELECT list, pattern, added, day AS since, lead(day) OVER (PARTITION BY list, pattern ORDER BY day) AS until FROM change),
+key AS (
+  SELECT page_id, day, array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.') AS pattern
+  FROM page, (SELECT unnest(range(1, 40)) AS i) WHERE host <> '' AND i <= greatest(len(string_split(host, '.')) - 1, 1)
+  UNION
+  SELECT page_id, day, host || '/' || array_to_string(list_slice(seg, 1, k), '/')
+  FROM page, (SELECT unnest(range(1, 200)) AS k) WHERE host <> '' AND k <= len(seg)),
+hit AS (
+  SELECT page_id, list FROM key JOIN span USING (pattern)
+  WHERE added = 1 AND since <= key.day AND (until IS NULL OR key.day < until)),
+verdict AS (
+  SELECT page_id, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists, count(*) AS n_entries,
+    bool_or(list <> 'signup') AND NOT bool_or(list = 'signup') AS blocked
+  FROM hit GROUP BY page_id)
+SELECT page_id, CAST(day AS VARCHAR) AS day, coalesce(lists, '') AS lists, CAST(coalesce(n_entries, 0) AS BIGINT) AS n_entries,
+  coalesce(blocked, false) AS blocked
+FROM page LEFT JOIN verdict USING (page_id)
+"""
+
+
+@query("op4_temporal_url_lists", URL_LISTS_SQL)
+def temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """The tables have no lists and no fetch times: events are the dated entries, for patterns of the page whose number is the
+    user's, and the day of a fetch comes from the page's number."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(36)).cast("int"))
+    pages = table(spark, folder, "pages").select("page_id", "url", day.alias("day"))
+    host = urllists.host_of(F.col("url"))
+    kind = F.col("event_id") % 3
+    first = F.coalesce(F.get(urllists.segments_of(F.col("url")), F.lit(0)), F.lit(""))
+    pattern = F.when(kind == 0, host).when(kind == 1, F.regexp_replace(host, r"^[^.]+\.", "")).otherwise(F.concat(host, F.lit("/"), first))
+    events = table(spark, folder, "events").join(pages.select(F.col("page_id").alias("user_id"), "url"), "user_id")
+    entries = events.select(F.col("event_type").alias("list"), pattern.alias("pattern"), F.to_date("ts").alias("day"), (F.col("value") >= 30).alias("added"))
+    found = urllists.judged(pages, entries, allow="signup")
+    return found.select("page_id", F.col("day").cast("string").alias("day"), F.array_join("lists", ",").alias("lists"), "n_entries", "blocked")
