@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, quality, repeats, sharding, simhash, urllists
+from . import packing, quality, repeats, sharding, simhash, urllists, warc
 from .catalog import query, table
+from .shared import written
 from .vocabulary import TOKENIZER
 
 
@@ -89,3 +90,14 @@ def temporal_url_lists(spark: SparkSession, folder: str) -> DataFrame:
     entries = events.select(F.col("event_type").alias("list"), pattern.alias("pattern"), F.to_date("ts").alias("day"), (F.col("value") >= 30).alias("added"))
     found = urllists.judged(pages, entries, allow="signup")
     return found.select("page_id", F.col("day").cast("string").alias("day"), F.array_join("lists", ",").alias("lists"), "n_entries", "blocked")
+
+
+@query("op5_warc_normaliser")
+def warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write_archives(table(spark, folder, "pages"), least=0)
+    read = warc.read_records(warc.normalise(archives))
+    # Read back once; only the numbers are kept.
+    rows = written(read.select(F.col("page").alias("page_id"), F.col("type").alias("record_type"), F.octet_length("payload").cast("long").alias("bytes"), "payload_digest", "refers_to"), "read")
+    # A revisit has the length of the payload that it names.
+    sizes = rows.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("bytes").alias("full"))
+    return rows.join(sizes, "payload_digest", "left").select("page_id", F.coalesce("bytes", "full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
