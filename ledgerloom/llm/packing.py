@@ -55,32 +55,32 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         # One character of a byte-level token stands for one byte.
         self.bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([r"\A\S", r"\A\s\s", r"\s\Z", r"\A\Z", *special]))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, units: list[str]) -> None:
-        for k in range(0, len(units), 1 << 16):
-            part = units[k : k + (1 << 16)]
-            # Only the first unit of a text has no space before it; it is encoded alone.
-            plain = [u for u in part if u[:1] == " " and not u[-1].isspace() and not (len(u) > 1 and u[1].isspace())]
-            plain = [u for u in plain if not any(s in u for s in self.special)]
-            for u in set(part).difference(plain):
+        # Units that start with one space, end with none and hold no special token can stand in one text.
+        odd = self.odd.search
+        plain = []
+        for u in units:
+            if odd(u):
                 self.known[u] = self.whole(u)
-            if not plain:
-                continue
-            ids = np.array(self.tokenizer.encode("".join(plain), add_special_tokens=False).ids, "<u4")
-            ends = np.cumsum(self.bytes[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(u.encode()) for u in plain]), "left") + 1
-            at = 0
-            for u, stop in zip(plain, stops.tolist()):
-                self.known[u] = ids[at:stop].tobytes()
-                at = stop
+            else:
+                plain.append(u)
+        for k in range(0, len(plain), 1 << 16):
+            part = plain[k : k + (1 << 16)]
+            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, "<u4")
+            data, ends = ids.tobytes(), np.cumsum(self.bytes[ids])
+            stops = 4 * (np.searchsorted(ends, np.cumsum([len(u.encode()) for u in part]), "left") + 1)
+            cuts = [0, *stops.tolist()]
+            self.known.update(zip(part, [data[x:y] for x, y in zip(cuts, cuts[1:])]))
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         split: list[list[str] | None] = []
-        missing: dict[str, None] = {}
+        missing: set[str] = set()
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
@@ -94,9 +94,9 @@ class Encoder:
                 units = [first] if first else []
                 units += [" " + r for r in rest]
                 split.append(units)
-                missing.update((u, None) for u in units if u not in known)
+                missing.update(set(units).difference(known))
         if missing:
-            self._learn(list(missing))
+            self._learn(sorted(missing))
         get = known.__getitem__
         return [self.whole(t) if u is None else b"".join(map(get, u)) for t, u in zip(texts, split)]
 
