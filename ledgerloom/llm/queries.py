@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, quality, repeats, sharding, simhash, urllists, warc
+from . import packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
 from .catalog import query, table
 from .shared import written
 from .vocabulary import TOKENIZER
@@ -101,3 +101,11 @@ def warc_normaliser(spark: SparkSession, folder: str) -> DataFrame:
     # A revisit has the length of the payload that it names.
     sizes = rows.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("bytes").alias("full"))
     return rows.join(sizes, "payload_digest", "left").select("page_id", F.coalesce("bytes", "full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_recurrent_toxicity")
+def recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    net = toxicity.train(docs, table(spark, folder, "labels"))
+    found = toxicity.scored(docs, net)
+    return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
