@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
+from . import linededup, packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
 from .catalog import query, table
 from .shared import written
 from .vocabulary import TOKENIZER
@@ -109,3 +109,9 @@ def recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     net = toxicity.train(docs, table(spark, folder, "labels"))
     found = toxicity.scored(docs, net)
     return found.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op1_line_dedup")
+def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = linededup.similar_lines(table(spark, folder, "documents"), least=0.8)
+    return found.select("doc_id", "line", F.col("class_key").alias("class_doc_id"), "class_line", "links", "removed")
