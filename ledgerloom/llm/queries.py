@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import linededup, packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
+from . import decontaminate, linededup, packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
 from .catalog import query, table
 from .shared import written
 from .vocabulary import TOKENIZER
@@ -115,3 +115,8 @@ def recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = linededup.similar_lines(table(spark, folder, "documents"), least=0.8)
     return found.select("doc_id", "line", F.col("class_key").alias("class_doc_id"), "class_line", "links", "removed")
+
+
+@query("op2_latent_decontamination")
+def latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
