@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import decontaminate, linededup, packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
 from .catalog import query, table
 from .shared import written
-from .vocabulary import TOKENIZER
+from .vocabulary import RANKS, TOKENIZER
 
 
 @query("op7_simhash_near_dedup")
@@ -24,7 +24,7 @@ def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op3_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.packed(table(spark, folder, "documents"), TOKENIZER, capacity=packing.Capacity(tokens=2048))
+    return packing.packed(table(spark, folder, "documents"), TOKENIZER, capacity=packing.Capacity(tokens=2048), ranks=RANKS)
 
 
 @query("op6_sampled_splitters")

@@ -199,17 +199,36 @@ def links(points: DataFrame, bits: int = 2, leaf: int = LEAF) -> DataFrame:
     return sides.groupBy("depth", "a", "b").applyInArrow(finish, "a long, b long")
 
 
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, bits: int, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, raw, fingerprint), and for each fingerprint its component and the least key in that."""
+    raw = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("raw")
+    marked = written(fingerprints(docs.select(F.col(key).alias("key"), raw, F.col(text).alias("text")), "text", shingle), "fingerprints")
+    # Copies are one point; bit order of the unsigned value does not matter for links.
+    points = written(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("key").alias("least")), "points")
+    found = components(links(points.select("fp"), bits, leaf))
+    named = points.join(found.toDF("fp", "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    known = written(named.select("fp", "component").join(least, "component").select(F.col("fp").alias("fingerprint"), "component", "component_id"), "classes")
+    return marked, known
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2, leaf: int = LEAF) -> DataFrame:
     """(key, fingerprint long, component_id): the component is the smallest key whose fingerprint can be reached by links.
 
     Null and empty texts have fingerprint 0 and link like any other. Rows with equal keys each give a row. A null key gets
     the component of its fingerprint, which is null only if no linked row has a key. Other columns are not looked at.
     """
-    marked = written(fingerprints(docs.select(key, text), text, shingle), "fingerprints")
-    # Copies are one point; bit order of the unsigned value does not matter for links.
-    points = written(marked.groupBy(F.col("fingerprint").alias("fp")).agg(F.min(key).alias("least")), "points")
-    found = components(links(points.select("fp"), bits, leaf))
-    named = points.join(found.toDF("fp", "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = written(named.select("fp", "component").join(least, "component").select(F.col("fp").alias("fingerprint"), "component_id"), "classes")
-    return marked.join(known, "fingerprint").select(key, "fingerprint", "component_id")
+    marked, known = _classes(docs, key, text, shingle, bits, leaf)
+    return marked.join(known, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, bits: int = 2, leaf: int = LEAF) -> DataFrame:
+    """One row of ``docs`` for each component: that with the smallest key, null last, and of equal keys the least hash of the text."""
+    marked, known = _classes(docs, key, text, shingle, bits, leaf)
+    first = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "raw")).alias("r")
+    kept = written(marked.join(known, "fingerprint").groupBy("component").agg(first).select("r.key", "r.raw"), "kept")
+    own = docs.withColumn("__raw", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    out = own.join(kept.toDF("__key", "__kept"), (F.col("__raw") == F.col("__kept")) & F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    # Rows that repeat key and text are the only ones that can be left twice; the text is shuffled for them only if there are any.
+    repeated = marked.groupBy("key", "raw").agg(F.count("*").alias("n")).where("n > 1")
+    return (out if repeated.isEmpty() else out.dropDuplicates([key, "__raw"])).drop("__raw")

@@ -3,3 +3,5 @@
 import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The same vocabulary as a table of ranks.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
