@@ -160,8 +160,12 @@ class Adam:
             self.p[k] -= scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
 
 
-def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 1, sharp: int = 8, batch: int = 512, rate: float = 0.01, seed: int = 0) -> Network | None:
-    """A network for texts with labels 0 and 1; None without labelled words of both kinds."""
+def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 140, sharp: int = 8, steps: int = 24, batch: int = 512, rate: float = 0.01, seed: int = 0) -> Network | None:
+    """A network for texts with labels 0 and 1; None without labelled words of both kinds.
+
+    ``weak`` steps take windows at random, then ``sharp`` rounds of ``steps`` steps take texts by their worst windows. The
+    number of steps does not depend on the sample.
+    """
     split = [t.lower().split() for t in texts]
     pairs = [(w, y) for w, y in zip(split, labels) if w]
     if len({y for _, y in pairs}) < 2:
@@ -212,17 +216,19 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
 
     positive = max(float(label.mean()), 1e-3)
     balance = np.where(label == 1, 0.5 / positive, 0.5 / (1 - positive))
-    for _ in range(weak):
-        order = rng.permutation(len(windows))
-        for k in range(0, len(order), batch):
-            learn(order[k : k + batch], balance[of[order[k : k + batch]]])
+
+    def cycled(rows: np.ndarray, size: int, times: int) -> Iterator[np.ndarray]:
+        order = np.concatenate([rng.permutation(rows) for _ in range(-(-size * times // len(rows)))])
+        for k in range(times):
+            yield order[k * size : (k + 1) * size]
+
+    for part in cycled(np.arange(len(windows)), batch, weak):
+        learn(part, balance[of[part]])
     for _ in range(sharp):
         logit = _logits(net, net.vectors(word, chars, bounds), windows)
         worst = np.lexsort((-logit, of))
         worst = worst[np.unique(of[worst], return_index=True)[1]]
-        order = rng.permutation(worst)
-        for k in range(0, len(order), batch // 4):
-            part = order[k : k + batch // 4]
+        for part in cycled(worst, batch // 4, steps):
             learn(part, np.ones(len(part)))
     return net
 
