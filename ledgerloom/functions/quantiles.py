@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .scalar import null_nan
 from ..session import broadcast_within, materialize
 
 DIRECT_ROWS = 1_000_000
@@ -34,6 +35,9 @@ def group_quantiles(
     ``sizes`` may give the rows per group (columns ``group_by`` and ``rows``) when known.
     """
     group_by = list(group_by)
+    # NaN is a missing value, whichever way a group is taken.
+    floats = [c for c in columns if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))]
+    df = df.withColumns({c: null_nan(c) for c in floats}) if floats else df
     if sizes is None:
         sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("rows"))
     large = materialize(sizes.where(F.col("rows") > direct_rows).select(*group_by))

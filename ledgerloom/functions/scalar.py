@@ -14,6 +14,9 @@ NUMBERED_FILE = r"fundamentals_([a-z0-9]+)_([a-z0-9]+)(?:_([a-z0-9]+))?\.out\.\d
 PLAIN_FILE = r"(?i)fundamentals_([a-z0-9]+)_(?:sard_([a-z0-9]+)|([a-z0-9]+))(?:_history)?\.out(?:\.\d+)?$"
 REGISTRY_FILE = r"fundamentals_\w+_\w+\.out"
 
+# Fixed value: what the vendor writes for a date that does not exist.
+NO_DATE = "99999999"
+
 # Fixed value: the DNS namespace of RFC 4122.
 DNS_NAMESPACE = "6ba7b8109dad11d180b400c04fd430c8"
 
@@ -37,8 +40,24 @@ def replace_empty(c: str | Column, sentinel: str) -> Column:
 
 
 def parse_date(c: str | Column, fmt: str = "yyyyMMdd") -> Column:
-    """Text to date; text that is not a date (empty, 99999999) gives NULL."""
-    return F.try_to_date(as_column(c), fmt)
+    """Text or whole number to date, in ``fmt`` or as ISO.
+
+    Blank text and ``99999999`` are the missing values of the vendor and give NULL; anything else that is no date is an error.
+    """
+    text = F.trim(as_column(c).cast("string"))
+    day = F.coalesce(F.try_to_date(text, fmt), F.try_to_date(text, "yyyy-MM-dd"))
+    missing = text.isNull() | text.isin("", NO_DATE)
+    return F.when(~missing, F.coalesce(day, F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")))
+
+
+def parse_number(c: str | Column, kind: str) -> Column:
+    """Text to a number; ``10.0`` is the whole number 10, blank text is NULL, anything else that is no number is an error."""
+    text = F.trim(as_column(c).cast("string"))
+    wide = text.try_cast("decimal(38,10)")
+    value = text.try_cast(kind)
+    if kind in ("int", "long", "bigint", "short"):
+        value = F.coalesce(value, F.when(wide == F.floor(wide), wide).try_cast(kind))
+    return F.when(~(text.isNull() | (text == "")), F.coalesce(value, F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)))
 
 
 def is_annual(period: str | Column) -> Column:

@@ -7,7 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .. import keys as K
 from ..functions import scalar as S
@@ -50,14 +50,14 @@ def period_between(
 
 
 def annual_rows(df: DataFrame, period: str = K.FISCAL_PERIOD) -> DataFrame:
-    """Annual filings with their ``Year``; the update date is parsed when it is still text."""
-    return _parse_text_dates(df, [K.UPDATE_DT]).where(S.is_annual(period)).withColumn(K.YEAR, S.fiscal_year(period))
+    """Annual filings with their ``Year``; the update date is parsed when it is text or a number."""
+    return _parse_untyped_dates(df, [K.UPDATE_DT]).where(S.is_annual(period)).withColumn(K.YEAR, S.fiscal_year(period))
 
 
 def quarterly_rows(df: DataFrame, period: str = K.FISCAL_PERIOD) -> DataFrame:
-    """Quarterly filings with ``Year`` and ``Quarter``; text dates are parsed."""
+    """Quarterly filings with ``Year`` and ``Quarter``; dates are parsed when they are text or numbers."""
     return (
-        _parse_text_dates(df, [K.PERIOD_END, K.ANNOUNCE_DT])
+        _parse_untyped_dates(df, [K.PERIOD_END, K.ANNOUNCE_DT, K.UPDATE_DT])
         .where(S.is_quarterly(period))
         .withColumns({K.YEAR: S.fiscal_year(period), K.QUARTER: S.fiscal_quarter(period)})
     )
@@ -69,8 +69,9 @@ def parse_dates(df: DataFrame, columns: Iterable[str] = K.DATE_COLUMNS, fmt: str
     return df.withColumns(found) if found else df
 
 
-def _parse_text_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    return parse_dates(df, [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)])
+def _parse_untyped_dates(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    kinds = (T.StringType, T.NumericType)
+    return parse_dates(df, [c for c in columns if c in df.columns and isinstance(df.schema[c].dataType, kinds)])
 
 
 def replace_empty(df: DataFrame, sentinels: Mapping[str, str] = K.EMPTY_SENTINELS) -> DataFrame:
@@ -126,8 +127,14 @@ def drop_peak(df: DataFrame, column: str = K.CAPEX, also: Sequence[str] = (K.CAP
 
 
 def missing_fractions(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: the share of NULLs of each column."""
-    return df.agg(*[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in columns or df.columns])
+    """One row: the share of NULLs of each column; NaN counts as NULL."""
+    floats = (T.DoubleType, T.FloatType)
+
+    def missing(c: str) -> Column:
+        gone = F.col(f"`{c}`").isNull()
+        return gone | F.isnan(f"`{c}`") if isinstance(df.schema[c].dataType, floats) else gone
+
+    return df.agg(*[F.avg(missing(c).cast("double")).alias(c) for c in columns or df.columns])
 
 
 def mark_sparse(

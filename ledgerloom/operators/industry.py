@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import keys as K
 from ..functions.quantiles import DIRECT_ROWS, group_quantiles
+from ..functions.scalar import null_nan
 from ..session import broadcast_within, materialize
 
 
@@ -64,7 +65,9 @@ def industry_stats(
     if not columns:
         return rows
     group = [year_column, industry]
-    known = rows.where(F.col(industry).isNotNull() & F.col(year_column).isNotNull()).select(*group, *columns)
+    floats = (T.DoubleType, T.FloatType)
+    measures = [null_nan(c).alias(c) if isinstance(df.schema[c].dataType, floats) else F.col(c) for c in columns]
+    known = rows.where(F.col(industry).isNotNull() & F.col(year_column).isNotNull()).select(*group, *measures)
     moments = materialize(
         known.groupBy(*group).agg(
             F.count(F.lit(1)).alias("rows"),

@@ -53,7 +53,10 @@ class Series:
         return rows.withColumn(ROW, F.row_number().over(self.inside()))
 
     def attach(self, rows: DataFrame, summary: DataFrame) -> DataFrame:
-        return rows.join(summary, self.unit, "left")
+        # Rows without an order value are a block of their own.
+        near = summary.select(*[F.col(c).alias(f"__of_{c}") if c in self.unit else F.col(c) for c in summary.columns])
+        same = [rows[c] == near[f"__of_{c}"] for c in self.partition_by] + [rows[BLOCK].eqNullSafe(near[f"__of_{BLOCK}"])]
+        return rows.join(near, same, "left").drop(*[f"__of_{c}" for c in self.unit])
 
 
 # Block lengths to try, longest first: year, month, day, hour, minute, second.

@@ -29,9 +29,9 @@ def restrict(
 def join_latest(
     tables: Mapping[str, DataFrame],
     info: DataFrame,
-    sector: int = 10,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-01-01",
+    sector: int,
+    low: str | datetime.date,
+    high: str | datetime.date,
     rank: str = "all",
 ) -> DataFrame:
     """Latest revisions of one sector's statements, joined on the record key, keys once."""
@@ -41,9 +41,9 @@ def join_latest(
 def join_selected(
     tables: Mapping[str, DataFrame],
     info: DataFrame,
-    sector: int = K.ALL_SECTORS,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-06-30",
+    sector: int,
+    low: str | datetime.date,
+    high: str | datetime.date,
 ) -> DataFrame:
     """All revisions of the statements with the sector code, reduced to the model columns."""
     companies = small_side(universe(info, sector))
@@ -55,9 +55,9 @@ def export_latest(
     tables: Mapping[str, DataFrame],
     info: DataFrame,
     path: str,
-    sector: int = 10,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-01-01",
+    sector: int,
+    low: str | datetime.date,
+    high: str | datetime.date,
     rank: str = "all",
     single_file: bool = False,
 ) -> bool:
@@ -76,9 +76,9 @@ def export_selected(
     tables: Mapping[str, DataFrame],
     info: DataFrame,
     path: str,
-    sector: int = K.ALL_SECTORS,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-06-30",
+    sector: int,
+    low: str | datetime.date,
+    high: str | datetime.date,
 ) -> bool:
     """``join_selected`` to Parquet, partitioned by sector."""
     tune(spark)

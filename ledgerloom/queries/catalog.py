@@ -58,4 +58,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from . import cleaning, files, joining, series, settling  # noqa: F401
+    from . import cleaning, files, inputs, joining, series, settling  # noqa: F401

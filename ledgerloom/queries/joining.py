@@ -20,8 +20,8 @@ def _all_tables(spark, folder, names=D.STATEMENT_NAMES):
 
 def _latest_sql(name: str) -> str:
     return (
-        f"l_{name} AS (SELECT * FROM t_{name} WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1996-03-31' "
-        f"AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2001-09-30' QUALIFY RANK() OVER "
+        f"l_{name} AS (SELECT * FROM t_{name} WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1991-12-31' "
+        f"AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2002-01-01' QUALIFY RANK() OVER "
         f"(PARTITION BY {D.KEYS_SQL} ORDER BY REVISION_ID DESC) = 1)"
     )
 
@@ -32,13 +32,13 @@ def _latest_sql(name: str) -> str:
         D.FILINGS_SQL,
         select=f"""SELECT {KEYS_OUT}, REVISION_ID, CAST(FUNDAMENTAL_UPDATE_DT AS VARCHAR) AS FUNDAMENTAL_UPDATE_DT,
                    SALES_REV_TURN FROM filings
-                   WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1995-06-30'
-                     AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2001-06-30'
+                   WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1991-12-31'
+                     AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2002-01-01'
                    QUALIFY RANK() OVER (PARTITION BY {D.KEYS_SQL} ORDER BY REVISION_ID DESC) = 1""",
     ),
 )
 def latest_revision(spark, folder):
-    rows = D.filings(spark, folder).transform(clean.period_between, "1995-06-30", "2001-06-30")
+    rows = D.filings(spark, folder).transform(clean.period_between, "1991-12-31", "2002-01-01")
     kept = rows.select(*rows.columns[:8], "REVISION_ID", "FUNDAMENTAL_UPDATE_DT", "SALES_REV_TURN")
     return plain(joins.latest_revision(kept))
 
@@ -86,7 +86,7 @@ JOIN_NO_DUP_ORDER = D.STATEMENT_NAMES
 )
 def join_no_dup(spark, folder):
     tables = {
-        n: t.transform(clean.period_between, "1996-03-31", "2001-09-30") for n, t in _all_tables(spark, folder).items()
+        n: t.transform(clean.period_between, "1991-12-31", "2002-01-01") for n, t in _all_tables(spark, folder).items()
     }
     return plain(joins.join_statements(tables, rank="all"))
 
@@ -141,8 +141,8 @@ SELECTED = [
     with_ctes(
         D.FILINGS_SQL,
         *[D.statements_sql(n) for n in ("is", "bs", "sard_cf")],
-        "k_is AS (SELECT * FROM t_is WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1998-01-01' "
-        "AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2000-06-30')",
+        "k_is AS (SELECT * FROM t_is WHERE LATEST_PERIOD_END_DT_FULL_RECORD > DATE '1991-12-31' "
+        "AND LATEST_PERIOD_END_DT_FULL_RECORD < DATE '2002-01-01')",
         select=f"""SELECT i.n_regionkey AS BICS_LEVEL_1, {KEYS_OUT}, k_is.REVISION_ID AS REVISION_ID,
                    CAST(t_bs.UPDATED AS VARCHAR) AS UPDATED, V_is, V_bs, V_sard_cf
                    FROM k_is LEFT JOIN t_bs USING ({D.KEYS_SQL}) LEFT JOIN t_sard_cf USING ({D.KEYS_SQL})
@@ -152,7 +152,7 @@ SELECTED = [
 )
 def output_projection(spark, folder):
     tables = {
-        n: t.transform(clean.period_between, "1998-01-01", "2000-06-30")
+        n: t.transform(clean.period_between, "1991-12-31", "2002-01-01")
         for n, t in _all_tables(spark, folder, ["is", "bs", "sard_cf"]).items()
     }
     return plain(joins.join_and_select(tables, small_side(clean.universe(D.company_info(spark, folder))), SELECTED))
@@ -191,12 +191,12 @@ def distinct_companies(spark, folder):
         D.FILINGS_SQL,
         D.INFO_SQL,
         select="""SELECT f.ID_BB_COMPANY, FISCAL_YEAR_PERIOD, REVISION_ID, SALES_REV_TURN, BICS_LEVEL_1
-                  FROM filings f LEFT JOIN info i ON f.ID_BB_COMPANY = i.ID_BB_COMPANY AND BICS_LEVEL_1 = 1""",
+                  FROM filings f LEFT JOIN info i ON f.ID_BB_COMPANY = i.ID_BB_COMPANY""",
     ),
 )
 def sector_join(spark, folder):
     rows = D.filings(spark, folder).select("ID_BB_COMPANY", "FISCAL_YEAR_PERIOD", "REVISION_ID", "SALES_REV_TURN")
-    return joins.add_sector(rows, small_side(clean.universe(D.company_info(spark, folder), 1)))
+    return joins.add_sector(rows, small_side(clean.universe(D.company_info(spark, folder))))
 
 
 @query(

@@ -52,22 +52,29 @@ _Q = resolved_sql('"Year", ID_BB_UNIQUE, "Quarter"', [*MEASURES, "EQY_FUND_CRNCY
 _A = resolved_sql('"Year", ID_BB_UNIQUE', MEASURES, "q")
 
 
-@query(
-    "resolve_quarterly",
-    with_ctes(
-        D.FILINGS_SQL,
-        Q_SOURCE,
-        *_Q[0],
-        select=f'SELECT "Year", ID_BB_UNIQUE, "Quarter", '
-        + _Q[1].replace("r5.v AS", "CAST(r5.v AS VARCHAR) AS")
-        + f" FROM {_Q[2]}",
-    ),
+RESOLVE_QUARTERLY_SQL = with_ctes(
+    D.FILINGS_SQL,
+    Q_SOURCE,
+    *_Q[0],
+    select='SELECT "Year", ID_BB_UNIQUE, "Quarter", ' + _Q[1].replace("r5.v AS", "CAST(r5.v AS VARCHAR) AS") + f" FROM {_Q[2]}",
 )
-def resolve_quarterly(spark, folder):
-    rows = clean.quarterly_rows(D.filings(spark, folder)).drop("LATEST_PERIOD_END_DT_FULL_RECORD", "REVISION_ID")
+
+
+def resolved_quarterly(spark, folder, form=None):
+    """Settled filings; ``form`` turns each date column into the spelling in which it arrives."""
+    rows = D.filings(spark, folder)
+    if form is not None:
+        dates = ["LATEST_PERIOD_END_DT_FULL_RECORD", "ANNOUNCEMENT_DT", "FUNDAMENTAL_UPDATE_DT"]
+        rows = rows.withColumns({c: form(F.col(c)) for c in dates})
+    rows = clean.quarterly_rows(rows).drop("LATEST_PERIOD_END_DT_FULL_RECORD", "REVISION_ID")
     return plain(resolve.resolve_quarterly(rows))
 
 
+@query("resolve_quarterly", RESOLVE_QUARTERLY_SQL)
+def resolve_quarterly(spark, folder):
+    return resolved_quarterly(spark, folder)
+
+
 @query(
     "resolve_annual",
     with_ctes(D.FILINGS_SQL, A_SOURCE, *_A[0], select=f'SELECT "Year", ID_BB_UNIQUE, {_A[1]} FROM {_A[2]}'),

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-# Upper bound for a side that is sent to every executor on purpose.
+# Upper bounds for a side that is sent to every executor on purpose: rows, and rows times the width of a row.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -23,7 +24,7 @@ SETTINGS = {
 
 # Wanted bytes per shuffle task, and the most tasks a shuffle is cut into.
 SHUFFLE_TASK_BYTES = 128 << 20
-MAX_SHUFFLE_TASKS = 100_000
+MAX_SHUFFLE_TASKS = 1_000_000
 _INITIAL_TASKS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -48,7 +49,11 @@ def shuffle_tasks(spark: SparkSession) -> int:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Shared folder for durable intermediate results; a local one only where none is configured."""
+    """Shared folder for durable intermediate results.
+
+    Where none is configured a local master gets a folder of its own; on a cluster that is an error, because executors
+    do not see each other's disks.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -56,6 +61,8 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
         current = spark.sparkContext.getCheckpointDir()
     return current
@@ -82,4 +89,15 @@ def broadcast_within(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     ``df`` should be cheap to count (a file scan or a materialized result).
     """
-    return df.hint("broadcast") if at_most(df, rows) else df
+    return df.hint("broadcast") if at_most(df, min(rows, BROADCAST_BYTES // row_bytes(df))) else df
+
+
+def row_bytes(df: DataFrame) -> int:
+    """A generous width of a row: what numbers take, and more for text and nested values."""
+
+    def width(kind: T.DataType) -> int:
+        if isinstance(kind, T.StructType):
+            return 16 + sum(width(f.dataType) for f in kind.fields)
+        return 16 if isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)) else 64
+
+    return width(df.schema)

@@ -6,9 +6,10 @@ import csv
 import datetime
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import keys as K
+from ..functions import scalar as S
 from ..operators.clean import in_universe, period_between
 from ..operators.joins import latest_revision
 
@@ -18,8 +19,8 @@ def read_statements(
     path: str,
     alias: str,
     companies: DataFrame,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-06-30",
+    low: str | datetime.date,
+    high: str | datetime.date,
 ) -> DataFrame:
     """Parquet statements of the listed companies inside an open date interval, under an alias."""
     return spark.read.parquet(path).transform(period_between, low, high).transform(in_universe, companies).alias(alias)
@@ -49,8 +50,8 @@ def read_latest_jdbc(
     url: str,
     table: str,
     companies: DataFrame,
-    low: str | datetime.date = "1995-01-01",
-    high: str | datetime.date = "2025-01-01",
+    low: str | datetime.date,
+    high: str | datetime.date,
     **jdbc,
 ) -> DataFrame:
     """Latest revisions of the listed companies' rows of a JDBC table; the dates filter in the database."""
@@ -96,12 +97,23 @@ def read_csv(
     typed = types or {}
     return rows.select(
         [
-            (F.col(f"c{first[n]}").try_cast(typed[n]) if n in typed else F.col(f"c{first[n]}")).alias(n)
+            (typed_value(f"c{first[n]}", typed[n]) if n in typed else F.col(f"c{first[n]}")).alias(n)
             for n in kept
         ]
     )
 
 
+def typed_value(column: str, kind: str) -> Column:
+    """A text cell as ``kind``; blank cells are NULL, cells that do not parse are errors, and NaN is NULL."""
+    if kind == "date":
+        return S.parse_date(column)
+    if kind in ("int", "long", "bigint", "short"):
+        return S.parse_number(column, kind)
+    if kind in ("double", "float"):
+        return S.null_nan(S.parse_number(column, kind))
+    return F.nullif(F.col(column), F.lit("")).cast(kind)
+
+
 def first_seen(names: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(names))
 

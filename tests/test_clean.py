@@ -22,6 +22,25 @@ def test_dates(spark):
     df = spark.createDataFrame([("20200131",), ("99999999",), ("",), (None,)], "ANNOUNCEMENT_DT string")
     assert [r[0] for r in rows(clean.parse_dates(df))] == [datetime.date(2020, 1, 31), None, None, None]
     assert clean.parse_dates(df, ["absent"]).columns == df.columns
+    iso = spark.createDataFrame([("2020-01-31",), (" ",)], "ANNOUNCEMENT_DT string")
+    assert [r[0] for r in rows(clean.parse_dates(iso))] == [datetime.date(2020, 1, 31), None]
+    number = spark.createDataFrame([(20200131,), (99999999,), (None,)], "ANNOUNCEMENT_DT int")
+    assert [r[0] for r in rows(clean.parse_dates(number))] == [datetime.date(2020, 1, 31), None, None]
+    with pytest.raises(Exception, match="not a date"):
+        clean.parse_dates(spark.createDataFrame([("soon",)], "ANNOUNCEMENT_DT string")).collect()
+
+
+def test_numbers(spark):
+    df = spark.createDataFrame([("10",), ("10.0",), (" ",), (None,)], "c string")
+    assert [r[0] for r in rows(df.select(S.parse_number("c", "long")))] == [10, 10, None, None]
+    for bad in ("10.5", "ten"):
+        with pytest.raises(Exception, match="not a long"):
+            spark.createDataFrame([(bad,)], "c string").select(S.parse_number("c", "long")).collect()
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (2.0,)], "v double")
+    assert rows(clean.missing_fractions(df)) == [(0.5,)]
 
 
 def test_periods(spark):

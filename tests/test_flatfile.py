@@ -108,7 +108,7 @@ def test_by_type_and_ingest(spark, tmp_path):
     names = ["ID_BB_COMPANY", "FISCAL_YEAR_PERIOD", "FILING_STATUS", "EQY_CONSOLIDATED", "ACCOUNTING_STANDARD"]
     fields = [*names, "LATEST_PERIOD_END_DT_FULL_RECORD", "ANNOUNCEMENT_DT"]
     write(source, "fundamentals_namr_bs.out.1", vendor_text(fields, ["s|0|7|||MR|Y|US GAAP||20200102|"]))
-    write(source, "fundamentals_euro_bs.out.2", vendor_text([*fields, "X"], ["t|0|8|c|2020 A||||20191231|bad|9|"]))
+    write(source, "fundamentals_euro_bs.out.2", vendor_text([*fields, "X"], ["t|0|8|c|2020 A||||20191231|99999999|9|"]))
     write(source, "fundamentals_namr_sard_is.out.1", vendor_text(fields, ["u|0|7|d|2020 A|N.A.|Y|x|20191231||"]))
     write(source, "fundamentals_namr_cf.out.1", vendor_text(fields, []))
     frames = flatfile.read_by_type(spark, str(source))

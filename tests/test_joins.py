@@ -97,7 +97,7 @@ def test_period_bounds_are_open(spark):
 def test_flow(spark):
     info = spark.createDataFrame([("a", 10), ("b", 10), ("c", 20)], "ID_BB_COMPANY string, BICS_LEVEL_1 int")
     tables = {"is": keyed(spark, DATA, "v_is"), "cf": keyed(spark, [("a", "2020-03-31", 1, 1.5)], "v_cf")}
-    out = flows.join_latest(tables, info)
+    out = flows.join_latest(tables, info, 10, "1995-01-01", "2025-01-01")
     assert sorted((r.v_is, r.v_cf) for r in out.collect() if r.v_cf) == [(2.0, 1.5), (3.0, 1.5)]
     assert {r.ID_BB_COMPANY for r in out.collect()} == {"a", "b"}
 

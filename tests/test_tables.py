@@ -23,9 +23,12 @@ def test_csv_keeps_first_of_repeated_names(spark, tmp_path):
 
 def test_company_info_and_codes(spark, tmp_path):
     info = tmp_path / "info.csv"
-    info.write_text("ID_BB_UNIQUE," + ",".join(K.INDUSTRY_COLUMNS) + "\nu,1,2,3,4,5,x\n")
+    info.write_text("ID_BB_UNIQUE," + ",".join(K.INDUSTRY_COLUMNS) + "\nu,1,2.0,3,4,5,\n")
     df, columns = tables.read_company_info(spark, str(info))
     assert columns == K.INDUSTRY_COLUMNS and rows(df.select(*columns)) == [(1, 2, 3, 4, 5, None)]
+    info.write_text("ID_BB_UNIQUE," + ",".join(K.INDUSTRY_COLUMNS) + "\nu,1,2,3,4,5,x\n")
+    with pytest.raises(Exception, match="not a long"):
+        tables.read_company_info(spark, str(info))[0].collect()
     codes = tmp_path / "codes.csv"
     codes.write_text("level,code,label\nA,1,one\n")
     assert rows(tables.read_industry_codes(spark, str(codes))) == [("A", 1, "one")]
@@ -73,7 +76,7 @@ def test_statements_scan_is_pruned(spark, tmp_path):
     )
     df.withColumn("unused", df.v).write.parquet(path)
     companies = spark.createDataFrame([("a",)], f"{K.COMPANY} string")
-    out = tables.read_statements(spark, path, "is", companies).select("is.v")
+    out = tables.read_statements(spark, path, "is", companies, "1995-01-01", "2025-06-30").select("is.v")
     assert rows(out) == [(1.0,)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(LATEST_PERIOD_END_DT_FULL_RECORD" in plan and "unused" not in plan.split("ReadSchema")[1][:200]
@@ -129,13 +132,13 @@ def test_export_flows(spark, tmp_path):
         "*", "4D as CF_CASH_FROM_OPER", "5D as ARD_CAPITAL_EXPENDITURES"
     )
     out = str(tmp_path / "joined")
-    assert flows.export_selected(spark, {"is": base, "bs": bs, "cf": rest}, info, out)
+    assert flows.export_selected(spark, {"is": base, "bs": bs, "cf": rest}, info, out, K.ALL_SECTORS, "1995-01-01", "2025-06-30")
     back = spark.read.parquet(out)
     assert set(back.columns) == {c.split(".")[-1] for c in K.JOINED_COLUMNS}
     assert back.first().IS_EPS == 2.0 and back.first().BICS_LEVEL_1 == 10
 
     tagged = base.selectExpr("*", "1L as REVISION_ID")
-    assert flows.export_latest(spark, {"is": tagged}, info, str(tmp_path / "csv"), single_file=True)
+    assert flows.export_latest(spark, {"is": tagged}, info, str(tmp_path / "csv"), 10, "1995-01-01", "2025-01-01", single_file=True)
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 1
 
 
