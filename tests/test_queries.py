@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest data."""
+"""Every query of the library against its SQL, on the smallest data."""
 
 from __future__ import annotations
 
@@ -6,9 +6,10 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry
+from ledgerloom import queries as catalog
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,9 +17,9 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query(spark, duck, name):
-    run = entry.queries()[name]
+    run = catalog.queries()[name]
     if name in SQL:
         assert compare(spark, duck, run, SQL[name], FOLDER) == ""
     else:
@@ -26,7 +27,11 @@ def test_query(spark, duck, name):
 
 
 def test_sql_has_queries():
-    assert set(SQL) <= set(entry.queries())
+    assert set(SQL) <= set(catalog.queries())
+
+
+def test_all_are_registered():
+    assert set(catalog.queries()) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
