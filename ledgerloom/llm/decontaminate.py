@@ -3,8 +3,8 @@
 Words are hashed to 32 bits once and kept as a table. Passages of equal length over all documents give TF-IDF rows over a fixed
 number of word buckets; a randomised SVD of that matrix is computed by passes over the table: each task adds up its part
 of A'(AX) for a random block X, the sums meet bucket by bucket, and only matrices of a fixed size reach the driver. The first
-components hold what all texts of a language share and are left out. Every word then has a vector, and a window of words the sum
-of theirs, so windows of any length cost the same. Windows as long as an item are compared with it by cosine; candidates
+components hold what many texts share and are left out. Every word then has a vector, weighted down the more passages hold it,
+and a window of words the sum of theirs, so windows of any length cost the same. Windows as long as an item are compared with it by cosine; candidates
 must share a long common subsequence with the item and contain its answer, the end of the item.
 """
 
@@ -30,6 +30,7 @@ class Latent:
     passage: int = 64
     skip: int = 8
     rank: int = 64
+    common: float = 0.01  # part of the passages at which a word's weight is halved
     extra: int = 8
     seed: int = 0
 
@@ -175,7 +176,8 @@ def fit(table: DataFrame, latent: Latent = Latent()) -> Model | None:
 
     values, turn = np.linalg.eigh(_summed(table, gram, 1, width))
     use = np.arange(width)[::-1][latent.skip : latent.skip + latent.rank]
-    vectors = (basis @ turn[:, use].astype(np.float32)) * idf[:, None].astype(np.float32)
+    weight = idf * latent.common / (latent.common + counts[:-1, 0] / max(n, 1))
+    vectors = (basis @ turn[:, use].astype(np.float32)) * weight[:, None].astype(np.float32)
     return Model(latent, vectors.astype(np.float32), np.sqrt(np.maximum(values[use], 0)))
 
 
@@ -221,25 +223,34 @@ def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) ->
         for rows, terms, first in _portions(batches):
             sums = np.zeros((len(terms) + 1, model.vectors.shape[1]), np.float32)
             np.cumsum(model.vectors[_bucket(terms, model.latent)], axis=0, out=sums[1:])
+            where = np.argsort(terms, kind="stable")
+            ordered = terms[where]
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             for size, members in scales.items():
                 begin, end = _starts(first, size, max(1, size // 4))
-                for k in range(0, len(begin), 1 << 15):
-                    b, e = begin[k : k + (1 << 15)], end[k : k + (1 << 15)]
-                    windows, which = np.nonzero(unit(sums[e] - sums[b]) @ wanted[members].T >= rules.cosine)
-                    for w, m in zip(windows.tolist(), which.tolist()):
+                for part in range(0, len(begin), 1 << 15):
+                    b, e = begin[part : part + (1 << 15)], end[part : part + (1 << 15)]
+                    near = unit(sums[e] - sums[b]) @ wanted[members].T >= rules.cosine
+                    for m in np.flatnonzero(near.any(axis=0)).tolist():
+                        w = np.flatnonzero(near[:, m])
                         item = members[m]
-                        text = int(np.searchsorted(first, b[w], "right")) - 1
-                        low, high = max(first[text], b[w] - size // 2), min(first[text + 1], e[w] + size // 2)
                         _, mine, answer = items[item]
-                        region = terms[low:high]
-                        if np.isin(mine, region).sum() < rules.common * len(mine):
-                            continue
-                        common = common_subsequence(mine, region)
-                        if common < rules.common * len(mine) or common_subsequence(mine[-answer:], region) < rules.answer * min(answer, len(mine)):
-                            continue
-                        if common > best.get((text, item), (0, 0, -1))[2]:
-                            best[text, item] = int(low - first[text]), int(high - low), common
+                        text = np.searchsorted(first, b[w], "right") - 1
+                        low, high = np.maximum(first[text], b[w] - size // 2), np.minimum(first[text + 1], e[w] + size // 2)
+                        # No subsequence is longer than the words in common, which is counted for all windows at once.
+                        shared = np.zeros(len(w), np.int64)
+                        for word, times in zip(*np.unique(mine, return_counts=True)):
+                            places = where[np.searchsorted(ordered, word, "left") : np.searchsorted(ordered, word, "right")]
+                            shared += np.minimum(np.searchsorted(places, high) - np.searchsorted(places, low), times)
+                        for k in np.flatnonzero(shared >= rules.common * len(mine)).tolist():
+                            t, x, y = int(text[k]), int(low[k]), int(high[k])
+                            if best.get((t, item), (0, 0, -1))[2] >= min(len(mine), shared[k]):
+                                continue
+                            common = common_subsequence(mine, terms[x:y])
+                            if common < rules.common * len(mine) or common_subsequence(mine[-answer:], terms[x:y]) < rules.answer * min(answer, len(mine)):
+                                continue
+                            if common > best.get((t, item), (0, 0, -1))[2]:
+                                best[t, item] = int(x - first[t]), int(y - x), common
             if best:
                 yield pa.RecordBatch.from_arrays(
                     [
