@@ -160,7 +160,7 @@ class Adam:
             self.p[k] -= scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
 
 
-def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 140, sharp: int = 8, steps: int = 24, batch: int = 512, rate: float = 0.01, seed: int = 0) -> Network | None:
+def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 140, sharp: int = 6, steps: int = 24, batch: int = 256, rate: float = 0.01, seed: int = 0) -> Network | None:
     """A network for texts with labels 0 and 1; None without labelled words of both kinds.
 
     ``weak`` steps take windows at random, then ``sharp`` rounds of ``steps`` steps take texts by their worst windows. The
@@ -228,7 +228,7 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
         logit = _logits(net, net.vectors(word, chars, bounds), windows)
         worst = np.lexsort((-logit, of))
         worst = worst[np.unique(of[worst], return_index=True)[1]]
-        for part in cycled(worst, batch // 4, steps):
+        for part in cycled(worst, batch // 2, steps):
             learn(part, np.ones(len(part)))
     return net
 
