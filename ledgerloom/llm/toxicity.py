@@ -37,6 +37,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+def _gathered(rows: np.ndarray, place: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows that belong to each of ``n`` places."""
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[place[first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 def readings(words: Sequence[bytes], word_buckets: int, char_buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each word, and buckets of its runs of three and four bytes, ends marked, with their bounds."""
     marked = np.frombuffer(b"".join([b"^%b$" % w for w in words]) + b"\0\0\0", np.uint8).astype(np.uint64)
@@ -204,14 +214,13 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
         g, dx = net.gradients(dlogit, mask, kept)
         dxs = np.zeros_like(x)
         for k in "fb":
-            flat = np.zeros((len(here), 3 * shape.hidden), np.float32)
-            np.add.at(flat, at.ravel(), dx[k].reshape(-1, 3 * shape.hidden))
+            flat = _gathered(dx[k].reshape(-1, 3 * shape.hidden), at.ravel(), len(here))
             g[f"x{k}"] = x.T @ flat
             dxs += flat @ net.p[f"x{k}"].T
         dxs[gone, :d] = 0
-        g["word"], g["char"] = np.zeros_like(net.p["word"]), np.zeros_like(net.p["char"])
-        np.add.at(g["word"], word[here], dxs[:, :d])
-        np.add.at(g["char"], chars[rows], np.repeat(dxs[:, d:] / size[:, None], size, axis=0))
+        g["word"] = _gathered(dxs[:, :d], word[here], shape.word_buckets)
+        share = (dxs[:, d:] / size[:, None]).astype(np.float32)
+        g["char"] = _gathered(np.repeat(share, size, axis=0), chars[rows], shape.char_buckets)
         adam.step(g)
 
     positive = max(float(label.mean()), 1e-3)
