@@ -29,7 +29,7 @@ class Latent:
     buckets: int = 1 << 14
     passage: int = 64
     skip: int = 8
-    rank: int = 64
+    rank: int = 40
     common: float = 0.01  # part of the passages at which a word's weight is halved
     extra: int = 8
     seed: int = 0
@@ -43,7 +43,7 @@ class Latent:
 class Rules:
     """A leak shares ``common`` of the item's words in order and ``answer`` of the words of its end."""
 
-    cosine: float = 0.55
+    cosine: float = 0.6
     common: float = 0.6
     answer: float = 0.5
     least_words: int = 5
@@ -67,8 +67,8 @@ def _table(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, terms array<int>")
 
 
-def _portions(batches: Iterator[pa.RecordBatch], words: int = 1 << 17) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Rows in portions of about ``words`` words: the rows, their words, and where each row begins."""
+def _portions(batches: Iterator[pa.RecordBatch], words: int = 1 << 14) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows in portions of about ``words`` words, which a processor's cache holds: the rows, their words, and where each begins."""
     for batch in batches:
         column = batch.column(batch.num_columns - 1)
         first = column.offsets.to_numpy().astype(np.int64)
@@ -217,6 +217,7 @@ def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) ->
     for k, (_, terms, _) in enumerate(items):
         scales.setdefault(max(2, round(1.2 ** round(np.log(len(terms)) / np.log(1.2)))), []).append(k)
     unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    bags = [np.unique(t, return_counts=True) for _, t, _ in items]
     wanted = unit(np.stack([model.vectors[_bucket(t, model.latent)].sum(axis=0) for _, t, _ in items]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,9 +229,11 @@ def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) ->
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             for size, members in scales.items():
                 begin, end = _starts(first, size, max(1, size // 4))
-                for part in range(0, len(begin), 1 << 15):
-                    b, e = begin[part : part + (1 << 15)], end[part : part + (1 << 15)]
-                    near = unit(sums[e] - sums[b]) @ wanted[members].T >= rules.cosine
+                for part in range(0, len(begin), 1 << 12):
+                    b, e = begin[part : part + (1 << 12)], end[part : part + (1 << 12)]
+                    made = sums[e] - sums[b]
+                    length = np.sqrt(np.einsum("nd,nd->n", made, made)) + 1e-12
+                    near = made @ wanted[members].T >= rules.cosine * length[:, None]
                     for m in np.flatnonzero(near.any(axis=0)).tolist():
                         w = np.flatnonzero(near[:, m])
                         item = members[m]
@@ -239,9 +242,11 @@ def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) ->
                         low, high = np.maximum(first[text], b[w] - size // 2), np.minimum(first[text + 1], e[w] + size // 2)
                         # No subsequence is longer than the words in common, which is counted for all windows at once.
                         shared = np.zeros(len(w), np.int64)
-                        for word, times in zip(*np.unique(mine, return_counts=True)):
-                            places = where[np.searchsorted(ordered, word, "left") : np.searchsorted(ordered, word, "right")]
-                            shared += np.minimum(np.searchsorted(places, high) - np.searchsorted(places, low), times)
+                        words, times = bags[item]
+                        left, right = np.searchsorted(ordered, words, "left"), np.searchsorted(ordered, words, "right")
+                        for j in np.flatnonzero(right > left).tolist():
+                            places = where[left[j] : right[j]]
+                            shared += np.minimum(places.searchsorted(high) - places.searchsorted(low), times[j])
                         for k in np.flatnonzero(shared >= rules.common * len(mine)).tolist():
                             t, x, y = int(text[k]), int(low[k]), int(high[k])
                             if best.get((t, item), (0, 0, -1))[2] >= min(len(mine), shared[k]):
