@@ -94,9 +94,13 @@ class Network:
         """Word bucket, character buckets and their bounds for each word."""
         return readings(words, self.shape.word_buckets, self.shape.char_buckets)
 
-    def vectors(self, word: np.ndarray, chars: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        sums = np.add.reduceat(self.p["char"][chars], bounds[:-1], axis=0) if len(chars) else np.zeros((0, self.shape.char_size), np.float32)
-        return np.concatenate([self.p["word"][word], sums / np.diff(bounds)[:, None].astype(np.float32)], axis=1)
+    def vectors(self, word: np.ndarray, chars: np.ndarray, bounds: np.ndarray, block: int = 1 << 14) -> np.ndarray:
+        out = [np.zeros((0, self.shape.word_size + self.shape.char_size), np.float32)]
+        for k in range(0, len(word), block):
+            edge = bounds[k : k + block + 1]
+            sums = np.add.reduceat(self.p["char"][chars[edge[0] : edge[-1]]], edge[:-1] - edge[0], axis=0)
+            out.append(np.concatenate([self.p["word"][word[k : k + block]], sums / np.diff(edge)[:, None].astype(np.float32)], axis=1))
+        return np.concatenate(out)
 
     def run(self, step, mask: np.ndarray | None, keep: bool = False):
         """Scores of windows. ``step(k, t)``: gate inputs of direction k at place t. With ``keep`` what training needs."""
@@ -189,6 +193,7 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
             part = ids[a : a + shape.window]
             windows.append(part + [0] * (shape.window - len(part)))
             of.append(i)
+    del split, pairs
     windows, of = np.array(windows), np.array(of)
     word, chars, bounds = net.inputs([b"", *known])
     adam = Adam(net.p, rate)
