@@ -4,7 +4,8 @@ Words are hashed to 32 bits once and kept as a table. Passages of equal length o
 number of word buckets; a randomised SVD of that matrix is computed by passes over the table: each task adds up its part
 of A'(AX) for a random block X, the sums meet bucket by bucket, and only matrices of a fixed size reach the driver. The first
 components hold what many texts share and are left out. Every word then has a vector, weighted down the more passages hold it,
-and a window of words the sum of theirs, so windows of any length cost the same. Windows as long as an item are compared with it by cosine; candidates
+and a window of words the sum of theirs, so windows of any length cost the same. Windows as long as an item are compared with it by cosine.
+What many documents share has little weight there, so windows that hold a pair of an item's words are candidates too. Candidates
 must share a long common subsequence with the item and contain its answer, the end of the item.
 """
 
@@ -211,51 +212,120 @@ def _starts(first: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.nda
     return begin, np.minimum(begin + size, first[of + 1])
 
 
+def _pairs(terms: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of words of one text that stand next to each other, then those with one word between, and the place of their first words."""
+    of, wide = np.repeat(np.arange(len(first) - 1), np.diff(first)), terms.view(np.uint32).astype(np.uint64)
+    for apart in (1, 2):
+        at = np.flatnonzero(of[:-apart] == of[apart:])
+        yield (wide[at] << np.uint64(32)) | wide[at + apart], at
+
+
+class _Runs:
+    """Windows that share two words with an item in the item's order, at most one word apart in each, however common these words are.
+
+    Of the words that a leak keeps in order, two are neighbours in the item or have one word between them, since at least 0.6 of them
+    are kept. So a leak has such a window unless every such pair is parted by two or more foreign words.
+    """
+
+    def __init__(self, items: list[tuple], sizes: np.ndarray, least: float):
+        first = np.concatenate(([0], np.cumsum([len(t) for _, t, _ in items])))
+        terms = np.concatenate([t for _, t, _ in items])
+        of = np.repeat(np.arange(len(items)), np.diff(first))
+        made, at = (np.concatenate(x) for x in zip(*_pairs(terms, first)))
+        order = np.argsort(made, kind="stable")
+        at = at[order]
+        self.pairs, self.item, self.offset = made[order], of[at], at - first[of[at]]
+        # Each word of each item once.
+        cell = np.unique((terms.view(np.uint32).astype(np.uint64) << np.uint64(20)) | of.astype(np.uint64))
+        self.words, self.holder = cell >> np.uint64(20), (cell & np.uint64((1 << 20) - 1)).astype(np.int64)
+        self.sizes, self.least = sizes, np.ceil(least * np.diff(first)).astype(np.int64)
+
+    def near(self, terms: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items and begins of windows that hold a pair, in order."""
+        item, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for made, at in _pairs(terms, first):
+            low, many = self._found(self.pairs, made)
+            hit = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            item.append(self.item[hit])
+            begin.append(np.repeat(at, many) - self.offset[hit])
+            at = np.repeat(at, many)
+            text = np.searchsorted(first, at, "right") - 1
+            step, head = np.maximum(1, self.sizes[item[-1]] // 4), first[text]
+            last = np.maximum(first[text + 1] - head - self.sizes[item[-1]], 0)
+            begin[-1] = head + np.clip((begin[-1] - head + step // 2) // step * step, 0, last)
+        cell = np.unique(np.concatenate(item) * (len(terms) + 1) + np.concatenate(begin))
+        return cell // (len(terms) + 1), cell % (len(terms) + 1)
+
+    def enough(self, terms: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, group: int = 256) -> np.ndarray:
+        """Which of some regions have as many places with words of the item as a leak has; items come in order."""
+        out = np.zeros(len(item), bool)
+        wide = terms.view(np.uint32).astype(np.uint64)
+        start, many = self._found(self.words, wide)
+        held = np.flatnonzero(many)
+        at = np.repeat(held, many[held])
+        holder = self.holder[np.repeat((start - np.cumsum(many) + many)[held], many[held]) + np.arange(len(at))]
+        for k in range(0, int(item.max(initial=-1)) + 1, group):
+            part = slice(*np.searchsorted(item, (k, k + group)))
+            if part.start < part.stop:
+                mine = (holder >= k) & (holder < k + group)
+                place = np.sort(holder[mine] * (len(terms) + 1) + at[mine])
+                base = item[part] * (len(terms) + 1)
+                out[part] = place.searchsorted(base + high[part]) - place.searchsorted(base + low[part]) >= self.least[item[part]]
+        return out
+
+    @staticmethod
+    def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = known.searchsorted(asked, "left")
+        return low, known.searchsorted(asked, "right") - low
+
+
 def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) -> DataFrame:
     """(key, item, start, words, common): leaks of some items, (number, terms, answer words)."""
     scales: dict[int, list[int]] = {}
     for k, (_, terms, _) in enumerate(items):
         scales.setdefault(max(2, round(1.2 ** round(np.log(len(terms)) / np.log(1.2)))), []).append(k)
+    sizes = np.zeros(len(items), np.int64)
+    for size, members in scales.items():
+        sizes[members] = size
     unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     bags = [np.unique(t, return_counts=True) for _, t, _ in items]
     wanted = unit(np.stack([model.vectors[_bucket(t, model.latent)].sum(axis=0) for _, t, _ in items]))
+    runs = _Runs(items, sizes, rules.common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, terms, first in _portions(batches):
             sums = np.zeros((len(terms) + 1, model.vectors.shape[1]), np.float32)
             np.cumsum(model.vectors[_bucket(terms, model.latent)], axis=0, out=sums[1:])
-            where = np.argsort(terms, kind="stable")
-            ordered = terms[where]
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
+            some = [runs.near(terms, first)]
             for size, members in scales.items():
                 begin, end = _starts(first, size, max(1, size // 4))
                 for part in range(0, len(begin), 1 << 12):
                     b, e = begin[part : part + (1 << 12)], end[part : part + (1 << 12)]
                     made = sums[e] - sums[b]
                     length = np.sqrt(np.einsum("nd,nd->n", made, made)) + 1e-12
-                    near = made @ wanted[members].T >= rules.cosine * length[:, None]
-                    for m in np.flatnonzero(near.any(axis=0)).tolist():
-                        w = np.flatnonzero(near[:, m])
-                        item = members[m]
-                        _, mine, answer = items[item]
-                        text = np.searchsorted(first, b[w], "right") - 1
-                        low, high = np.maximum(first[text], b[w] - size // 2), np.minimum(first[text + 1], e[w] + size // 2)
-                        # No subsequence is longer than the words in common, which is counted for all windows at once.
-                        shared = np.zeros(len(w), np.int64)
-                        words, times = bags[item]
-                        left, right = np.searchsorted(ordered, words, "left"), np.searchsorted(ordered, words, "right")
-                        for j in np.flatnonzero(right > left).tolist():
-                            places = where[left[j] : right[j]]
-                            shared += np.minimum(places.searchsorted(high) - places.searchsorted(low), times[j])
-                        for k in np.flatnonzero(shared >= rules.common * len(mine)).tolist():
-                            t, x, y = int(text[k]), int(low[k]), int(high[k])
-                            if best.get((t, item), (0, 0, -1))[2] >= min(len(mine), shared[k]):
-                                continue
-                            common = common_subsequence(mine, terms[x:y])
-                            if common < rules.common * len(mine) or common_subsequence(mine[-answer:], terms[x:y]) < rules.answer * min(answer, len(mine)):
-                                continue
-                            if common > best.get((t, item), (0, 0, -1))[2]:
-                                best[t, item] = int(x - first[t]), int(y - x), common
+                    w, m = np.nonzero(made @ wanted[members].T >= rules.cosine * length[:, None])
+                    some.append((np.array(members)[m], b[w]))
+            cell = np.unique(np.concatenate([i * (len(terms) + 1) + b for i, b in some]))
+            which, b = cell // (len(terms) + 1), cell % (len(terms) + 1)
+            of = np.searchsorted(first, b, "right") - 1
+            size = sizes[which]
+            low, high = np.maximum(first[of], b - size // 2), np.minimum(first[of + 1], np.minimum(b + size, first[of + 1]) + size // 2)
+            use = runs.enough(terms, which, low, high)
+            which, of, low, high = which[use], of[use], low[use], high[use]
+            # No subsequence is longer than the words in common, each as often as in the item.
+            for t, item, x, y in zip(of.tolist(), which.tolist(), low.tolist(), high.tolist()):
+                _, mine, answer = items[item]
+                words, times = bags[item]
+                here = np.sort(terms[x:y])
+                shared = int(np.minimum(here.searchsorted(words, "right") - here.searchsorted(words, "left"), times).sum())
+                if shared < rules.common * len(mine) or best.get((t, item), (0, 0, -1))[2] >= min(len(mine), shared):
+                    continue
+                common = common_subsequence(mine, terms[x:y])
+                if common < rules.common * len(mine) or common_subsequence(mine[-answer:], terms[x:y]) < rules.answer * min(answer, len(mine)):
+                    continue
+                if common > best.get((t, item), (0, 0, -1))[2]:
+                    best[t, item] = int(x - first[t]), int(y - x), common
             if best:
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -71,3 +71,23 @@ def test_common_subsequence_and_nothing_to_do(spark):
     assert decontaminate.leaks(empty, bench, latent=LATENT).count() == 0
     one = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     assert decontaminate.leaks(one, bench.limit(0), latent=LATENT).count() == 0
+
+
+def test_an_item_in_a_third_of_the_documents_is_found(spark):
+    rng = random.Random(5)
+    lexicon = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in ("a", "e", "ion", "ur") for c in ("", "x", "la", "mes", "tik", "vor")]
+    lexicon += [f"w{k}" for k in range(3000)]
+    say = lambda n: " ".join(rng.choice(lexicon[: 60 if rng.random() < 0.5 else len(lexicon)]) for _ in range(n))
+    items = [(k, say(30) + ". " + say(6)) for k in range(12)]
+    docs, want = [], set()
+    for k in range(600):
+        words = say(rng.randrange(60, 260)).split()
+        at = rng.randrange(len(words))
+        if k % 3 == 0:
+            words[at:at] = items[0][1].split()
+            want.add((k, 0))
+        docs.append((k, " ".join(words)))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaks(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want
+    assert all(r.common == 1 for r in got)
