@@ -30,7 +30,7 @@ class Latent:
     buckets: int = 1 << 14
     passage: int = 64
     skip: int = 8
-    rank: int = 40
+    rank: int = 64
     common: float = 0.01  # part of the passages at which a word's weight is halved
     extra: int = 8
     seed: int = 0
@@ -44,7 +44,7 @@ class Latent:
 class Rules:
     """A leak shares ``common`` of the item's words in order and ``answer`` of the words of its end."""
 
-    cosine: float = 0.6
+    cosine: float = 0.55
     common: float = 0.6
     answer: float = 0.5
     least_words: int = 5

@@ -91,3 +91,22 @@ def test_an_item_in_a_third_of_the_documents_is_found(spark):
     got = decontaminate.leaks(df, bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
     assert all(r.common == 1 for r in got)
+
+
+def test_paraphrases_down_to_the_rule_are_found_with_production_parameters(spark):
+    assert (decontaminate.Latent().rank, decontaminate.Rules().cosine) == (64, 0.55)
+    docs, items, _ = texts()
+    rng, want = random.Random(7), set()
+    for k in range(120):
+        item, body = rng.choice(items)
+        words = body.split()
+        n, answer = len(words), min(decontaminate.answer_words(body.encode()), len(words))
+        kept = set(rng.sample(range(n - answer, n), -(-answer // 2)))
+        need = -(-n * (6 + k % 4) // 10)
+        kept |= set(rng.sample([i for i in range(n) if i not in kept], max(0, need - len(kept))))
+        host = docs[rng.randrange(300)][1].split()
+        at = rng.randrange(len(host) + 1)
+        docs.append((5000 + k, " ".join([*host[:at], *(w if i in kept else f"other{rng.randrange(500)}" for i, w in enumerate(words)), *host[at:]])))
+        want.add((5000 + k, item))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert want <= {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()}
