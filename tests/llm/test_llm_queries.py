@@ -62,3 +62,13 @@ def test_pipeline_of_odd_rows(spark):
     assert left[1] == {1, 3, 4, 5, 6, 7, None}
     assert left[2] == {1, 3, 4, 6, 7, None}
     assert left[3] == left[4] == {1, 3, 4, 6, None}
+
+
+def test_only_the_leaking_row_of_a_number_goes(spark):
+    item = next(r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect())
+    clean = [" ".join(f"w{k}" for k in range(a, a + 60)) for a in (0, 100, 200)]
+    rows = [(None, clean[0]), (None, f"{clean[1]} {item}"), (None, None), (7, clean[1]), (7, f"{clean[0]} {item}"), (7, f"{clean[0]} {item}"), (7, clean[2]), (8, item)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.drop_leaks(spark, docs, FOLDER)
+    assert left.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in left.collect()} == {(None, clean[0]), (None, None), (7, clean[1]), (7, clean[2])}
