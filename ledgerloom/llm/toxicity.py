@@ -174,11 +174,11 @@ class Adam:
             self.p[k] -= scale * self.m[k] / (np.sqrt(self.v[k]) + 1e-8)
 
 
-def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 140, sharp: int = 6, steps: int = 24, batch: int = 256, rate: float = 0.01, seed: int = 0) -> Network | None:
+def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), weak: int = 140, sharp: int = 8, steps: int = 24, batch: int = 256, rate: float = 0.01, seed: int = 0) -> Network | None:
     """A network for texts with labels 0 and 1; None without labelled words of both kinds.
 
-    ``weak`` steps take windows at random, then ``sharp`` rounds of ``steps`` steps take texts by their worst windows. The
-    number of steps does not depend on the sample.
+    ``weak`` steps, or as many as take every window once if that is more, take windows at random; then ``sharp`` rounds of
+    ``steps`` steps take texts by their worst windows.
     """
     split = [t.lower().split() for t in texts]
     pairs = [(w, y) for w, y in zip(split, labels) if w]
@@ -236,7 +236,7 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
         for k in range(times):
             yield order[k * size : (k + 1) * size]
 
-    for part in cycled(np.arange(len(windows)), batch, weak):
+    for part in cycled(np.arange(len(windows)), batch, max(weak, -(-len(windows) // batch))):
         learn(part, balance[of[part]])
     for _ in range(sharp):
         logit = _logits(net, net.vectors(word, chars, bounds), windows)

@@ -67,3 +67,12 @@ def test_held_out_accuracy_and_odd_rows(spark):
     scores = [r.score for r in toxicity.scored(odd, net).orderBy(F.col("doc_id").asc_nulls_first()).collect()]
     assert scores[:3] == [0.0, 0.0, 0.0] and all(0 <= s <= 1 for s in scores)
     assert toxicity.scored(odd.limit(0), net).count() == 0 and {r.score for r in toxicity.scored(odd, None).collect()} == {0.0}
+
+
+def test_every_window_is_learned_from(monkeypatch):
+    read = []
+    gradients = toxicity.Network.gradients
+    monkeypatch.setattr(toxicity.Network, "gradients", lambda net, d, mask, kept: read.append(len(d)) or gradients(net, d, mask, kept))
+    texts = [b" ".join(b"w%d" % ((k * 7 + i) % 50) for i in range(32 + 24 * 9)) for k in range(8)]
+    assert toxicity.fit(texts, [k % 2 for k in range(8)], weak=3, sharp=0, batch=8)
+    assert sum(read) >= 80
