@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, linededup, packing, quality, repeats, sharding, simhash, toxicity, urllists, warc
+from . import decontaminate, dialogue, linededup, merkle, packing, quality, repeats, sharding, simhash, suffixes, toxicity, urllists, warc
 from .catalog import query, table
 from .shared import written
 from .vocabulary import RANKS, TOKENIZER
@@ -120,3 +122,103 @@ def line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_latent_decontamination")
 def latent_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression of the unsigned CRC-32 of an ASCII text: a byte is taken in, then eight bits are shifted out."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    shift = "xor(a >> 1, 3988292384 * (a & 1))"
+    return f"xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE {shift} END))"
+
+
+MERKLE_SQL = f"""
+WITH RECURSIVE field AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS tree, text,
+    concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+      coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head
+  FROM documents),
+leaf AS (
+  SELECT row, doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN doc_id IS NOT NULL AND {crc32_sql("doc_id::VARCHAR")} % 5 = 0
+      THEN sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS changed
+  FROM field),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM leaf),
+low AS (
+  SELECT tree, 0 AS lvl, pos, n, leaf AS node FROM ranked
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY tree, lvl, pos // 16, n),
+top AS (
+  SELECT 0 AS lvl, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, node FROM low WHERE n = 1
+  UNION ALL
+  SELECT lvl + 1, pos // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 16, n),
+beside AS (
+  SELECT tree, lvl, pos,
+    coalesce(string_agg(node, '') OVER (PARTITION BY tree, lvl, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(node, '') OVER (PARTITION BY tree, lvl, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM low WHERE n > 1
+  UNION ALL
+  SELECT NULL, lvl, pos,
+    coalesce(string_agg(node, '') OVER (PARTITION BY lvl, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+    coalesce(string_agg(node, '') OVER (PARTITION BY lvl, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')
+  FROM top WHERE n > 1),
+up AS (
+  SELECT row, tree, 0 AS lvl, pos, changed AS node, '' AS proof FROM ranked
+  UNION ALL
+  SELECT row, up.tree, up.lvl + 1, up.pos // 16, sha256(l || node || r), proof || l || r FROM up JOIN beside b ON b.tree = up.tree AND b.lvl = up.lvl AND b.pos = up.pos),
+under AS (SELECT row, tree, node, proof FROM up QUALIFY row_number() OVER (PARTITION BY row ORDER BY lvl DESC) = 1),
+tops AS (SELECT tree, node AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM low WHERE n = 1),
+final AS (
+  SELECT row, subroot, 0 AS lvl, pos, node, proof FROM under JOIN tops USING (tree)
+  UNION ALL
+  SELECT row, subroot, f.lvl + 1, f.pos // 16, sha256(l || node || r), proof || l || r FROM final f JOIN beside b ON b.tree IS NULL AND b.lvl = f.lvl AND b.pos = f.pos),
+done AS (SELECT row, subroot, node, proof FROM final QUALIFY row_number() OVER (PARTITION BY row ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, subroot, (SELECT node FROM top WHERE n = 1) AS root, sha256(proof) AS proof_sha256, node AS folded_root,
+  node = (SELECT node FROM top WHERE n = 1) AS verified
+FROM done JOIN ranked USING (row)
+"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    # Null where the leaf stays what it is.
+    changed = F.when(tampered, merkle.leaf_of(*head, lower))
+    found = merkle.manifest(docs, merkle.leaf_of(*head, F.col("text")), carry={"changed": changed})
+    fold = merkle.folded(F.coalesce("changed", "leaf"), F.col("path"))
+    out = found.select("doc_id", "leaf", "subroot", "root", merkle.proof_of(F.col("path")).alias("proof_sha256"), fold.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Rows dropped, emptied, cut, repeated or given to the user, by the hash of their number."""
+    blank = F.lit(" ")
+    name = F.concat(*[F.coalesce(F.col(c).cast("string"), blank) if c else F.lit(":") for c in ("conv_id", "", "turn")])
+    kind = F.crc32(name) % 20
+    text, role = F.coalesce("text", blank), F.coalesce("role", blank)
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), kind.alias("kind")).where("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("kind") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+@query("op11_conversation_repair")
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    found = dialogue.repaired(_damaged(rows)).summary
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = found.select(F.col("conv_id").alias("__conv"), *counts, "audit", "repaired_sha256")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("__conv")), "left")
+    zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts]
+    return every.select("conv_id", *zero, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(dialogue.EMPTY_SHA256)).alias("repaired_sha256"))
+
+
+@query("op13_bucket_pointer_dedup")
+def bucket_pointer_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeated_bytes(table(spark, folder, "documents"), width=100)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

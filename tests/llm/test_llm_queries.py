@@ -29,6 +29,9 @@ CONTRACTS = {
     "op8_risk_controlled_quality": ("doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept", "documents"),
     "op9_substring_dedup": ("doc_id n_words n_removed kept_sha256", "documents"),
     "op10_recurrent_toxicity": ("doc_id held_out score predicted", "documents"),
+    "op11_conversation_repair": ("conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256", None),
+    "op12_merkle_manifest": ("doc_id leaf subroot root proof_sha256 folded_root verified", "documents"),
+    "op13_bucket_pointer_dedup": ("doc_id n_bytes n_removed n_spans kept_sha256", "documents"),
 }
 
 
