@@ -1,28 +1,29 @@
 """Substring dedup by a suffix array over bytes: what a string of ``width`` bytes covers goes if that string starts earlier too.
 
-Bucket-pointer refinement. Suffixes are put into buckets by their first bytes (q-grams), and a bucket is refined by the bucket
-identifiers of later offsets: that of length 2q at p follows from those of length q at p and at p + q, that of 4q from the refined
-ones at p and p + 2q, until ``width`` bytes are told apart. Only buckets with two places are refined further.
+Bucket-pointer refinement. Suffixes are put into buckets by their first bytes (q-grams, a quarter of the width long), and the
+places of a bucket are refined by the identifiers of the bytes at later offsets, before and behind: the identifier of a refined
+bucket follows from that of the bucket it came from and those of the offsets that are new. Refined buckets are refined in
+turn, until ``width`` bytes are told apart. A bucket points to its earliest place, and a bucket with one place is done.
 
 Not every suffix is sorted. A window stands by its least q-gram (leftmost of equals), and equal windows choose the same q-gram at
-the same place, so a few suffixes in a hundred bytes fill the first buckets, and those alone in theirs are done. Windows that are next to each
-other and chose the same suffix form a block. A bucket is refined by whole blocks first: blocks with the same identifiers at both
-ends are equal, and the earliest of them is what the others point to. Only where a bucket holds different blocks, one of each
-kind is taken apart into windows, which are refined by place and identifier; the pointer of each bucket is its earliest place. A place is
-a byte of all texts put one after the other, so earlier is smaller.
+the same place, so a few suffixes in a hundred bytes fill the first buckets. Windows that are next to each other and chose the same
+suffix form a block. Blocks of a bucket whose bytes are all equal need no refinement: all but the earliest lose all their
+windows. Only where a bucket holds different blocks, the earliest of each kind is cut into sections, whose windows have more
+bytes in common, and these into smaller ones down to single windows. A place is a byte of all texts put one after the other,
+so earlier is smaller.
 
 Copies of a text take part once. Minima and counts are merged before a shuffle, so a passage in a third of all documents is a
-row per task. Identifiers are 64-bit hashes from two families, of the q-gram and of the window.
+row per task. Identifiers are 64-bit hashes from two families, of the bytes that a bucket shares and of all bytes of a block.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, functions as F
 
 from .ranks import placed
@@ -33,22 +34,17 @@ EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def levels(width: int) -> list[tuple[int, int]]:
-    """(length so far, offset of the next identifier) until ``width``; the last two may overlap."""
-    q = first(width)
-    out = []
-    while q < width:
-        step = min(q, width - q)
-        out.append((q, step))
-        q += step
-    return out
-
-
 def first(width: int) -> int:
     """Length of the q-grams: a quarter of the window."""
     return -(-width // 4)
 
 
+def sections(width: int) -> list[int]:
+    """Windows to a section: all that can stand by one q-gram, a third, a twelfth, one."""
+    span = width - first(width) + 1
+    return sorted({span, -(-span // 3), -(-span // 12), 1}, reverse=True)
+
+
 class Bytes(Words):
     """Texts byte by byte: every byte is a place of its own, and no run crosses the end of a text."""
 
@@ -69,13 +65,6 @@ class Bytes(Words):
         at = np.arange(len(self.buffer) - length + 1)
         return self.hashes(at, at + length, family)
 
-    def refined(self, width: int) -> np.ndarray:
-        """Identifiers of ``width`` bytes: pairs of the identifiers before, at a place and at a later offset."""
-        now = self.identifiers(first(width), 1)
-        for _, step in levels(width):
-            now = mix(mix(now[: len(now) - step]) * PAIR + now[step:])
-        return now
-
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Starts of all windows, the q-gram that each stands by, and the identifiers of all q-grams."""
         q = first(width)
@@ -97,13 +86,25 @@ def _inside(first: np.ndarray, size: int, width: int) -> np.ndarray:
     return np.cumsum(edge[:size]) > 0
 
 
+#: Low bits of a packed identifier that hold its index.
+INDEX = np.uint64((1 << 20) - 1)
+
+
 def _least(values: np.ndarray, span: int) -> np.ndarray:
-    """Index of the least of ``span`` values from each place on, leftmost of equals."""
+    """Index of the least of ``span`` values from each place on, leftmost of equals; by the upper 44 bits.
+
+    The least of a window is that of the rest of one aligned piece and of the start of the next.
+    """
     out = np.empty(len(values) - span + 1, np.int64)
-    for a in range(0, len(out), 1 << 16):
-        part = values[a : a + (1 << 16) + span - 1]
-        out[a : a + (1 << 16)] = sliding_window_view(part, span).argmin(axis=1)
-    out += np.arange(len(out))
+    for a in range(0, len(out), 1 << 18):
+        part = values[a : a + (1 << 18) + span - 1]
+        packed = np.full(-(-len(part) // span) * span, ~np.uint64(0))
+        packed[: len(part)] = (part & ~INDEX) | np.arange(len(part), dtype=np.uint64)
+        pieces = packed.reshape(-1, span)
+        upto = np.minimum.accumulate(pieces, axis=1).ravel()
+        rest = np.minimum.accumulate(pieces[:, ::-1], axis=1)[:, ::-1].ravel()
+        n = len(part) - span + 1
+        out[a : a + n] = (np.minimum(rest[:n], upto[span - 1 : span - 1 + n]) & INDEX).astype(np.int64) + a
     return out
 
 
@@ -136,18 +137,31 @@ def _rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return plain.mapInArrow(run, f"key {kind}, row long, seq binary, n_bytes long, grams array<long>, at array<int>")
 
 
-def _blocks(carriers: DataFrame, width: int) -> DataFrame:
-    """Blocks of windows that stand by a q-gram which another place has too, with the refined identifiers of their windows."""
+LEVEL = "start long, place long, n int, high int, low int, core long, shape long, span binary"
+
+
+def _level(start, place, n, high, low, core, shape, spans) -> pa.RecordBatch:
+    columns = [pa.array(start, pa.int64()), pa.array(place, pa.int64()), *[pa.array(x.astype(np.int32)) for x in (n, high, low)], pa.array(signed(core)), pa.array(signed(shape)), pa.array(spans, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["start", "place", "n", "high", "low", "core", "shape", "span"])
+
+
+def _shape(data: Bytes, begin: np.ndarray, n: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
+    """Equal for equal bytes with the q-gram at the same place."""
+    return mix(data.hashes(begin, begin + n + (width - 1), 1) ^ mix((high * (2 * width) + n).astype(np.uint64)))
+
+
+def _blocks(texts: DataFrame, width: int) -> DataFrame:
+    """Blocks of windows that stand by a q-gram which another place has too.
+
+    ``place`` is that of the first window, ``high`` how far behind it the q-gram starts, ``span`` all bytes of the windows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seqs, starts, texts = batch.column(0).to_pylist(), batch.column(1).to_numpy(), as_bytes(batch.column(2))
-            live = batch.column(3).to_pylist()
+            starts, texts, live = batch.column(0).to_numpy(), as_bytes(batch.column(1)), batch.column(2).to_pylist()
             for part in chunks(texts):
                 data = Bytes(texts[part])
                 at, chosen, grams = data.windows(width)
-                if not len(at):
-                    continue
                 good = np.zeros(len(data.buffer), bool)
                 for i, mine in enumerate(live[part]):
                     good[data.first[i] + np.array(mine, np.int64)] = True
@@ -155,34 +169,55 @@ def _blocks(carriers: DataFrame, width: int) -> DataFrame:
                 at, chosen = at[kept], chosen[kept]
                 if not len(at):
                     continue
-                names = data.refined(width)
                 new = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(chosen) != 0))))
-                begin, end, anchor = at[new], at[np.concatenate((new[1:], [len(at)])) - 1], chosen[new]
-                # A block is at most width - q + 1 windows long, so those at both ends cover all its bytes.
-                shape = mix(mix(names[begin]) * PAIR + names[end]) ^ mix(((anchor - begin) * (2 * width) + (end - begin)).astype(np.uint64))
-                of = data.of(begin)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([seqs[part.start + i] for i in of], pa.binary()),
-                        pa.array(signed(grams[anchor])),
-                        pa.array(signed(shape)),
-                        pa.array(starts[part][of] + begin - data.first[of]),
-                        pa.array((begin - data.first[of]).astype(np.int32)),
-                        pa.array((end - begin + 1).astype(np.int32)),
-                        pa.array((anchor - begin).astype(np.int32)),
-                        lists(signed(names[at]), np.concatenate((new, [len(at)])), pa.int64()),
-                    ],
-                    ["seq", "gram", "shape", "place", "begin", "n", "back", "names"],
-                )
+                begin, n = at[new], np.diff(np.concatenate((new, [len(at)])))
+                high, of = chosen[new] - begin, data.of(begin)
+                whole = data.buffer.tobytes()
+                spans = [whole[a:b] for a, b in zip(begin.tolist(), (begin + n + width - 1).tolist())]
+                start = starts[part][of]
+                yield _level(start, start + begin - data.first[of], n, high, np.zeros(len(n)), grams[begin + high], _shape(data, begin, n, high, width), spans)
+
+    return texts.select("start", "text", "at").mapInArrow(run, LEVEL)
 
-    return carriers.select("seq", "start", "text", "at").mapInArrow(run, "seq binary, gram long, shape long, place long, begin int, n int, back int, names array<long>")
+
+def _sections(models: DataFrame, width: int, size: int, smaller: int) -> DataFrame:
+    """Sections of ``smaller`` windows of those of ``size``, in refined buckets.
+
+    A section holds the windows whose q-gram starts ``low`` to ``low + size - 1`` bytes behind them, as far as they are there.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = as_bytes(batch.column(7))
+            start, place, n, high, low = (batch.column(i).to_numpy().astype(np.int64) for i in range(5))
+            core = batch.column(5).to_numpy().view(np.uint64)
+            data = Bytes(spans)
+            base, whole = data.first[:-1], data.buffer.tobytes()
+            for k in range(0, size, smaller):
+                down = low + k
+                up = np.minimum(down, low + size - 1) + min(smaller, size - k) - 1
+                top, bottom = np.minimum(high, up), np.maximum(high - n + 1, down)
+                rows = np.flatnonzero(top >= bottom)
+                if not len(rows):
+                    continue
+                top, bottom, up_, down_ = top[rows], bottom[rows], up[rows], down[rows]
+                gram = base[rows] + high[rows]
+                # Bytes that all windows of the section share and those of the wider one did not: at offsets before and behind.
+                left = data.hashes(gram - down_, gram - low[rows], 0)
+                right = data.hashes(gram - low[rows] - (size - 1) + width, gram - up_ + width, 0)
+                refined = mix(mix(mix(core[rows] + down_.astype(np.uint64)) * PAIR + left) * PAIR + right)
+                begin, m = gram - top, top - bottom + 1
+                cut = [whole[a:b] for a, b in zip(begin.tolist(), (begin + m + width - 1).tolist())]
+                yield _level(start[rows], place[rows] + high[rows] - top, m, top, down_, refined, _shape(data, begin, m, top, width), cut)
+
+    return models.select("start", "place", "n", "high", "low", "core", "shape", "span").mapInArrow(run, LEVEL)
 
 
 SPANS = "array<struct<start:long,length:long>>"
 
 
 def _covered(carriers: DataFrame, width: int) -> DataFrame:
-    """Per text: removed spans of bytes and the SHA-256 of what is left. ``ranges``: first window, windows, and which (none: all)."""
+    """Per text: removed spans of bytes and the SHA-256 of what is left. ``ranges``: first window and number of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,10 +225,9 @@ def _covered(carriers: DataFrame, width: int) -> DataFrame:
             removed, spans, kept = [], [], []
             for t, ranges in zip(texts, found):
                 edge = np.zeros(len(t) + 1, np.int64)
-                for r in ranges:
-                    at = np.array([r["begin"]] if r["hits"] is None else r["hits"], np.int64) + (0 if r["hits"] is None else r["begin"])
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + width + (r["n"] - 1 if r["hits"] is None else 0), -1)
+                begin = np.array([r["begin"] for r in ranges], np.int64)
+                np.add.at(edge, begin, 1)
+                np.add.at(edge, begin + np.array([r["n"] for r in ranges], np.int64) + (width - 1), -1)
                 gone = np.concatenate(([0], np.cumsum(edge[:-1]) > 0, [0])).astype(np.int8)
                 turn = np.flatnonzero(np.diff(gone))
                 starts, ends = turn[::2].tolist(), turn[1::2].tolist()
@@ -205,34 +239,37 @@ def _covered(carriers: DataFrame, width: int) -> DataFrame:
                 kept.append(left.hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(removed, pa.int64()), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), pa.array(kept, pa.string())],
-                ["seq", "n_removed", "removed", "kept_sha256"],
+                ["row", "n_removed", "removed", "kept_sha256"],
             )
 
-    return carriers.select("seq", "text", "ranges").mapInArrow(run, f"seq binary, n_removed long, removed {SPANS}, kept_sha256 string")
-
-
-def _ranges(blocks: DataFrame) -> DataFrame:
-    """Windows that start earlier too, by block: (seq, begin, n, hits); no ``hits``: all windows of the block."""
-    kinds = blocks.groupBy("gram", "shape").agg(F.min("place").alias("earliest"), F.count("*").alias("copies"))
-    buckets = written(kinds, "kinds")
-    # Buckets with different blocks; each kind of block stands there once, at its earliest place.
-    mixed = buckets.groupBy("gram").agg(F.min("shape").alias("a"), F.max("shape").alias("b")).where("a <> b").select("gram")
-    mixed = narrow_side(written(mixed, "mixed"), 8)
-    alone = blocks.select("gram", "shape", F.col("place").alias("earliest"), "n", "back", "names")
-    models = alone.join(mixed, "gram", "left_semi").join(buckets, ["gram", "shape", "earliest"])
-    singles = models.select("gram", "earliest", "back", F.posexplode("names").alias("i", "name"))
-    singles = written(singles.select("gram", (F.col("back") - F.col("i")).alias("offset"), "name", "earliest", "i", (F.col("earliest") + F.col("i")).alias("place")), "singles")
-    by = ["gram", "offset", "name"]
-    # Written, so that adaptive execution can split a frequent window in the join.
-    pointers = written(singles.groupBy(*by).agg(F.min("place").alias("pointer"), F.max("place").alias("b")).where("pointer <> b").drop("b"), "pointers")
-    later = singles.join(pointers, by).where("pointer < place").groupBy("gram", "earliest").agg(F.sort_array(F.collect_list("i")).alias("hits"))
-    # The earliest block of a kind loses what other kinds have earlier, all others of it lose all their windows.
-    known = buckets.withColumnRenamed("shape", "__shape").withColumnRenamed("gram", "__gram")
-    placed_ = blocks.select("seq", "gram", "shape", "place", "begin", "n").join(known, (F.col("gram") == F.col("__gram")) & (F.col("shape") == F.col("__shape")))
-    copies = placed_.where("place > earliest").select("seq", "begin", "n", F.lit(None).cast("array<int>").alias("hits"))
-    heads = placed_.where("place = earliest").select("seq", "gram", "place", "begin", "n")
-    later = written(later.withColumnRenamed("earliest", "place"), "later")
-    return copies.unionByName(heads.join(later, ["gram", "place"]).select("seq", "begin", "n", "hits"))
+    return carriers.select("row", "text", "ranges").mapInArrow(run, f"row long, n_removed long, removed {SPANS}, kept_sha256 string")
+
+
+def _ranges(blocks: DataFrame, width: int) -> DataFrame:
+    """Windows that start earlier too: (start of the text, begin, n)."""
+    sizes, rows, found = sections(width), blocks, []
+    for size, smaller in zip(sizes, [*sizes[1:], None]):
+        kinds = written(rows.groupBy("core", "shape").agg(F.min("place").alias("earliest"), F.count("*").alias("copies")), "kinds")
+        # Written before the join, so that adaptive execution can split a bucket with many kinds.
+        mixed = kinds.groupBy("core").agg(F.min("shape").alias("a"), F.max("shape").alias("b")).where("a <> b").select("core", F.lit(True).alias("mixed"))
+        pointers = kinds.join(narrow_side(written(mixed, "mixed"), 16), "core", "left").where("copies > 1 or mixed")
+        pointers = written(pointers.select("core", "shape", "earliest", "copies", "mixed"), "pointers")
+        twice = narrow_side(pointers.where("copies > 1").select("core", "shape", "earliest"), 32)
+        found.append(rows.select("start", "place", "n", "core", "shape").join(twice, ["core", "shape"]).where("place > earliest"))
+        if smaller is None:
+            break
+        # The earliest of each kind, where its bucket has other kinds: these may share some of its windows.
+        models = rows.join(narrow_side(pointers.where("mixed").select(F.col("earliest").alias("place")), 16), "place", "left_semi")
+        rows = written(_sections(models, width, size, smaller), "sections")
+    hits = reduce(DataFrame.unionByName, [f.select("start", (F.col("place") - F.col("start")).cast("int").alias("begin"), "n") for f in found])
+    return hits.groupBy("start").agg(F.collect_list(F.struct("begin", "n")).alias("ranges"))
+
+
+def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (seq and more) with one text of each."""
+    whole = docs.select(F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)).alias("seq"), F.col(text).cast("string").alias("text"))
+    whole = whole.join(narrow_side(wanted.select("seq"), 48), "seq", "left_semi").groupBy("seq").agg(F.first("text").alias("text"))
+    return whole.join(wanted, "seq")
 
 
 def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
@@ -244,31 +281,29 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     """
     rows = written(_rows(docs, key, text, width), "rows")
     one = rows.groupBy("seq").agg(F.min(F.struct("key", "row")).alias("head"), F.max("n_bytes").alias("n_bytes"))
-    ordered = placed(written(one.select("seq", F.col("head.key").alias("key"), F.col("head.row").alias("row"), "n_bytes"), "texts"), ["key", "seq"], F.col("n_bytes"))
-    texts = written(ordered.select("seq", "row", F.col("__before").alias("start")), "starts")
-    grams = rows.join(texts, ["seq", "row"]).select("seq", "start", F.explode(F.arrays_zip("grams", "at")).alias("g"))
-    grams = grams.select("seq", F.col("g.grams").alias("gram"), F.col("g.at").alias("at"), (F.col("start") + F.col("g.at")).alias("place"))
-    buckets = grams.groupBy("gram").agg(F.min("place").alias("low"), F.max("place").alias("high")).where("low <> high").select("gram")
+    heads = written(one.select("seq", F.col("head.key").alias("key"), F.col("head.row").alias("row"), "n_bytes"), "heads")
+    copies = rows.select("row").join(heads.select("row"), "row", "left_anti")
+    # Each text once, so a q-gram that is counted twice has two places.
+    grams = rows.select("row", "grams", "at").join(narrow_side(written(copies, "copies"), 16), "row", "left_anti").select("row", F.explode(F.arrays_zip("grams", "at")).alias("g"))
+    grams = grams.select("row", F.col("g.grams").alias("gram"), F.col("g.at").alias("at"))
+    buckets = grams.groupBy("gram").agg(F.count("*").alias("places")).where("places > 1").select("gram")
     live = narrow_side(written(buckets, "buckets"), 8)
-    found = written(grams.join(live, "gram", "left_semi").groupBy("seq").agg(F.collect_list("at").alias("at")).join(texts, "seq"), "found")
-    whole = docs.select(F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)).alias("seq"), F.col(text).cast("string").alias("text"))
-    thin = narrow_side(found.select("seq"), 48)
-    whole = whole.join(thin, "seq", "left_semi").groupBy("seq").agg(F.first("text").alias("text"))
-    carriers = written(whole.join(found, "seq").select("seq", "start", "text", "at"), "carriers")
-    blocks = written(_blocks(carriers, width), "blocks")
-    ranges = _ranges(blocks).groupBy("seq").agg(F.collect_list(F.struct("begin", "n", "hits")).alias("ranges"))
-    lost = written(_covered(carriers.select("seq", "text").join(ranges, "seq"), width), "covered")
-    heads = texts.select("seq", "row", F.lit(True).alias("head"))
-    out = rows.select("key", "row", "seq", "n_bytes").join(heads, ["seq", "row"], "left").join(lost, "seq", "left")
+    carried = grams.join(live, "gram", "left_semi").groupBy("row").agg(F.collect_list("at").alias("at"))
+    starts = placed(heads, ["key", "seq"], F.col("n_bytes")).select("row", "seq", F.col("__before").alias("start"))
+    wanted = written(carried.join(starts, "row"), "wanted")
+    blocks = written(_blocks(_texts(docs, text, wanted), width), "blocks")
+    ranges = written(_ranges(blocks, width).join(wanted.select("start", "row", "seq"), "start").select("row", "seq", "ranges"), "ranges")
+    lost = written(_covered(_texts(docs, text, ranges), width), "covered")
+    mine = heads.select("row", F.lit(True).alias("head"))
+    out = rows.select("key", "row", "seq", "n_bytes").join(mine, "row", "left").join(lost, "row", "left")
     gone = F.col("head").isNull() & (F.col("n_bytes") >= width)
-    head = F.col("head").isNotNull()
-    whole_span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("length")))
-    removed = F.when(gone, whole_span).when(head, F.coalesce("removed", F.array().cast(SPANS))).otherwise(F.array().cast(SPANS))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("length")))
+    removed = F.when(gone, whole).otherwise(F.coalesce("removed", F.array().cast(SPANS)))
     return out.select(
         F.col("key").alias(key),
         "n_bytes",
-        F.when(gone, F.col("n_bytes")).when(head, F.coalesce("n_removed", F.lit(0))).otherwise(0).cast("long").alias("n_removed"),
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.size(removed).cast("long").alias("n_spans"),
         removed.alias("removed"),
-        F.when(gone, F.lit(EMPTY_SHA256)).when(head, F.coalesce("kept_sha256", F.lower(F.hex("seq")))).otherwise(F.lower(F.hex("seq"))).alias("kept_sha256"),
+        F.when(gone, F.lit(EMPTY_SHA256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("seq")))).alias("kept_sha256"),
     )
