@@ -1,10 +1,8 @@
 """Latest revisions and the statement join chain.
 
-Skew.  Rows whose record key has a NULL part can never match, so they skip every join and are added
-back at the end.  A hot key in the chain is split by adaptive skew joins (see ``session.tune``),
-which cut map output and so also split copies of one row and give the same rows when a task is
-repeated.  Ranking is one window when no key is hot; when one is, it becomes a join, which can be
-split the same way.
+Skew.  Rows whose record key has a NULL part can never match, so they skip every join and are added back at the end.  Keys
+with more than ``HOT_ROWS`` rows in any table are found by an exact count (see ``heavy``).  Their rows are ranked in place,
+against the top revision that the count has found, and joined in blocks; all other keys take one window and the plain joins.
 """
 
 from __future__ import annotations
@@ -13,16 +11,14 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from .. import keys as K
+from . import heavy as H
+from .heavy import HeavyKeys, heavy_keys
 
 # Rows of one key that a single task may hold.
 HOT_ROWS = 2_000_000
-# Keys followed by each sketch, and sketches by key hash: a key with more than about 1/50,000 of
-# the rows is seen, and no task merges more than its share of the sketches.
-TRACKED_KEYS = 1024
-SKETCHES = 64
 
 
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -31,53 +27,32 @@ def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Data
     return df.where(~incomplete), df.where(incomplete)
 
 
-def hot_tables(tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int = HOT_ROWS) -> set[str]:
-    """Names of the tables in which one key has more than ``rows`` rows.
-
-    One job for all tables: a mergeable sketch of bounded size over the hashed key, so it reads
-    the key columns and shuffles nothing but the sketches.
-    """
-    hashed = [t.select(F.lit(name).alias("table"), F.xxhash64(*keys).alias("key")) for name, t in tables.items()]
-    top = (
-        reduce(DataFrame.unionAll, hashed)
-        .groupBy("table", F.pmod("key", F.lit(SKETCHES)))
-        .agg(F.expr(f"approx_top_k(key, 1, {TRACKED_KEYS})").alias("top"))
-    )
-    return {r.table for r in top.where(F.get("top", F.lit(0))["count"] > rows).select("table").distinct().collect()}
-
-
 def latest_revision(
     df: DataFrame,
     keys: Sequence[str] = K.RECORD_KEYS,
     revision: str = K.REVISION,
-    hot: bool | None = None,
+    hot_rows: int = HOT_ROWS,
     rank_column: str | None = None,
 ) -> DataFrame:
-    """Rows that carry the highest revision of their key; ties all stay.
+    """Rows that carry the highest revision of their key; ties all stay, and NULL equals NULL in a key.
 
-    ``hot`` says whether a key has too many rows for one task; ``None`` looks first.  Without a
-    hot key this is a rank, cut to the top before its one exchange.  With one, the top revision
-    per key is aggregated and joined back, and adaptive execution splits the hot key's rows.
+    Rows of a key with more than ``hot_rows`` rows stay where they are: the count that finds such a key also knows its
+    highest revision.
     """
-    if hot is None:
-        hot = bool(hot_tables({"rows": df}, keys))
-    if hot:
-        # NULL equals NULL here, which is how structs compare.  The struct also keeps the join from
-        # reusing the aggregate's partitioning: only a join directly over its shuffles can be split.
-        tagged = df.withColumn("__key", F.struct(*selective_first(keys)))
-        top = tagged.groupBy("__key").agg(F.max(revision).alias("__top"))
-        top = top.select(F.struct(F.col("__key")).alias("__key"), "__top")
-        joined = tagged.withColumn("__key", F.struct("__key")).join(top, "__key")
-        kept = joined.where((F.col(revision) >= F.col("__top")) | F.col("__top").isNull()).select(df.columns)
-    else:
-        w = Window.partitionBy(*selective_first(keys)).orderBy(F.col(revision).desc())
-        kept = df.withColumn("__rank", F.rank().over(w)).where(F.col("__rank") == 1).drop("__rank")
+    kept = _latest(df, "rows", heavy_keys({"rows": df}, keys, hot_rows, revision), keys, revision)
     return kept.withColumn(rank_column, F.lit(1)) if rank_column else kept
 
 
+def _latest(df: DataFrame, name: str, heavy: HeavyKeys | None, keys: Sequence[str], revision: str) -> DataFrame:
+    if heavy is None:
+        return H.ranked_window(df, selective_first(keys), revision)
+    light = H.ranked_window(heavy.light(df), selective_first(keys), revision)
+    return light.unionByName(heavy.latest(df, name, revision))
+
+
 def selective_first(keys: Sequence[str]) -> list[str]:
     """The same keys, company ids in front: a sort then mostly decides on its first column."""
-    return sorted(keys, key=lambda k: k not in (K.SERIES_ID, K.COMPANY))
+    return H.selective_first(keys, (K.SERIES_ID, K.COMPANY))
 
 
 def join_no_dup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -101,26 +76,46 @@ def join_statements(
     revisions, and the name of one table ranks that table alone and requires a match in it.
     """
     base, *others = [name for name in order if name in tables]
-    ranked = [name for name in (base, *others) if rank in ("all", name)]
-    # A window on one side of a join keeps the other side from being split, so one hot table is
-    # enough to rank all of them by join.
-    used = {name: tables[name] for name in (base, *others)}
-    hot = bool(ranked) and bool(hot_tables(used, keys, hot_rows))
-    complete, incomplete = split_null_keys(tables[base], keys)
-    if base in ranked:
-        complete = latest_revision(complete, keys, revision, hot)
-        incomplete = latest_revision(incomplete, keys, revision, hot)
-    out = complete
-    for name in others:
-        right, _ = split_null_keys(tables[name], keys)
-        if name in ranked:
-            right = latest_revision(right, keys, revision, hot)
-        out = join_no_dup(out, right, keys, "inner" if rank == name else "left")
+    names = [base, *others]
+    ranked = [name for name in names if rank in ("all", name)]
+    heavy = heavy_keys({name: tables[name] for name in names}, keys, hot_rows, revision if ranked else None)
+    complete, incomplete = {}, None
+    for name in names:
+        complete[name], rest = split_null_keys(tables[name], keys)
+        if name == base:
+            incomplete = _latest(rest, base, heavy, keys, revision) if base in ranked else rest
+    hows = {name: "inner" if rank == name else "left" for name in others}
+
+    def chain(rows: Mapping[str, DataFrame]) -> DataFrame:
+        return reduce(lambda out, name: join_no_dup(out, rows[name], keys, hows[name]), others, rows[base])
+
+    def top(df: DataFrame, name: str) -> DataFrame:
+        return H.ranked_window(df, selective_first(keys), revision) if name in ranked else df
+
+    if heavy is None:
+        out = chain({name: top(df, name) for name, df in complete.items()})
+    else:
+        light = chain({name: top(heavy.light(df), name) for name, df in complete.items()})
+        hot = {name: heavy.latest(df, name, revision) if name in ranked else df for name, df in complete.items()}
+        combine = {name: join_no_dup for name in others}
+        out = light.unionByName(_heavy_chain(heavy, hot, names, ranked, keys, hows, combine))
     if rank in others:
         return out
     return out.unionByName(incomplete, allowMissingColumns=True)
 
 
+def _heavy_chain(heavy: HeavyKeys, tables, names, ranked, keys, hows, combine) -> DataFrame:
+    """The chain over the rows of heavy keys, dealt out in blocks at every join."""
+    blocks = heavy.blocks(names, ranked)
+    base, *others = names
+    # The base keeps its name, so that its columns can be told from others of the same name.
+    out = H.numbered(heavy.heavy(tables[base], *blocks), "__id").alias(base)
+    for step, name in enumerate(others, 1):
+        right = H.numbered(heavy.heavy(tables[name], *blocks), "__rid")
+        out = H.dealt_join(out, right, keys, step, hows[name], combine[name])
+    return out.drop("__id", *[c for c in out.columns if c.startswith(("__bl", "__br"))])
+
+
 def left_join_chain(
     tables: Mapping[str, DataFrame],
     keys: Sequence[str] = K.RECORD_KEYS,
@@ -142,18 +137,33 @@ def join_and_select(
     keys: Sequence[str] = K.RECORD_KEYS,
     order: Sequence[str] = K.ALL_COLUMNS_ORDER,
     company: str = K.COMPANY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The join chain, the sector of each company, and the wanted columns of the result."""
     base, *others = [name for name in order if name in tables]
     complete, incomplete = split_null_keys(tables[base], keys)
     rights = {name: split_null_keys(tables[name], keys)[0] for name in others}
-    joined = left_join_chain({base: complete, **rights}, keys, order)
+    heavy = heavy_keys({base: complete, **rights}, keys, hot_rows)
+    light = {base: complete, **rights}
+    if heavy is not None:
+        light = {name: heavy.light(df) for name, df in light.items()}
+    joined = left_join_chain(light, keys, order)
+    parts = [joined]
+    if heavy is not None:
+        # Bound now: the name of the right table goes with each join.
+        combine = {
+            name: lambda left, right, on, how, name=name: left.join(right.alias(name), selective_first(on), how)
+            for name in others
+        }
+        hows = dict.fromkeys(others, "left")
+        parts.append(_heavy_chain(heavy, {base: complete, **rights}, [base, *others], [], keys, hows, combine))
     unmatched = incomplete.alias(base)
     if sectors is not None:
-        joined = joined.join(sectors, company, "left")
+        parts = [part.join(sectors, company, "left") for part in parts]
         unmatched = unmatched.join(sectors, company, "left")
     names = [c.rsplit(".", 1)[-1] for c in columns]
-    selected = joined.select([F.col(c).alias(n) for c, n in zip(columns, names)])
+    chosen = [part.select([F.col(c).alias(n) for c, n in zip(columns, names)]) for part in parts]
+    selected = reduce(DataFrame.unionByName, chosen)
     types = {f.name: f.dataType for f in selected.schema.fields}
     present = set(unmatched.columns)
     rest = unmatched.select(

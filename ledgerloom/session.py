@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -74,6 +75,14 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the checkpoint folder and go on from the copy, of which later steps read only the
+    columns they need.  Column names must be unique."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def at_most(df: DataFrame, rows: int) -> bool:
     """True when ``df`` has no more than ``rows`` rows; never counts past the bound."""
     return df.limit(rows + 1).count() <= rows

@@ -3,10 +3,12 @@ from __future__ import annotations
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerloom import keys as K
-from ledgerloom.operators import clean, joins
+from ledgerloom.operators import clean, heavy, joins
 from ledgerloom.plans import statements as flows
+from ledgerloom.session import materialize
 
 
 def keyed(spark, data, value):
@@ -36,8 +38,9 @@ DATA = [
 
 def test_latest_revision_keeps_ties_and_null_keys(spark):
     df = keyed(spark, DATA, "v")
-    for hot in (None, False, True):
-        assert sorted(r.v for r in joins.latest_revision(df, hot=hot).collect()) == [2.0, 3.0, 4.0, 5.0, 7.0, 9.0]
+    for hot_rows in (1, 2, 1000):
+        kept = joins.latest_revision(df, hot_rows=hot_rows)
+        assert sorted(r.v for r in kept.collect()) == [2.0, 3.0, 4.0, 5.0, 7.0, 9.0]
     assert joins.latest_revision(df).columns == df.columns
     ranked = joins.latest_revision(df, rank_column="revision_rank")
     assert {r.revision_rank for r in ranked.collect()} == {1}
@@ -102,23 +105,69 @@ def test_flow(spark):
     assert {r.ID_BB_COMPANY for r in out.collect()} == {"a", "b"}
 
 
-def test_hot_key_is_split(spark, conf):
-    """A third of the rows share one key, all tied on the latest revision."""
-    conf("spark.sql.autoBroadcastJoinThreshold", -1)
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
-    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", 2)
+def test_a_rare_hot_key_is_found(spark):
+    """60 of 5 million rows share a key; every bucket of the first count holds about 38."""
+    keyed_rows = spark.range(0, 5_000_000, 1, 8).selectExpr("if(id < 60, -1, id) as k", "id as REVISION_ID")
+    found = heavy.heavy_keys({"t": keyed_rows}, ["k"], 40, "REVISION_ID")
+    assert [tuple(r) for r in found.frame.collect()] == [(-1, 60, 59, 1)]
+    assert heavy.heavy_keys({"t": keyed_rows}, ["k"], 60) is None
+
+
+def test_hot_rows_are_ranked_in_place(spark):
+    """A third of the rows share one key, all tied on the latest revision; only light rows are exchanged."""
     n = 60000
     df = spark.range(0, n, 1, 8).selectExpr(
-        f"if(id < {n // 3}, 'hot', cast(id as string)) as ID_BB_COMPANY", "1L as REVISION_ID", "uuid() as payload"
+        f"if(id < {n // 3}, null, cast(id as string)) as ID_BB_COMPANY", "1L as REVISION_ID", "uuid() as payload"
     )
-    assert joins.hot_tables({"t": df}, ["ID_BB_COMPANY"], n // 4) == {"t"}
-    assert joins.hot_tables({"t": df}, ["ID_BB_COMPANY"], n // 2) == set()
-    out = joins.latest_revision(df, ["ID_BB_COMPANY"], hot=True)
+    df = materialize(df)
+    out = joins.latest_revision(df, ["ID_BB_COMPANY"], hot_rows=n // 4)
     assert out.where("payload is not null").count() == n
-    counted = out.groupBy().agg({"payload": "max"})
-    counted.collect()
-    assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    sizes = out.where("ID_BB_COMPANY is null").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in sizes.collect()) <= n // 8
+
+
+def skewed(spark, hot, rest, value, start=0):
+    """``hot`` rows of one key and one row for each of ``rest`` other keys."""
+    keys = [F.when(F.col("id") < hot, "hot").otherwise(F.col("id").cast("string")).alias(k) for k in K.RECORD_KEYS[1:]]
+    period = F.lit("2020-03-31").cast("date").alias(K.PERIOD_END)
+    rows_ = spark.range(0, hot + rest, 1, 4).select(period, *keys, (F.col("id") % 3).alias("REVISION_ID"), (F.col("id") + start).alias(value))
+    return materialize(rows_)
+
+
+@pytest.mark.parametrize("rank", ["all", "none", "cf"])
+@pytest.mark.parametrize(("left", "right"), [(600, 1), (1, 600), (90, 70), (600, 0)])
+def test_hot_keys_on_each_side(spark, rank, left, right):
+    tables = {"is": skewed(spark, left, 300, "a"), "cr": skewed(spark, right, 300, "b", 5), "cf": skewed(spark, 2, 200, "c", 9)}
+    names = ["ID_BB_COMPANY", "a", "b", "c"]
+    got = joins.join_statements(tables, rank, hot_rows=25).select(names)
+    want = joins.join_statements(tables, rank).select(names)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_no_task_has_all_rows_of_a_hot_key(spark, conf):
+    """A key with a third of the rows on the left, in a chain whose right sides are aggregates, and on the right."""
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    conf("spark.sql.shuffle.partitions", 64)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    for left, right in ((6000, 1), (1, 6000)):
+        tables = {"is": skewed(spark, left, 12000, "a"), "cr": skewed(spark, right, 12000, "b")}
+        out = joins.join_statements(tables, "none", hot_rows=500)
+        assert out.count() == 12000 + 6000
+        sizes = out.groupBy(F.spark_partition_id()).count()
+        assert max(r["count"] for r in sizes.collect()) <= 4 * 500
+
+
+@pytest.mark.parametrize(("left", "right"), [(300, 1), (1, 300), (60, 50)])
+def test_selected_columns_of_hot_keys(spark, left, right):
+    tables = {"is": skewed(spark, left, 50, "EBITDA"), "bs": skewed(spark, right, 40, "IS_EPS", 7)}
+    wanted = ["ID_BB_COMPANY", "is.REVISION_ID", "EBITDA", "IS_EPS"]
+    got = joins.join_and_select(tables, None, wanted, hot_rows=20)
+    assert got.columns == ["ID_BB_COMPANY", "REVISION_ID", "EBITDA", "IS_EPS"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, joins.join_and_select(tables, None, wanted).collect()))
+    other = ["ID_BB_COMPANY", "bs.REVISION_ID", "EBITDA"]
+    assert sorted(map(str, joins.join_and_select(tables, None, other, hot_rows=20).collect())) == sorted(
+        map(str, joins.join_and_select(tables, None, other).collect())
+    )
 
 
 def test_chain_splits_hot_key_on_the_left(spark, conf):
