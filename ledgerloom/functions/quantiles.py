@@ -1,9 +1,9 @@
-"""Exact, linearly interpolated quantiles per group, for groups of any size.
+"""Exact, linearly interpolated quantiles per group, by radix selection, for groups of any size.
 
-Spark's ``percentile`` keeps every distinct value of a group in one task.  That is fine for a
-group of bounded size and is used for those.  A larger group is narrowed first: a mergeable
-sketch brackets each wanted rank, one pass counts the rows below the bracket, and only the few
-values inside it are ordered.
+A double becomes a 64-bit integer of the same order.  The first read counts values by group and leading bits of that
+integer, which merges before the shuffle; running sums of these counts name the cell in which each wanted rank lies.  The second
+read takes out the values of those cells only, each different value once with its count.  Cells that still hold too many
+values for one task are counted again by further bits, on what was taken out, until a rank's value is known.
 """
 
 from __future__ import annotations
@@ -13,12 +13,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .scalar import null_nan
-from ..session import broadcast_within, materialize
+from ..session import broadcast_within, stored
 
+# Different values of a cell that one task may order.
 DIRECT_ROWS = 1_000_000
-ACCURACY = 50_000
-# The sketch is off by at most 1/accuracy of the rows; the bracket is wider than that.
-MARGIN = 8.0
+# Bits cut off at each turn; the first leaves the sign, the exponent and ten bits of the fraction.
+SHIFTS = (42, 32, 22, 12, 0)
+
+
+def with_order(df: DataFrame, v: str = "v") -> DataFrame:
+    """``df`` with ``bits``, a long that orders like the double ``v``: its IEEE 754 bits, negated for negative values.
+
+    NULL for NULL; no NaN.  In steps, so that each is computed once.
+    """
+    a, e, m = F.col("__a"), F.col("__e"), F.col("__m")
+    steps = df.withColumn("__a", F.abs(v)).withColumn("__e", F.least(F.floor(F.log2(a)), F.lit(1023)))
+    # The logarithm may be off by one next to a power of two, which the fraction shows.
+    steps = steps.withColumn("__m", a / F.pow(F.lit(2.0), e))
+
+    def normal(up: int, fraction: Column) -> Column:
+        return (e + (1023 + up)) * (1 << 52) + ((fraction - 1) * 2.0**52).cast("long")
+
+    size = (
+        F.when(a == float("inf"), F.lit(2047 << 52))
+        .when(a < 2.0**-1022, (a * 2.0**1022 * 2.0**52).cast("long"))
+        .when(m >= 2, normal(1, m / 2))
+        .when(m < 1, normal(-1, m * 2))
+        .otherwise(normal(0, m))
+    )
+    steps = steps.withColumn("__size", size)
+    return steps.withColumn("bits", F.when(F.col(v) < 0, -F.col("__size")).otherwise(F.col("__size"))).drop("__a", "__e", "__m", "__size")
 
 
 def group_quantiles(
@@ -26,125 +50,88 @@ def group_quantiles(
     group_by: Sequence[str],
     columns: Sequence[str],
     probs: Sequence[float],
-    sizes: DataFrame | None = None,
     direct_rows: int = DIRECT_ROWS,
-    accuracy: int = ACCURACY,
+    largest: int | None = None,
 ) -> DataFrame:
-    """One row per group; ``<c>`` holds the array of quantiles of column ``c``.
+    """One row per group; ``<c>`` holds the array of quantiles of column ``c``, NULL where all its values are missing.
 
-    ``sizes`` may give the rows per group (columns ``group_by`` and ``rows``) when known.
+    ``df`` is read twice at most.  NaN is a missing value.  ``largest`` may give the rows of the largest group when known:
+    groups of at most ``direct_rows`` rows are ordered as they are, in one read.
     """
-    group_by = list(group_by)
-    # NaN is a missing value, whichever way a group is taken.
-    floats = [c for c in columns if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))]
-    df = df.withColumns({c: null_nan(c) for c in floats}) if floats else df
-    if sizes is None:
-        sizes = df.groupBy(*group_by).agg(F.count(F.lit(1)).alias("rows"))
-    large = materialize(sizes.where(F.col("rows") > direct_rows).select(*group_by))
-    if large.isEmpty():
-        return _direct(df, group_by, columns, probs)
-    large = broadcast_within(large)
-    small = _direct(df.join(large, group_by, "left_anti"), group_by, columns, probs)
-    hot = df.join(large, group_by, "left_semi")
-    return small.unionByName(_narrowed(hot, group_by, columns, probs, accuracy, max(direct_rows, 1)))
-
-
-def _direct(df: DataFrame, group_by: list[str], columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    return df.groupBy(*group_by).agg(*[F.percentile(c, list(probs)).alias(c) for c in columns])
-
-
-def _narrowed(
-    df: DataFrame,
-    group_by: list[str],
-    columns: Sequence[str],
-    probs: Sequence[float],
-    accuracy: int,
-    direct_rows: int,
-) -> DataFrame:
-    # At least a few ranks wide, for every column with more than ``direct_rows`` values.
-    reach = max(MARGIN / accuracy, 4.0 / direct_rows)
-    bounds = [min(max(p + side * reach, 0.0), 1.0) for p in probs for side in (-1, 1)]
-    sketch = broadcast_within(
-        materialize(
-            df.groupBy(*group_by).agg(
-                *[F.count(c).alias(f"__n{i}") for i, c in enumerate(columns)],
-                *[F.percentile_approx(c, bounds, accuracy).alias(f"__b{i}") for i, c in enumerate(columns)],
-            )
-        )
-    )
-    bracketed = df.join(sketch, group_by)
-    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
-
-    # A column with few values in a large group keeps them all.
-    def low(i: int, j: int) -> Column:
-        return F.when(F.col(f"__n{i}") > direct_rows, F.col(f"__b{i}")[2 * j]).otherwise(F.lit(float("-inf")))
-
-    def high(i: int, j: int) -> Column:
-        return F.when(F.col(f"__n{i}") > direct_rows, F.col(f"__b{i}")[2 * j + 1]).otherwise(F.lit(float("inf")))
-
-    below = bracketed.groupBy(*group_by).agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(j).alias("j"),
-                    F.count_if(F.col(columns[i]) < low(i, j)).alias("below"),
-                    (F.first(f"__n{i}") - 1).alias("top"),
-                )
-                for i, j in slots
-            ]
-        ).alias("__slots")
-    )
-    ranks = below.select(*group_by, F.inline("__slots")).where(F.col("top") >= 0)
-    position = F.element_at(F.lit(list(probs)), F.col("j") + 1) * F.col("top")
-    ranks = ranks.withColumns({"k0": F.floor(position), "k1": F.ceil(position), "share": position - F.floor(position)})
-
-    inside = bracketed.select(
-        *group_by,
-        F.explode(
-            F.filter(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(i).alias("i"),
-                            F.lit(j).alias("j"),
-                            F.when(
-                                F.col(columns[i]).between(low(i, j), high(i, j)), F.col(columns[i]).cast("double")
-                            ).alias("v"),
-                        )
-                        for i, j in slots
-                    ]
-                ),
-                lambda s: s["v"].isNotNull(),
-            )
-        ).alias("s"),
-    ).select(*group_by, "s.i", "s.j", "s.v")
-    # Copies of a value travel as one row with a count.
-    counted = inside.groupBy(*group_by, "i", "j", "v").agg(F.count(F.lit(1)).alias("copies"))
-    w = Window.partitionBy(*group_by, "i", "j").orderBy("v")
-    upto = F.sum("copies").over(w)
-    placed = counted.withColumn("upto", upto).join(broadcast_within(materialize(ranks)), [*group_by, "i", "j"])
-    end = F.col("below") + F.col("upto")
-    start = end - F.col("copies")
-    found = placed.groupBy(*group_by, "i", "j").agg(
-        F.max(F.when((start <= F.col("k0")) & (F.col("k0") < end), F.col("v"))).alias("v0"),
-        F.max(F.when((start <= F.col("k1")) & (F.col("k1") < end), F.col("v"))).alias("v1"),
-        F.first("share").alias("share"),
-    )
-    value = F.when(
-        F.col("v0").isNull() | F.col("v1").isNull(), F.raise_error(F.lit("quantile rank outside its bracket"))
-    ).otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("share"))
-    result = found.withColumn("q", value).groupBy(*group_by).agg(
+    group_by, columns = list(group_by), list(columns)
+    floats = (T.DoubleType, T.FloatType)
+    clean = [null_nan(c) if isinstance(df.schema[c].dataType, floats) else F.col(c) for c in columns]
+    if largest is not None and largest <= direct_rows:
+        return df.groupBy(*group_by).agg(*[F.percentile(v, list(probs)).alias(c) for c, v in zip(columns, clean)])
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), c.cast("double").alias("v")) for i, c in enumerate(clean)]))
+    # A struct, so that NULL equals NULL in joins.
+    rows = df.select(F.struct(*group_by).alias("g"), cells.alias("s")).select("g", "s.i", "s.v")
+    spread = [F.min("v").alias("low"), F.max("v").alias("high")]
+    coded = with_order(rows).withColumn("cell", F.shiftright("bits", SHIFTS[0])).drop("bits")
+    counts = stored(coded.groupBy("g", "i", "cell").agg(F.count("v").alias("n"), *spread), "cells")
+
+    whole = Window.partitionBy("g", "i")
+    placed = counts.where("cell is not null").withColumns({"total": F.sum("n").over(whole), "before": _before(whole, "cell")})
+    at = [F.lit(float(p)) * (F.col("total") - 1) for p in probs]
+    ends = [
+        F.struct(F.lit(j).alias("j"), end.alias("k"), (a - F.floor(a)).alias("share"), F.lit(upper).alias("upper"))
+        for j, a in enumerate(at)
+        for upper, end in ((False, F.floor(a)), (True, F.ceil(a)))
+    ]
+    slots = placed.select("*", F.explode(F.array(*ends)).alias("s")).select("*", "s.*").where(_holds())
+    slots = stored(_slots(slots), "slots")
+
+    settled, taken = slots.where("low = high"), None
+    for turn, shift in enumerate(SHIFTS[1:]):
+        slots = slots.where("low < high")
+        # Not above the number of different values, which may be fewer.
+        widest = slots.agg(F.max("n")).first()[0]
+        if widest is None:
+            break
+        cells = broadcast_within(slots.select("g", "i", "cell").distinct())
+        if taken is None:
+            taken = coded.where("v is not null").join(cells, ["g", "i", "cell"]).groupBy("g", "i", "cell", "v").agg(F.count(F.lit(1)).alias("n"))
+        else:
+            taken = with_order(taken).withColumn("cell", F.shiftright("bits", SHIFTS[turn])).drop("bits").join(cells, ["g", "i", "cell"])
+        wanted = slots.select("g", "i", "cell", "j", "k", "share", "upper")
+        if widest <= direct_rows or not shift:
+            # Few enough to order as they are.
+            parts = taken.withColumns({"low": F.col("v"), "high": F.col("v"), "fine": F.lit(0).cast("long")})
+            order = "v"
+        else:
+            taken = stored(taken, "taken")
+            parts = with_order(taken).withColumn("fine", F.shiftright("bits", shift)).groupBy("g", "i", "cell", "fine").agg(F.sum("n").alias("n"), *spread)
+            order = "fine"
+        parts = parts.withColumn("before", _before(Window.partitionBy("g", "i", "cell"), order))
+        slots = parts.join(wanted, ["g", "i", "cell"]).where(_holds()).drop("cell").withColumnRenamed("fine", "cell")
+        slots = stored(_slots(slots), "slots")
+        settled = settled.unionByName(slots.where("low = high"))
+        if order == "v":
+            break
+
+    low, high = (F.max(F.when(F.col("upper") == upper, F.col("low"))) for upper in (False, True))
+    # Two infinities have no difference.
+    between = F.when(low == high, low).otherwise(low + (high - low) * F.max("share"))
+    values = settled.groupBy("g", "i", "j").agg(between.alias("q"))
+    arrays = values.groupBy("g").agg(
         *[
-            F.array(*[F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("q"))) for j in range(len(probs))]).alias(
-                f"__q{i}"
-            )
+            F.array(*[F.max(F.when((F.col("i") == i) & (F.col("j") == j), F.col("q"))) for j in range(len(probs))]).alias(f"q{i}")
             for i in range(len(columns))
         ]
     )
-    # A group whose column is all NULL has no slot there, as with percentile.
-    every = sketch.select(*group_by).join(result, group_by, "left")
-    return every.select(
-        *group_by,
-        *[F.when(F.col(f"__q{i}")[0].isNotNull(), F.col(f"__q{i}")).alias(c) for i, c in enumerate(columns)],
-    )
+    every = counts.select("g").distinct().join(arrays, "g", "left")
+    return every.select("g.*", *[F.when(F.col(f"q{i}")[0].isNotNull(), F.col(f"q{i}")).alias(c) for i, c in enumerate(columns)])
+
+
+def _before(window, order: str) -> Column:
+    """Values in earlier cells."""
+    return F.coalesce(F.sum("n").over(window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def _holds() -> Column:
+    return (F.col("before") <= F.col("k")) & (F.col("k") < F.col("before") + F.col("n"))
+
+
+def _slots(found: DataFrame) -> DataFrame:
+    """Wanted ranks by the cell that holds each, counted from the start of the cell."""
+    return found.select("g", "i", "j", "upper", "share", "cell", (F.col("k") - F.col("before")).alias("k"), "n", "low", "high")

@@ -77,11 +77,11 @@ def heavy_keys(tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int,
     bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("__bucket")
     every = [t.select(F.lit(i).alias("__table"), bucket) for i, t in enumerate(tables.values())]
     counts = reduce(DataFrame.unionAll, every).groupBy("__table", "__bucket").agg(F.count(F.lit(1)).alias("__rows"))
-    full = stored(counts.where(F.col("__rows") > rows).select(F.col("__bucket").alias("__full")).distinct(), "buckets")
-    if full.isEmpty():
+    # At most BUCKETS numbers come to the driver and go to a task.
+    full = [(r[0],) for r in counts.where(F.col("__rows") > rows).select("__bucket").distinct().collect()]
+    if not full:
         return None
-    # At most BUCKETS numbers.
-    full = F.broadcast(full)
+    full = F.broadcast(counts.sparkSession.createDataFrame(full, "__full int"))
     facts = []
     for i, t in enumerate(tables.values()):
         top = F.col(revision) if revision else F.lit(None).cast("long")

@@ -78,9 +78,8 @@ def industry_stats(
             ],
         )
     )
-    quartiles = group_quantiles(
-        known, group, columns, (0.25, 0.5, 0.75), sizes=moments.select(*group, "rows"), direct_rows=direct_rows
-    )
+    largest = moments.agg(F.max("rows")).first()[0] or 0
+    quartiles = group_quantiles(known, group, columns, (0.25, 0.5, 0.75), direct_rows, largest)
     stats = moments.join(quartiles, group).select(
         *group,
         *[

@@ -126,6 +126,6 @@ def quantiles_with_nan(spark, folder):
     )
     out = []
     for side, bound in (("direct", 10**12), ("narrowed", 1000)):
-        q = group_quantiles(rows, ["l_returnflag"], ["p"], (0.5, 0.9), direct_rows=bound, accuracy=2000)
+        q = group_quantiles(rows, ["l_returnflag"], ["p"], (0.5, 0.9), direct_rows=bound)
         out.append(q.select(F.lit(side).alias("side"), "l_returnflag", F.col("p")[0].alias("median"), F.col("p")[1].alias("high")))
     return plain(clean.union_all(out), 4)

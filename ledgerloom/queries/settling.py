@@ -182,7 +182,7 @@ def industry_stats(spark, folder):
 def large_group_quantiles(spark, folder):
     columns = ["l_extendedprice", "l_quantity"]
     rows = D.table(spark, folder, "lineitem").select("l_returnflag", *columns)
-    q = group_quantiles(rows, ["l_returnflag"], columns, (0.25, 0.5, 0.75), direct_rows=1000, accuracy=2000)
+    q = group_quantiles(rows, ["l_returnflag"], columns, (0.25, 0.5, 0.75), direct_rows=1000)
     names = ("q1", "median", "q3")
     return plain(
         q.select(

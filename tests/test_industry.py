@@ -7,8 +7,9 @@ import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
-from ledgerloom.functions.quantiles import group_quantiles
+from ledgerloom.functions.quantiles import group_quantiles, with_order
 from ledgerloom.operators import industry
 
 NAMES = ["mean", "median", "min", "max", "std", "q1", "q3"]
@@ -52,22 +53,55 @@ def test_industry_stats(spark, direct_rows):
     assert one.count() == (want.Year == 2000).sum()
 
 
-def test_large_groups_exact_for_any_sketch(spark):
-    """Narrowing must give the exact quantile, also with a coarse sketch and many copies."""
+def test_quantiles_are_exact_for_any_depth(spark):
+    """Down to single bits, with many copies, huge, tiny and negative values, infinities and all-missing groups."""
     rng = np.random.default_rng(2)
     data = {
         "uniform": rng.uniform(0, 1, 4001),
         "copies": np.repeat([1.0, 2.0], 2000),
         "heavy": np.exp(rng.normal(0, 8, 3000)),
+        "signs": rng.normal(0, 1, 1000),
+        "near": 1.0 + np.arange(3000) * 2.0**-52,
+        "tiny": np.arange(-50, 50) * 5e-324,
+        "huge": np.array([-np.inf, -1.7e308, -1.0, -0.0, 0.0, 1.0, 1.7e308, np.inf]),
         "two": np.array([1.0, 4.0]),
     }
-    df = spark.createDataFrame([(k, float(v)) for k, vs in data.items() for v in vs], "g string, v double")
+    known = [(k, float(v)) for k, vs in data.items() for v in vs]
+    df = spark.createDataFrame([*known, ("none", None), ("none", float("nan")), (None, 3.0), ("two", None)], "g string, v double")
     probs = (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)
-    for accuracy, direct in ((100, 1), (1000, 200), (50_000, 1000)):
-        out = group_quantiles(df, ["g"], ["v"], probs, direct_rows=direct, accuracy=accuracy)
-        got = {r.g: r.v for r in out.collect()}
+    for direct in (1, 60, 1_000_000):
+        got = {r.g: r.v for r in group_quantiles(df, ["g"], ["v"], probs, direct).collect()}
+        assert got.pop("none") is None and got.pop(None) == [3.0] * 6
         for k, vs in data.items():
-            np.testing.assert_allclose(got[k], np.quantile(vs, probs), rtol=1e-12)
+            if k != "huge":
+                np.testing.assert_allclose(got[k], np.quantile(vs, probs), rtol=1e-12, atol=0 if k != "tiny" else 5e-324)
+        assert got["huge"][0] == -np.inf and got["huge"][3] == 0.0 and got["huge"][5] == np.inf
+
+
+def test_bits_order_like_doubles(spark):
+    rng = np.random.default_rng(3)
+    bits = rng.integers(0, 2**63, 4000, dtype=np.int64).view(np.float64)
+    edges = np.concatenate([2.0 ** np.arange(-1074.0, 1024.0), [0.0, np.inf, 5e-324, 1.7976931348623157e308]])
+    near = np.concatenate([edges, np.nextafter(edges, 0), np.nextafter(edges[edges < 1e308], np.inf), bits])
+    near = near[~np.isnan(near)]
+    df = spark.createDataFrame(pd.DataFrame({"v": np.unique(np.concatenate([near, -near]))}))
+    out = with_order(df).toPandas().sort_values("v")
+    exact = np.where(out.v < 0, -np.abs(out.v.to_numpy()).view(np.int64), np.abs(out.v.to_numpy()).view(np.int64))
+    assert (out.bits.to_numpy() == exact).all()
+
+
+def test_quantiles_read_their_input_twice(spark):
+    n = 5000
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(n).selectExpr("id % 3 as g", "sqrt(id) as a", "id * 0.5 as b").mapInPandas(counted, "g long, a double, b double")
+    group_quantiles(df, ["g"], ["a", "b"], (0.25, 0.5, 0.75), direct_rows=1).collect()
+    assert seen.value == 2 * n
 
 
 def test_labels(spark):
