@@ -10,12 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import keys as K
 from ..operators.clean import in_universe, period_between, universe
 from ..operators.joins import join_and_select, join_statements
-from ..session import materialize, small_side, tune
+from ..session import small_side, tune
 from ..sources.sinks import write_csv, write_parquet
 
-STATEMENT_BASE = K.STATEMENT_ORDER[0]
-
-
 def restrict(
     tables: Mapping[str, DataFrame],
     companies: DataFrame,
@@ -64,11 +61,7 @@ def export_latest(
     """``join_latest`` to headed CSV."""
     tune(spark)
     kept = restrict(tables, small_side(universe(info, sector)), low, high)
-    # A left join has a row exactly when its first table has one; an inner join has to be looked at.
-    left_only = rank in ("all", "none", STATEMENT_BASE)
-    empty = kept[STATEMENT_BASE].isEmpty() if left_only else None
-    joined = join_statements(kept, rank)
-    return write_csv(joined if left_only else materialize(joined), path, single_file, null_marker=None, empty=empty)
+    return write_csv(join_statements(kept, rank), path, single_file, null_marker=None)
 
 
 def export_selected(
@@ -84,5 +77,4 @@ def export_selected(
     tune(spark)
     companies = small_side(universe(info, sector))
     kept = restrict(tables, companies, low, high)
-    empty = kept[STATEMENT_BASE].isEmpty()
-    return write_parquet(join_and_select(kept, companies), path, partition_by=[K.SECTOR], empty=empty)
+    return write_parquet(join_and_select(kept, companies), path, partition_by=[K.SECTOR])

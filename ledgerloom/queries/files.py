@@ -200,7 +200,9 @@ def registry(spark, folder):
     entries = sinks.registry_rows(files)
     sinks.append_registry(spark, entries, path)
     sinks.append_registry(spark, entries, path)
-    return spark.read.parquet(path).select("_id", "filename", F.concat_ws(",", "colnames").alias("colnames"))
+    # As a second writer does that has not seen the first one's entries.
+    entries.write.mode("append").parquet(path)
+    return sinks.read_registry(spark, path).select("_id", "filename", F.concat_ws(",", "colnames").alias("colnames"))
 
 
 STATEMENT_SQL = """SELECT ID_BB_UNIQUE, CAST(LATEST_PERIOD_END_DT_FULL_RECORD AS VARCHAR) AS LATEST_PERIOD_END_DT_FULL_RECORD,

@@ -129,3 +129,73 @@ def quantiles_with_nan(spark, folder):
         q = group_quantiles(rows, ["l_returnflag"], ["p"], (0.5, 0.9), direct_rows=bound)
         out.append(q.select(F.lit(side).alias("side"), "l_returnflag", F.col("p")[0].alias("median"), F.col("p")[1].alias("high")))
     return plain(clean.union_all(out), 4)
+
+
+@query(
+    "csv_mixed_headers",
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 2 THEN l_extendedprice END AS l_extendedprice, l_returnflag,
+              CASE WHEN l_linenumber <= 2 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS l_shipdate
+       FROM lineitem""",
+)
+def csv_mixed_headers(spark, folder):
+    """Files with the same columns in other orders, and some without a column."""
+    rows = D.table(spark, folder, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+    layouts = {
+        "a": (F.col("l_linenumber") <= 2, ["l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber"]),
+        "b": (F.col("l_linenumber") == 3, ["l_linenumber", "l_extendedprice", "l_returnflag", "l_orderkey"]),
+        "c": (F.col("l_linenumber") > 3, ["l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"]),
+    }
+    path = _new_folder(spark, "csv-mixed")
+    for name, (kept, columns) in layouts.items():
+        sinks.write_csv(rows.where(kept).select(columns), f"{path}/{name}", null_marker=None)
+    typed = {"l_orderkey": "long", "l_linenumber": "int", "l_extendedprice": "double", "l_shipdate": "date"}
+    return plain(tables.read_csv(spark, [f"{path}/{n}" for n in layouts], typed))
+
+
+KINDS = {"is": ["REVENUE", "COST"], "sard_is": ["REVENUE", "NOTE", "COST"], "bs": ["NOTE"]}
+
+
+def named_files(spark, folder: str, kind: str) -> str:
+    """Give the one file of each bucket the name that the vendor would give it; returns a pattern for all of them."""
+    jvm = spark._jvm
+    home = jvm.org.apache.hadoop.fs.Path(folder)
+    files = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    for bucket in files.listStatus(home):
+        if bucket.isDirectory():
+            (part,) = [f.getPath() for f in files.listStatus(bucket.getPath()) if f.getPath().getName().startswith("part-")]
+            region = bucket.getPath().getName().partition("=")[2]
+            files.rename(part, jvm.org.apache.hadoop.fs.Path(home, f"fundamentals_{region}_{kind}.out.20250520"))
+    return f"{folder}/fundamentals_*"
+
+
+@query(
+    "ingest_by_type",
+    """WITH x AS (SELECT o_orderkey, o_totalprice, o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN 'is'
+         WHEN o_orderkey % 3 = 1 THEN 'sard_is' ELSE 'bs' END AS kind FROM orders)
+       SELECT kind, 'r' || CAST(o_orderkey % 4 AS VARCHAR) AS SECURITY_DESCRIPTION,
+         CASE WHEN kind <> 'bs' THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS "REVENUE",
+         CASE WHEN kind <> 'bs' AND o_orderkey % 5 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS "COST",
+         CASE WHEN kind <> 'is' THEN o_orderpriority END AS "NOTE" FROM x""",
+)
+def ingest_by_type(spark, folder):
+    """Files of three types by their names, several of each, every type with fields of its own."""
+    key = F.col("o_orderkey")
+    region = F.concat(F.lit("r"), F.pmod(key, F.lit(4)).cast("string"))
+    rows = D.table(spark, folder, "orders").select(
+        F.when(key % 3 == 0, "is").when(key % 3 == 1, "sard_is").otherwise("bs").alias("kind"),
+        region.alias("bucket"),
+        F.lit(True).alias("rich"),
+        region.alias("SECURITY_DESCRIPTION"),
+        F.lit("0").alias("RCODE"),
+        F.lit("3").alias("NFIELDS"),
+        D.money("o_totalprice").cast("string").alias("REVENUE"),
+        F.when(key % 5 != 0, key.cast("string")).alias("COST"),
+        F.col("o_orderpriority").alias("NOTE"),
+    )
+    paths = []
+    for kind, fields in KINDS.items():
+        files = vendor_files(rows.where(F.col("kind") == kind), _new_folder(spark, "vendor"), "bucket", {True: fields, False: fields}, "rich")
+        paths.append(named_files(spark, files, kind))
+    frames = flatfile.read_by_type(spark, paths, operation_date=False)
+    out = clean.union_all([frames[kind].withColumn("kind", F.lit(kind)) for kind in KINDS])
+    return out.select("kind", "SECURITY_DESCRIPTION", "REVENUE", "COST", "NOTE")

@@ -8,8 +8,10 @@ from ..functions.quantiles import group_quantiles
 from ..operators import clean, industry, resolve
 from ..plans import features
 from ..session import materialize, small_side
+from ..sources import tables
 from . import standins as D
 from .catalog import plain, query, with_ctes
+from .files import _new_folder
 
 
 def cascade_sql(group: str, column: str, source: str, name: str) -> str:
@@ -96,25 +98,25 @@ _LEAD_COLUMNS = ", ".join(
 _M = resolved_sql('"Year", ID_BB_UNIQUE, "Quarter"', [*MEASURES, "ANNOUNCEMENT_DT", "sector"], "q")
 
 
-@query(
-    "model_input",
-    with_ctes(
-        D.FILINGS_SQL,
-        D.INFO_SQL,
-        'q AS (SELECT f.*, "INDUSTRY_SECTOR_NUM_mapped" AS sector, CAST(substr(FISCAL_YEAR_PERIOD, 1, 4) AS INTEGER) AS "Year", '
-        'CAST(substr(FISCAL_YEAR_PERIOD, 7, 1) AS INTEGER) AS "Quarter" FROM filings f LEFT JOIN labels USING (ID_BB_UNIQUE))',
-        *_M[0],
-        f'settled AS (SELECT "Year", ID_BB_UNIQUE, "Quarter", {_M[1]} FROM {_M[2]})',
-        f"""led AS (SELECT "Year", ID_BB_UNIQUE, "Quarter", sector, {", ".join(f"NULLIF({c}, 0) AS {c}" for c in MEASURES)},
-              {_LEAD_COLUMNS}, LEAD(ANNOUNCEMENT_DT) OVER w AS ANNOUNCEMENT_DT_lead1, LEAD("Year") OVER w AS "Year_lead1"
-            FROM settled WINDOW w AS (PARTITION BY ID_BB_UNIQUE ORDER BY "Year", "Quarter")
-            QUALIFY row_number() OVER w < COUNT(*) OVER (PARTITION BY ID_BB_UNIQUE))""",
-        select="""SELECT * REPLACE (CAST(ANNOUNCEMENT_DT_lead1 AS VARCHAR) AS ANNOUNCEMENT_DT_lead1) FROM led
-                  WHERE "Year" >= 1990
-                  AND ARD_CAPITAL_EXPENDITURES IS DISTINCT FROM (SELECT MAX(ARD_CAPITAL_EXPENDITURES) FROM led)
-                  AND ARD_CAPITAL_EXPENDITURES_lead1 IS DISTINCT FROM (SELECT MAX(ARD_CAPITAL_EXPENDITURES) FROM led)""",
-    ),
+MODEL_INPUT_SQL = with_ctes(
+    D.FILINGS_SQL,
+    D.INFO_SQL,
+    'q AS (SELECT f.*, "INDUSTRY_SECTOR_NUM_mapped" AS sector, CAST(substr(FISCAL_YEAR_PERIOD, 1, 4) AS INTEGER) AS "Year", '
+    'CAST(substr(FISCAL_YEAR_PERIOD, 7, 1) AS INTEGER) AS "Quarter" FROM filings f LEFT JOIN labels USING (ID_BB_UNIQUE))',
+    *_M[0],
+    f'settled AS (SELECT "Year", ID_BB_UNIQUE, "Quarter", {_M[1]} FROM {_M[2]})',
+    f"""led AS (SELECT "Year", ID_BB_UNIQUE, "Quarter", sector, {", ".join(f"NULLIF({c}, 0) AS {c}" for c in MEASURES)},
+          {_LEAD_COLUMNS}, LEAD(ANNOUNCEMENT_DT) OVER w AS ANNOUNCEMENT_DT_lead1, LEAD("Year") OVER w AS "Year_lead1"
+        FROM settled WINDOW w AS (PARTITION BY ID_BB_UNIQUE ORDER BY "Year", "Quarter")
+        QUALIFY row_number() OVER w < COUNT(*) OVER (PARTITION BY ID_BB_UNIQUE))""",
+    select="""SELECT * REPLACE (CAST(ANNOUNCEMENT_DT_lead1 AS VARCHAR) AS ANNOUNCEMENT_DT_lead1) FROM led
+              WHERE "Year" >= 1990
+              AND ARD_CAPITAL_EXPENDITURES IS DISTINCT FROM (SELECT MAX(ARD_CAPITAL_EXPENDITURES) FROM led)
+              AND ARD_CAPITAL_EXPENDITURES_lead1 IS DISTINCT FROM (SELECT MAX(ARD_CAPITAL_EXPENDITURES) FROM led)""",
 )
+
+
+@query("model_input", MODEL_INPUT_SQL)
 def model_input(spark, folder):
     out = features.model_input(
         spark, D.filings(spark, folder), D.company_info(spark, folder), D.code_rows(spark, folder)
@@ -133,6 +135,20 @@ def model_input(spark, folder):
     )
 
 
+@query("final_csv", MODEL_INPUT_SQL)
+def final_csv(spark, folder):
+    """The feature table by way of its CSV file."""
+    path = _new_folder(spark, "model-input")
+    features.write_model_input(
+        spark, D.filings(spark, folder), D.company_info(spark, folder), D.code_rows(spark, folder), path
+    )
+    later = [f"{c}_{x}" for c in MEASURES for x in ("lead1", "last_year_same_quarter")]
+    numbers = dict.fromkeys([*MEASURES, *later], "double") | dict.fromkeys(["Year", "Quarter", "Year_lead1"], "int")
+    out = tables.read_csv(spark, path, {**numbers, "ANNOUNCEMENT_DT_lead1": "date"})
+    sector = F.col("INDUSTRY_SECTOR_NUM_mapped").alias("sector")
+    return plain(out.select("Year", "ID_BB_UNIQUE", "Quarter", sector, *MEASURES, *later, "ANNOUNCEMENT_DT_lead1", "Year_lead1"))
+
+
 STATS = ["SALES_REV_TURN", "ARD_CAPITAL_EXPENDITURES"]
 _STAT_SQL = {
     "mean": "AVG({c})",

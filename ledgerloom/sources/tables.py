@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import datetime
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -12,6 +13,7 @@ from .. import keys as K
 from ..functions import scalar as S
 from ..operators.clean import in_universe, period_between
 from ..operators.joins import latest_revision
+from ..session import broadcast_within, stored
 
 
 def read_statements(
@@ -68,39 +70,76 @@ def staging_tables(
     return {alias: spark.table(name).transform(in_universe, companies) for alias, name in names.items()}
 
 
-def csv_header(spark: SparkSession, path: str, delimiter: str = ",") -> list[str]:
-    """Column names of a CSV file, read from its first line only."""
-    first = spark.read.text(path).first()
-    return next(csv.reader([first.value], delimiter=delimiter)) if first else []
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(file, line): the first line of each CSV file.  One file costs its first line, many cost a scan of their text."""
+    lines = spark.read.text([path] if isinstance(path, str) else list(path)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.regexp_replace("value", "^\uFEFF", "").alias("value"),
+    )
+    # Within a block lines are numbered in order.
+    first = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("first"))
+    return first.select("file", F.col("first.value").alias("line"))
 
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     types: Mapping[str, str] | None = None,
     delimiter: str = ",",
 ) -> DataFrame:
-    """CSV with header in which only the first of equally named columns is kept.
+    """CSV files with headers, by column name; only the first of equally named columns of a file is kept.
 
-    ``types`` gives column types (others stay text); without it types are inferred, which costs
-    another pass over the file.
+    Files may have their columns in different orders, and a column that a file lacks is NULL in its rows; columns come in the
+    order in which the files, by name, first have them.  ``types`` gives column types (others stay text); without it
+    types are inferred, which costs another pass over the files.
     """
-    header = csv_header(spark, path, delimiter)
-    first = {name: i for i, name in reversed(list(enumerate(header)))}
-    kept = [name for name in first_seen(header) if not _is_copy(name)]
-    positional = [f"c{i}" for i in range(len(header))]
+    paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read.option("header", True).option("sep", delimiter).option("enforceSchema", True)
-    if types is None:
-        rows = reader.option("inferSchema", True).csv(path).toDF(*positional)
+    files = spark.read.text(paths).inputFiles()
+    if len(files) < 2:
+        first = spark.read.text(paths).first()
+        lines = [first.value.removeprefix("\ufeff")] if first else []
     else:
-        rows = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in positional])).csv(path)
+        headers = stored(csv_headers(spark, paths), "headers")
+        # Different headers are few: they are versions of a file, not files.
+        found = headers.groupBy("line").agg(F.min("file").alias("file")).collect()
+        lines = [r.line for r in sorted(found, key=lambda r: r.file)]
+    layouts = [next(csv.reader([line], delimiter=delimiter), []) for line in lines]
+    wanted = [n for n in dict.fromkeys(n for names in layouts for n in names) if not _is_copy(n)]
+    if len(layouts) < 2:
+        return _typed(_positional(reader, paths, layouts[0] if layouts else [], types is None), layouts, wanted, types)
+    if types is None:
+        parts = []
+        for line, names in zip(lines, layouts):
+            own = [r.file for r in headers.where(F.col("line") == line).select("file").collect()]
+            mine = [n for n in dict.fromkeys(names) if not _is_copy(n)]
+            parts.append(_typed(_positional(reader, own, names, True), [names], mine, None))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).select([F.col(f"`{n}`") for n in wanted])
+    # Where each file has each column; -1 reads as NULL.
+    places = [(line, [names.index(n) if n in names else -1 for n in wanted]) for line, names in zip(lines, layouts)]
+    orders = spark.createDataFrame(places, "line string, places array<int>")
+    orders = broadcast_within(stored(headers.join(orders, "line").select(F.col("file").alias("__file"), "places"), "orders"))
+    width = max(len(names) for names in layouts)
+    rows = _positional(reader, paths, [""] * width, False).select(F.col("_metadata.file_path").alias("__of"), F.array(*[f"c{i}" for i in range(width)]).alias("cells"))
+    rows = rows.join(orders, F.col("__of") == F.col("__file"))
+    rows = rows.select([F.get("cells", F.get("places", F.lit(i))).alias(f"c{i}") for i in range(len(wanted))])
+    return _typed(rows, [wanted], wanted, types)
+
+
+def _positional(reader, paths: Sequence[str], names: Sequence[str], infer: bool) -> DataFrame:
+    """Rows without headers, columns ``c0``, ``c1`` and so on."""
+    columns = [f"c{i}" for i in range(len(names))]
+    if infer:
+        return reader.option("inferSchema", True).csv(list(paths)).toDF(*columns)
+    return reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns])).csv(list(paths))
+
+
+def _typed(rows: DataFrame, layouts: Sequence[Sequence[str]], wanted: Sequence[str], types: Mapping[str, str] | None) -> DataFrame:
     typed = types or {}
-    return rows.select(
-        [
-            (typed_value(f"c{first[n]}", typed[n]) if n in typed else F.col(f"c{first[n]}")).alias(n)
-            for n in kept
-        ]
-    )
+    at = {n: f"c{list(layouts[0]).index(n)}" for n in wanted}
+    return rows.select([(typed_value(at[n], typed[n]) if n in typed else F.col(at[n])).alias(n) for n in wanted])
 
 
 def typed_value(column: str, kind: str) -> Column:
@@ -114,10 +153,6 @@ def typed_value(column: str, kind: str) -> Column:
     return F.nullif(F.col(column), F.lit("")).cast(kind)
 
 
-def first_seen(names: Sequence[str]) -> list[str]:
-    return list(dict.fromkeys(names))
-
-
 def _is_copy(name: str) -> bool:
     head, _, tail = name.rpartition(".")
     return bool(head or "." in name) and tail.isdigit()

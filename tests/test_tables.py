@@ -21,6 +21,23 @@ def test_csv_keeps_first_of_repeated_names(spark, tmp_path):
     assert dict(inferred.dtypes)["A"] == "int" and inferred.count() == 2
 
 
+def test_csv_headers_in_any_order(spark, tmp_path):
+    """Columns are found by name in each file: swapped, missing, repeated, quoted, and behind a byte order mark."""
+    (tmp_path / "a.csv").write_text('A,B,"C,x"\n1,b1,c1\n2,b2,c2\n')
+    (tmp_path / "b.csv").write_text('"C,x",D,A,A\nc3,d3,3,9\n')
+    (tmp_path / "c.csv").write_text("\ufeffB,A\nb4,4\nb5\n")
+    (tmp_path / "d.csv").write_text('A,B,"C,x"\n6,b6,\n')
+    df = tables.read_csv(spark, str(tmp_path / "[bcd].csv"), {"A": "int"})
+    assert df.columns == ["C,x", "D", "A", "B"]
+    assert rows(df, "A") == [(None, None, None, "b5"), ("c3", "d3", 3, None), (None, None, 4, "b4"), (None, None, 6, "b6")]
+    names = ["a.csv", "b.csv"]
+    inferred = tables.read_csv(spark, [str(tmp_path / n) for n in names])
+    assert dict(inferred.dtypes)["A"] == "int" and inferred.columns == ["A", "B", "C,x", "D"]
+    assert rows(inferred.where("A = 3")) == [(3, None, "c3", "d3")]
+    same = tables.read_csv(spark, [str(tmp_path / n) for n in ("d.csv", "d.csv")], {})
+    assert rows(same) == [("6", "b6", None)] * 2
+
+
 def test_company_info_and_codes(spark, tmp_path):
     info = tmp_path / "info.csv"
     info.write_text("ID_BB_UNIQUE," + ",".join(K.INDUSTRY_COLUMNS) + "\nu,1,2.0,3,4,5,\n")
@@ -62,6 +79,48 @@ def test_by_type_paths(spark, tmp_path):
     }
 
 
+def test_sinks_run_their_input_once(spark, tmp_path):
+    """No look for a first row before the write; an empty result leaves what was there."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(100).mapInPandas(counted, "id long")
+    many, few = df.groupBy("id").count(), df.where("id < 0").groupBy("id").count()
+    writes = [
+        lambda f: sinks.write_parquet(f, str(tmp_path / "p")),
+        lambda f: sinks.write_parquet(f, str(tmp_path / "q"), partition_by=["count"]),
+        lambda f: sinks.write_csv(f, str(tmp_path / "c")),
+        lambda f: sinks.write_csv(f, str(tmp_path / "s"), single_file=True),
+        lambda f: bool(sinks.write_by_type({"bs": f}, str(tmp_path / "t"))),
+        lambda f: bool(sinks.write_csv_by_type({"bs": f}, str(tmp_path / "u"))),
+    ]
+    for write in writes:
+        seen.value = 0
+        assert write(many) and seen.value == 100
+        with pytest.warns(UserWarning, match="nothing to write"):
+            assert not write(few)
+        assert seen.value == 200
+    assert spark.read.parquet(str(tmp_path / "p")).count() == spark.read.parquet(str(tmp_path / "q")).count() == 100
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["c", "p", "q", "s", "t", "u"]
+    assert sinks.write_parquet(many.where("id < 5"), str(tmp_path / "p")) and spark.read.parquet(str(tmp_path / "p")).count() == 5
+
+
+def test_two_writers_of_one_registry(spark, tmp_path):
+    """Both find an id missing and add it; readers see it once."""
+    path = str(tmp_path / "registry")
+    entries = sinks.registry_rows(spark.createDataFrame([("/in/fundamentals_n1_bs.out", ["A", "B"])], "path string, colnames array<string>"))
+    assert sinks.append_registry(spark, entries, path).count() == 1
+    assert sinks.append_registry(spark, entries, path).count() == 0
+    entries.write.mode("append").parquet(path)
+    got = sinks.read_registry(spark, path)
+    assert spark.read.parquet(path).count() == 2 and [r.colnames for r in got.collect()] == [["A", "B"]]
+    assert sinks.read_registry(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_repeated_columns_are_not_written(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "a int")
     with pytest.raises(ValueError):
