@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from .bits import with_bits
 from .scalar import null_nan
 from ..session import broadcast_within, stored
 
@@ -21,30 +22,6 @@ DIRECT_ROWS = 1_000_000
 SHIFTS = (42, 32, 22, 12, 0)
 
 
-def with_order(df: DataFrame, v: str = "v") -> DataFrame:
-    """``df`` with ``bits``, a long that orders like the double ``v``: its IEEE 754 bits, negated for negative values.
-
-    NULL for NULL; no NaN.  In steps, so that each is computed once.
-    """
-    a, e, m = F.col("__a"), F.col("__e"), F.col("__m")
-    steps = df.withColumn("__a", F.abs(v)).withColumn("__e", F.least(F.floor(F.log2(a)), F.lit(1023)))
-    # The logarithm may be off by one next to a power of two, which the fraction shows.
-    steps = steps.withColumn("__m", a / F.pow(F.lit(2.0), e))
-
-    def normal(up: int, fraction: Column) -> Column:
-        return (e + (1023 + up)) * (1 << 52) + ((fraction - 1) * 2.0**52).cast("long")
-
-    size = (
-        F.when(a == float("inf"), F.lit(2047 << 52))
-        .when(a < 2.0**-1022, (a * 2.0**1022 * 2.0**52).cast("long"))
-        .when(m >= 2, normal(1, m / 2))
-        .when(m < 1, normal(-1, m * 2))
-        .otherwise(normal(0, m))
-    )
-    steps = steps.withColumn("__size", size)
-    return steps.withColumn("bits", F.when(F.col(v) < 0, -F.col("__size")).otherwise(F.col("__size"))).drop("__a", "__e", "__m", "__size")
-
-
 def group_quantiles(
     df: DataFrame,
     group_by: Sequence[str],
@@ -67,7 +44,7 @@ def group_quantiles(
     # A struct, so that NULL equals NULL in joins.
     rows = df.select(F.struct(*group_by).alias("g"), cells.alias("s")).select("g", "s.i", "s.v")
     spread = [F.min("v").alias("low"), F.max("v").alias("high")]
-    coded = with_order(rows).withColumn("cell", F.shiftright("bits", SHIFTS[0])).drop("bits")
+    coded = with_bits(rows, {"bits": "v"}).withColumn("cell", F.shiftright("bits", SHIFTS[0])).drop("bits")
     counts = stored(coded.groupBy("g", "i", "cell").agg(F.count("v").alias("n"), *spread), "cells")
 
     whole = Window.partitionBy("g", "i")
@@ -92,7 +69,7 @@ def group_quantiles(
         if taken is None:
             taken = coded.where("v is not null").join(cells, ["g", "i", "cell"]).groupBy("g", "i", "cell", "v").agg(F.count(F.lit(1)).alias("n"))
         else:
-            taken = with_order(taken).withColumn("cell", F.shiftright("bits", SHIFTS[turn])).drop("bits").join(cells, ["g", "i", "cell"])
+            taken = with_bits(taken, {"bits": "v"}).withColumn("cell", F.shiftright("bits", SHIFTS[turn])).drop("bits").join(cells, ["g", "i", "cell"])
         wanted = slots.select("g", "i", "cell", "j", "k", "share", "upper")
         if widest <= direct_rows or not shift:
             # Few enough to order as they are.
@@ -100,7 +77,7 @@ def group_quantiles(
             order = "v"
         else:
             taken = stored(taken, "taken")
-            parts = with_order(taken).withColumn("fine", F.shiftright("bits", shift)).groupBy("g", "i", "cell", "fine").agg(F.sum("n").alias("n"), *spread)
+            parts = with_bits(taken, {"bits": "v"}).withColumn("fine", F.shiftright("bits", shift)).groupBy("g", "i", "cell", "fine").agg(F.sum("n").alias("n"), *spread)
             order = "fine"
         parts = parts.withColumn("before", _before(Window.partitionBy("g", "i", "cell"), order))
         slots = parts.join(wanted, ["g", "i", "cell"]).where(_holds()).drop("cell").withColumnRenamed("fine", "cell")

@@ -9,7 +9,8 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.quantiles import group_quantiles, with_order
+from ledgerloom.functions.bits import with_bits
+from ledgerloom.functions.quantiles import group_quantiles
 from ledgerloom.operators import industry
 
 NAMES = ["mean", "median", "min", "max", "std", "q1", "q3"]
@@ -85,7 +86,7 @@ def test_bits_order_like_doubles(spark):
     near = np.concatenate([edges, np.nextafter(edges, 0), np.nextafter(edges[edges < 1e308], np.inf), bits])
     near = near[~np.isnan(near)]
     df = spark.createDataFrame(pd.DataFrame({"v": np.unique(np.concatenate([near, -near]))}))
-    out = with_order(df).toPandas().sort_values("v")
+    out = with_bits(df, {"bits": "v"}).toPandas().sort_values("v")
     exact = np.where(out.v < 0, -np.abs(out.v.to_numpy()).view(np.int64), np.abs(out.v.to_numpy()).view(np.int64))
     assert (out.bits.to_numpy() == exact).all()
 

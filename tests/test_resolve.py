@@ -103,6 +103,43 @@ def test_one_exchange(spark):
     assert plan.count("Exchange") == 1 and "partial_min" in plan and "Python" not in plan
 
 
+def test_numbers_and_dates_are_hashed(spark):
+    """300 measures without a sort; a text is settled like the others."""
+    base = spark.range(60).selectExpr(
+        "cast(id % 4 as string) as ID_BB_UNIQUE", "2020 as Year", "id", "date_add(date'2020-01-01', cast(id % 3 as int)) as FUNDAMENTAL_UPDATE_DT",
+        "'Y' as EQY_CONSOLIDATED", "'MR' as FILING_STATUS", "'US GAAP' as ACCOUNTING_STANDARD",
+    )
+    df = base.selectExpr("*", *[f"cast(id % {i % 7 + 1} as double) as m{i}" for i in range(300)]).drop("id")
+    out = resolve.resolve_annual(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    got = {r.ID_BB_UNIQUE: r for r in out.collect()}
+    for k in range(4):
+        last = [i for i in range(60) if i % 4 == k and i % 3 == 2]
+        for m in (0, 1, 2, 6, 299):
+            values = {float(i % (m % 7 + 1)) for i in last}
+            assert got[str(k)][f"m{m}"] == (values.pop() if len(values) == 1 else None)
+
+
+def test_any_type_is_settled(spark):
+    """Equal and different values of every kind, of the best rank and of others."""
+    kinds = {
+        "boolean": ("true", "false"), "int": ("-5", "7"), "long": (str(-(2**63)), str(2**63 - 1)), "float": ("1.5", "1.25"),
+        "double": ("1e300", "1.0000000000000002e300"), "date": ("1000-01-01", "9999-12-31"), "string": ("a", "b"),
+        "timestamp": ("2020-01-01 00:00:00.000001", "2020-01-01 00:00:00"), "timestamp_ntz": ("1969-12-31 23:59:59.999999", "1969-12-31 23:59:59"),
+        "decimal(18,4)": ("1.0001", "1.0002"), "decimal(38,4)": ("1.0001", "1.0002"),
+    }
+    # Group 1 agrees on the best rank, group 2 does not, group 3 has one value, group 4 has none.
+    data = [(1, 5, 0), (1, 5, 0), (1, 6, 1), (2, 5, 0), (2, 5, 1), (3, 9, 1), (3, 1, None), (4, 2, None)]
+    values = [f"cast(case which when 0 then '{a}' when 1 then '{b}' end as {k}) as c{i}" for i, (k, (a, b)) in enumerate(kinds.items())]
+    df = spark.createDataFrame(data, "g int, r long, which int").selectExpr("g", "r", *values)
+    got = {r.g: r for r in resolve.resolve(df, ["g"], [c for c in df.columns if c[0] == "c"], df.r).collect()}
+    want = df.where("g = 1 and r = 5").first(), df.where("g = 3 and r = 9").first()
+    for i in range(len(kinds)):
+        assert got[1][f"c{i}"] == want[0][f"c{i}"] is not None and got[3][f"c{i}"] == want[1][f"c{i}"] is not None
+        assert got[2][f"c{i}"] is None and got[4][f"c{i}"] is None
+
+
 def test_priorities_are_total():
     assert K.FILING_PRIORITY == STATUS and K.ACCOUNTING_PRIORITY == STANDARD
     assert pd.Series(K.QUARTERLY_UNRESOLVED).is_unique
