@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .ordered import floats, in_order, pieces
 from .panel import series_rows
+from ..session import stored
 
 BLOCK = "__block"
 ROW = "__row"
@@ -91,6 +92,24 @@ def time_block(df: DataFrame, partition_by: Sequence[str], column: str, rows: in
     raise ValueError(f"a series has {largest} rows within one second of {column}: name a finer block")
 
 
+DEPTH = "__depth"
+
+
+def even_blocks(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], rows: int = 1_000_000
+) -> tuple[DataFrame, Series]:
+    """``df`` with a block number in ``__depth``, written once, and the series cut by it.
+
+    Splitters are sampled over (series, order columns), so a block has about half of ``rows`` rows whatever the times are: a
+    burst within one instant is cut by the next order column, and sparse series share a range.  Only rows equal in all of these
+    columns stay together, and these have no order.  Rows without a series are left out, as everywhere here.
+    """
+    kept = series_rows(df, partition_by)
+    ranges = max(-(-2 * kept.count() // rows), 1)
+    cut = kept.repartitionByRange(ranges, *partition_by, *order_by).withColumn(DEPTH, F.spark_partition_id())
+    return stored(cut, "blocks"), Series(tuple(partition_by), tuple(order_by), F.col(DEPTH))
+
+
 def _tails(rows: DataFrame, s: Series, columns: Sequence[str], size: int) -> DataFrame:
     """Per block, ``__tail``: the last ``size`` rows of the series before the block, oldest first."""
     back = F.row_number().over(Window.partitionBy(*s.unit).orderBy(F.desc(ROW)))

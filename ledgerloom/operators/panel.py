@@ -115,6 +115,10 @@ def growth(
     )
 
 
+# Values of a series that are folded into one piece.
+FOLD = 128
+
+
 def ema_step(alpha: float):
     """One step of the recursion: state (y, w), next value x -> next state.
 
@@ -141,7 +145,8 @@ def ema(
     """``<c>(ema_n)``: exponential mean with alpha = 2 / (n + 1), recursive form.
 
     One fold over the ordered values of a company.  The gathered array is one panel series,
-    which the panel key bounds (see the module text).
+    which the panel key bounds (see the module text).  Appending copies what is there, so the fold appends to pieces
+    of ``FOLD`` values, and pieces to the list of pieces.
     """
     step = ema_step(2.0 / (span + 1))
     rest = [c for c in df.columns if c not in partition_by and c not in order_by]
@@ -151,18 +156,26 @@ def ema(
         .agg(F.array_sort(F.collect_list(F.struct(*order_by, *rest))).alias("__rows"))
     )
 
-    def fold(c: str) -> Column:
-        start = F.struct(
-            F.array().cast("array<double>").alias("ys"),
-            F.lit(None).cast("double").alias("y"),
-            F.lit(1.0).alias("w"),
-        )
-
-        def merge(state: Column, row: Column) -> Column:
-            y, w = step(state["y"], state["w"], row[c].cast("double"))
-            return F.struct(F.concat(state["ys"], F.array(y)).alias("ys"), y.alias("y"), w.alias("w"))
+    def state(ys: Column, y: Column, w: Column) -> Column:
+        return F.struct(ys.alias("ys"), y.alias("y"), w.alias("w"))
 
-        return F.aggregate("__rows", start, merge, lambda s: s["ys"])
+    def fold(c: str) -> Column:
+        def one(now: Column, row: Column) -> Column:
+            y, w = step(now["y"], now["w"], row[c].cast("double"))
+            return state(F.concat(now["ys"], F.array(y)), y, w)
+
+        def piece(now: Column, at: Column) -> Column:
+            inner = F.aggregate(
+                F.slice("__rows", at, FOLD), state(F.array().cast("array<double>"), now["y"], now["w"]), one
+            )
+            # Bound to a name, so that the piece is folded once.
+            return F.get(
+                F.transform(F.array(inner), lambda p: state(F.concat(now["ys"], F.array(p["ys"])), p["y"], p["w"])), F.lit(0)
+            )
+
+        start = state(F.array().cast("array<array<double>>"), F.lit(None).cast("double"), F.lit(1.0))
+        places = F.sequence(F.lit(1), F.size("__rows"), F.lit(FOLD))
+        return F.aggregate(places, start, piece, lambda s: F.flatten(s["ys"]))
 
     folded = grouped.select(
         *partition_by,

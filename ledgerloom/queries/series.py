@@ -277,6 +277,22 @@ def long_rolling_avg(spark, folder):
     return L.rolling_avg(rows, ["value"], s, 5).select("event_id", "value(rolling_avg_5)")
 
 
+@query(
+    "long_even_blocks",
+    with_ctes(
+        TICKS_SQL,
+        select=f"""SELECT event_id, value - LAG(value) OVER ({TW}) AS "value(q2q_diff)",
+                   AVG(value) OVER ({TW} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS "value(rolling_avg_5)" FROM ticks""",
+    ),
+)
+def long_even_blocks(spark, folder):
+    """Cut by sampled splitters instead of spans of time."""
+    ticks, _ = _ticks(spark, folder)
+    rows, s = L.even_blocks(ticks, ["user_id"], ["ts", "event_id"], 5_000)
+    diffs = L.first_diff(rows, ["value"], s)
+    return L.rolling_avg(diffs, ["value"], s, 5).select("event_id", "value(q2q_diff)", "value(rolling_avg_5)")
+
+
 @query(
     "long_growth",
     with_ctes(

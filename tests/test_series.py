@@ -8,7 +8,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ledgerloom.operators import ar1, impute, long_series as L, panel as P
 
@@ -290,3 +290,29 @@ def test_time_block(spark, kind):
     np.testing.assert_allclose(got["v(rolling_avg_4)"].astype(float), want)
     with pytest.raises(ValueError, match="within one second"):
         L.time_block(df.selectExpr("'a' as k", f"cast('2024-01-01' as {kind}) as ts"), ["k"], "ts", 1)
+
+
+def test_a_burst_is_cut_evenly(spark):
+    """A series with nearly all rows in one instant, next to sparse ones."""
+    n = 20_000
+    df = spark.range(n).selectExpr(
+        "if(id < 18000, 'burst', cast(id % 50 as string)) as ID_BB_UNIQUE",
+        "if(id < 18000, timestamp'2024-01-01 00:00:00', timestamp'2024-01-01 00:00:00' + interval 1 hour * id) as ts",
+        "id",
+        "if(id % 7 = 0, null, cast(id % 11 as double)) as v",
+    )
+    rows_, s = L.even_blocks(df, ["ID_BB_UNIQUE"], ["ts", "id"], rows=2_000)
+    sizes = rows_.groupBy("ID_BB_UNIQUE", L.DEPTH).count().agg(F.max("count")).first()[0]
+    assert sizes <= 2_000 and rows_.count() == n
+    # Blocks never decrease along a series.
+    w = Window.partitionBy("ID_BB_UNIQUE").orderBy("ts", "id")
+    assert rows_.withColumn("before", F.lag(L.DEPTH).over(w)).where(f"before > {L.DEPTH}").isEmpty()
+    got = L.rolling_avg(rows_, ["v"], s, 4).where("ID_BB_UNIQUE = 'burst'").orderBy("id").toPandas()
+    np.testing.assert_allclose(got["v(rolling_avg_4)"].astype(float), got.v.rolling(4, min_periods=1).mean())
+
+
+def test_ema_of_a_long_company(spark):
+    """40,000 rows of one company in pieces; the same recursion as in pandas."""
+    df = spark.range(40_000).selectExpr("'u' as ID_BB_UNIQUE", "cast(id as int) as Year", "1 as Quarter", "if(id % 5 = 3, null, sin(id)) as v")
+    got = P.ema(df, ["v"], 3).orderBy("Year").toPandas()
+    np.testing.assert_allclose(got["v(ema_3)"].astype(float), got.v.ewm(span=3, adjust=False).mean())
