@@ -180,21 +180,24 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
     ``weak`` steps, or as many as take every window once if that is more, take windows at random; then ``sharp`` rounds of
     ``steps`` steps take texts by their worst windows.
     """
-    split = [t.lower().split() for t in texts]
-    pairs = [(w, y) for w, y in zip(split, labels) if w]
-    if len({y for _, y in pairs}) < 2:
-        return None
-    net, rng = Network(shape, seed), np.random.default_rng(seed)
     known: dict[bytes, int] = {}
-    windows, of, label = [], [], np.array([y for _, y in pairs], np.float32)
-    for i, (w, _) in enumerate(pairs):
-        ids = [known.setdefault(x, len(known) + 1) for x in w]
+    windows, of, label = [], [], []
+    # Text by text: only numbers stay.
+    for text, y in zip(texts, labels):
+        words = text.lower().split()
+        if not words:
+            continue
+        ids = np.fromiter((known.setdefault(w, len(known) + 1) for w in words), np.int32, len(words))
         for a in starts(len(ids), shape.window, shape.stride):
+            windows.append(np.zeros(shape.window, np.int32))
             part = ids[a : a + shape.window]
-            windows.append(part + [0] * (shape.window - len(part)))
-            of.append(i)
-    del split, pairs
-    windows, of = np.array(windows), np.array(of)
+            windows[-1][: len(part)] = part
+            of.append(len(label))
+        label.append(y)
+    if len(set(label)) < 2:
+        return None
+    net, rng = Network(shape, seed), np.random.default_rng(seed)
+    windows, of, label = np.array(windows), np.array(of), np.array(label, np.float32)
     word, chars, bounds = net.inputs([b"", *known])
     adam = Adam(net.p, rate)
     d = shape.word_size
