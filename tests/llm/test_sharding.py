@@ -31,3 +31,15 @@ def test_few_rows_and_none(spark):
     df = sizes(spark.createDataFrame([(4, "abc")], "doc_id long, text string"))
     assert [(r.doc_id, r.slot) for r in sharding.shards(df, 40, ["doc_id"], F.col("bytes") + 16).collect()] == [(4, 0)]
     assert sharding.shards(df.limit(0), 40, ["doc_id"], F.col("bytes") + 16).count() == 0
+
+
+def test_columns_of_any_name_travel_along(spark):
+    names = ["before", "above", "zero", "range", "part", "start", "index", "bytes", "n", "splitters", "pieces", "__row", "__key", "a.b"]
+    rows = [(i, "x" * (i % 9), 5, 6, 7, *[f"{c}{i}" for c in names]) for i in range(60)]
+    kind = "doc_id long, text string, size int, shard int, slot int, " + ", ".join(f"`{c}` string" for c in names)
+    got = sharding.shards(spark.createDataFrame(rows, kind), 4, ["doc_id"], F.octet_length("text") + 16, range_bytes=100)
+    assert got.columns == ["doc_id", "text", *names, "size", "shard", "slot"]
+    found = got.collect()
+    assert sorted((r.doc_id, r["size"]) for r in found) == [(i, i % 9 + 16) for i in range(60)]
+    assert all(r[c] == f"{c}{r.doc_id}" for r in found for c in names)
+    assert sorted({r.shard for r in found}) == [0, 1, 2, 3]
