@@ -46,7 +46,7 @@ def risk_controlled_quality(spark: SparkSession, folder: str) -> DataFrame:
 URL_LISTS_SQL = r"""
 WITH page AS (
   SELECT page_id, url, CAST(DATE '2024-01-01' + CAST((page_id * 7919) % 36 AS INTEGER) AS DATE) AS day,
-    lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)', 1)) AS host,
+    lower(regexp_replace(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)', 1), '\.$', '')) AS host,
     list_filter(string_split(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS seg
   FROM pages),
 entry AS (

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def host_of(url: Column) -> Column:
-    """Host in lower case; empty for what is no absolute URL."""
-    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]+)", 1))
+    """Host in lower case, without user, port and closing dot; empty for what is no absolute URL."""
+    found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:@]+)", 1)
+    return F.lower(F.regexp_replace(found, r"\.$", ""))
 
 
 def segments_of(url: Column) -> Column:
@@ -51,7 +52,8 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     """``captures`` with lists (sorted names of the lists on which the URL was that day), n_entries and blocked.
 
     ``blocked``: on a list other than ``allow`` and not on ``allow``. A capture with a null or unreadable URL or a null day is on no
-    list. Repeated captures each get a row.
+    list. Repeated captures each get a row. Other columns travel along, whatever their names; one named lists, n_entries or blocked
+    gives way to the new one.
     """
     active = intervals(entries)
     seen = captures.select(F.col(url).alias("__url"), F.col(day).alias("__day")).where("__url is not null and __day is not null").distinct()
@@ -60,10 +62,11 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     inside = (F.col("since") <= F.col("__day")) & (F.col("until").isNull() | (F.col("__day") < F.col("until")))
     on = probes.join(active, "pattern").where(inside).groupBy("pattern", "__day").agg(F.collect_set("list").alias("names"))
     verdict = spread.join(on, ["pattern", "__day"]).groupBy("__url", "__day").agg(
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("names")))).alias("lists"), F.sum(F.size("names")).alias("n_entries")
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("names")))).alias("__lists"), F.sum(F.size("names")).alias("__entries")
     )
     out = captures.join(verdict, (F.col(f"`{url}`") == F.col("__url")) & (F.col(f"`{day}`") == F.col("__day")), "left")
-    lists = F.coalesce("lists", F.array().cast("array<string>"))
+    lists = F.coalesce("__lists", F.array().cast("array<string>"))
     others = F.size(F.array_except(lists, F.array(F.lit(allow)))) > 0 if allow else F.size(lists) > 0
     free = F.array_contains(lists, allow) if allow else F.lit(False)
-    return out.select(*[captures[c] for c in captures.columns], lists.alias("lists"), F.coalesce("n_entries", F.lit(0)).cast("long").alias("n_entries"), (others & ~free).alias("blocked"))
+    kept = [out[f"`{c}`"] for c in captures.columns if c not in ("lists", "n_entries", "blocked")]
+    return out.select(*kept, lists.alias("lists"), F.coalesce("__entries", F.lit(0)).cast("long").alias("n_entries"), (others & ~free).alias("blocked"))

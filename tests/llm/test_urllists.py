@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from ledgerloom.llm import urllists
 
 
@@ -27,3 +29,17 @@ def test_entries_count_while_they_are_active(spark):
     want = sorted((u or "", str(None if d is None else day(d)), on.get((u, d), ""), on.get((u, d), "") not in ("", "good,spam")) for u, d in captures)
     assert found == want
     assert urllists.judged(df.limit(0), spark.createDataFrame([], "list string, pattern string, day date, added boolean")).count() == 0
+
+
+def test_hosts_without_user_port_and_closing_dot(spark):
+    urls = {"http://user:pw@bad.example/": "bad.example", "http://Bad.example.:8080/x": "bad.example", "http://[::1]:80/": "[::1]", "ftp://a@b@c.example?u@v": "c.example", "http://c.example/@x": "c.example", "http://": "", "mailto:a@b": "", None: ""}
+    got = spark.createDataFrame([(u,) for u in urls], "u string").select("u", urllists.host_of(F.col("u")).alias("h")).collect()
+    assert {r.u: r.h for r in got} == urls
+
+
+def test_columns_of_any_name_travel_along(spark):
+    entries = spark.createDataFrame([("spam", "bad.example", day(0), True)], "list string, pattern string, day date, added boolean")
+    df = spark.createDataFrame([("http://u:p@bad.example/", day(1), "a", 2, True, "n", "s")], "url string, day date, lists string, n_entries int, blocked boolean, names string, `si.nce` string")
+    got = urllists.judged(df, entries)
+    assert got.columns == ["url", "day", "names", "si.nce", "lists", "n_entries", "blocked"]
+    assert tuple(got.first())[2:] == ("n", "s", ["spam"], 1, True)
