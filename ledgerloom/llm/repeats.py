@@ -183,7 +183,8 @@ def repeated_words(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     whole = alive.where("alike").select("seq", "begin", (F.col("n") + (window - 1)).alias("size"))
     single = alive.where("not alike").select("seq", "run", "place", "begin", "back", F.posexplode("windows").alias("i", "window"))
     single = single.select("seq", "run", "window", (F.col("back") - F.col("i")).alias("offset"), "place", (F.col("begin") + F.col("i")).alias("begin"))
-    twice = _repeated(single, "run", "offset", "window")
+    # Written, so that a window which very many texts share is a join that adaptive execution can split.
+    twice = written(_repeated(single, "run", "offset", "window"), "twice")
     parts = single.join(twice, ["run", "offset", "window"]).select("seq", "begin", F.lit(window).alias("size"))
     ranges = whole.unionByName(parts).groupBy("seq").agg(F.collect_list(F.struct("begin", "size")).alias("ranges"))
     lost = written(_covered(carriers.where("copies = 1").join(ranges, "seq"), window), "covered")
