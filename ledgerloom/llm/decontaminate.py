@@ -348,6 +348,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     ``start`` and ``words`` give the searched region in words, ``common`` the part of the item's words found there in order. Items of fewer
     than ``least_words`` words, or null, match nothing; null and empty documents have no leaks. Items are taken in
     blocks, each in a pass over all documents. Repeated documents or items each give their rows; a null key is kept.
+    Item numbers are whole numbers. Texts are searched whole, however long; other columns are not looked at, whatever their names.
     """
     table = written(_table(docs, key, text), "terms")
     model = fit(table, latent)

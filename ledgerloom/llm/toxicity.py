@@ -340,7 +340,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 
 def scored(docs: DataFrame, net: Network | None, text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a score from 0 to 1 for the whole text; 0 for null and blank texts, and for all without a network."""
+    """``docs`` with a score from 0 to 1 for the whole text; 0 for null and blank texts, and for all without a network. A column that is
+    already named ``out`` gives way, wherever it stands."""
+    if out != text and out in docs.columns:
+        docs = docs.drop(out)
     if net is None:
         return docs.withColumn(out, F.lit(0.0))
     place = docs.columns.index(text)

@@ -110,3 +110,18 @@ def test_paraphrases_down_to_the_rule_are_found_with_production_parameters(spark
         want.add((5000 + k, item))
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert want <= {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()}
+
+
+def test_very_long_texts_and_columns_of_any_name(spark):
+    docs, items, _ = texts()
+    filler = [t for _, t in docs[:300]]
+    body = " ".join(filler * 8).split()
+    long = " ".join([*body, *items[3][1].split(), *body])
+    kind = "doc_id long, text string, key string, terms string, item string, item_id string, start string, words string, common string"
+    rows = [(k, t, *["x"] * 7) for k, t in [*docs[:300], (5000, long), (5001, " ".join(body))]]
+    bench = spark.createDataFrame([(k, t, "x", "x", "x") for k, t in items], "item_id long, text string, t string, key string, words string")
+    got = decontaminate.leaks(spark.createDataFrame(rows, kind), bench, latent=LATENT)
+    assert got.columns == ["doc_id", "item_id", "start", "words", "common"]
+    found = got.collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(5000, items[3][0])}
+    assert all(len(body) - 60 <= r.start <= len(body) + 60 for r in found)

@@ -67,6 +67,10 @@ def test_held_out_accuracy_and_odd_rows(spark):
     scores = [r.score for r in toxicity.scored(odd, net).orderBy(F.col("doc_id").asc_nulls_first()).collect()]
     assert scores[:3] == [0.0, 0.0, 0.0] and all(0 <= s <= 1 for s in scores)
     assert toxicity.scored(odd.limit(0), net).count() == 0 and {r.score for r in toxicity.scored(odd, None).collect()} == {0.0}
+    again = odd.select("doc_id", F.lit("old").alias("score"), "text")
+    for by in (net, None):
+        named = toxicity.scored(again, by)
+        assert named.columns == ["doc_id", "text", "score"] and all(isinstance(r.score, float) for r in named.collect())
 
 
 def test_every_window_is_learned_from(monkeypatch):
