@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import written
 from .words import as_bytes, chunks, mix
@@ -188,16 +188,14 @@ def fit(texts: Sequence[bytes], labels: Sequence[int], shape: Shape = Shape(), w
         if not words:
             continue
         ids = np.fromiter((known.setdefault(w, len(known) + 1) for w in words), np.int32, len(words))
-        for a in starts(len(ids), shape.window, shape.stride):
-            windows.append(np.zeros(shape.window, np.int32))
-            part = ids[a : a + shape.window]
-            windows[-1][: len(part)] = part
-            of.append(len(label))
+        place = np.array(starts(len(ids), shape.window, shape.stride))[:, None] + np.arange(shape.window)
+        windows.append(np.where(place < len(ids), ids[np.minimum(place, len(ids) - 1)], 0).astype(np.int32))
+        of.append(np.full(len(place), len(label)))
         label.append(y)
     if len(set(label)) < 2:
         return None
     net, rng = Network(shape, seed), np.random.default_rng(seed)
-    windows, of, label = np.array(windows), np.array(of), np.array(label, np.float32)
+    windows, of, label = np.concatenate(windows), np.concatenate(of), np.array(label, np.float32)
     word, chars, bounds = net.inputs([b"", *known])
     adam = Adam(net.p, rate)
     d = shape.word_size
@@ -325,18 +323,39 @@ def held_out(key: str) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 1000, shape: Shape = Shape(), seed: int = 0) -> Network | None:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = 1000, sample_bytes: int = 64 << 20, shape: Shape = Shape(), seed: int = 0) -> Network | None:
     """Fit on at most ``sample`` toxic and twice as many clean labelled texts, those with the least hashes of their keys, without
-    held-out rows.
+    held-out rows; None if these have no words of both kinds.
 
-    Null labels and keys are left out. A key with several labels or texts gives a row for each.
+    The sample ends before ``sample_bytes`` bytes of text, and texts of more than a 64th of that are not in it. Null labels and keys are
+    left out. A key with several labels or texts gives a row for each. The fit runs in one task of an executor, which sends the weights
+    back; it gives the same network again if the executor is lost.
     """
     learn = labels.where(f"`{key}` is not null and `{label}` in (0, 1)").where(~held_out(key)).select(key, F.col(label).cast("int").alias("__y"))
     draw = lambda y: learn.where(F.col("__y") == y).orderBy(F.xxhash64(F.col(key)), key).limit((2 - y) * sample)
     chosen = written(draw(0).unionByName(draw(1)), "sample")
-    # At most three times ``sample`` keys; their texts are the one thing that comes to the driver.
-    rows = docs.join(F.broadcast(chosen), key).select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"), "__y").orderBy(F.xxhash64(F.col("t")), "__y").limit(3 * sample).toArrow()
-    return fit(rows.column("t").to_pylist(), rows.column("__y").to_pylist(), shape, seed=seed)
+    # At most three times ``sample`` keys.
+    texts = docs.select(key, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__t")).join(F.broadcast(chosen), key)
+    texts = texts.where(F.octet_length("__t") <= sample_bytes // 64).select(F.xxhash64("__t").alias("hash"), F.col("__y").alias("y"), F.octet_length("__t").alias("size"), F.col("__t").alias("t"))
+    texts = written(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+    order = ["hash", "y", "row"]
+    first = texts.select(*order, "size").orderBy(*order).limit(3 * sample)
+    upto = F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    first = first.withColumn("upto", upto).where(F.col("upto") <= sample_bytes).select("row")
+    rows = texts.join(F.broadcast(first), "row").repartition(1).sortWithinPartitions(*order).select("t", "y")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [(t, y) for batch in batches for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+        net = fit([t for t, _ in held], [y for _, y in held], shape, seed=seed)
+        for name, values in net.p.items() if net else ():
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([list(values.shape)], pa.list_(pa.int32())), pa.array([values.tobytes()])], ["name", "size", "data"])
+
+    weights = rows.mapInArrow(run, "name string, size array<int>, data binary").toArrow().to_pylist()
+    if not weights:
+        return None
+    net = Network(shape, seed)
+    net.p = {w["name"]: np.frombuffer(w["data"], np.float32).reshape(w["size"]) for w in weights}
+    return net
 
 
 def scored(docs: DataFrame, net: Network | None, text: str = "text", out: str = "score") -> DataFrame:

@@ -80,3 +80,16 @@ def test_every_window_is_learned_from(monkeypatch):
     texts = [b" ".join(b"w%d" % ((k * 7 + i) % 50) for i in range(32 + 24 * 9)) for k in range(8)]
     assert toxicity.fit(texts, [k % 2 for k in range(8)], weak=3, sharp=0, batch=8)
     assert sum(read) >= 80
+
+
+def test_the_fit_is_bounded_by_bytes(spark):
+    rows = texts(60)
+    long = [(100, "zorqa " * 4000, 1), (101, "plain " * 4000, 0)]
+    df = spark.createDataFrame([(k, t, "x") for k, t, _ in rows + long], "doc_id long, text string, hash string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows + long], "doc_id long, toxic int")
+    net = toxicity.train(df, labels, shape=SMALL, sample_bytes=1 << 19)
+    same = toxicity.train(df.where("doc_id < 100"), labels, shape=SMALL, sample_bytes=1 << 19)
+    assert net.p.keys() == toxicity.Network(SMALL).p.keys() and all(np.array_equal(net.p[k], same.p[k]) for k in net.p)
+    less = toxicity.train(df, labels, shape=SMALL, sample_bytes=1 << 14)
+    assert not np.array_equal(net.p["out"], less.p["out"])
+    assert toxicity.train(df, labels, shape=SMALL, sample_bytes=64) is None
