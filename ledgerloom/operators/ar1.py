@@ -51,18 +51,32 @@ class RunningFit:
         with np.errstate(divide="ignore"):
             return -0.5 * self.n * np.log(np.maximum(s, 0.0)) + 0.5 * np.log(edge), mean
 
+    def _score(self, phi: np.ndarray) -> np.ndarray:
+        """Slope of the log-likelihood; its zero is known to the last digits, the top of a flat curve is not."""
+        m = self.n - 1
+        early, early_sq = self.total - self.last, self.squares - self.last**2
+        drift, slope, edge = self.total - phi * early, 1 - phi, 1 - phi**2
+        mean = slope * drift / (edge + m * slope**2)
+        s = edge * mean**2 + self.squares - 2 * phi * self.products + phi**2 * early_sq - 2 * mean * slope * drift + m * (slope * mean) ** 2
+        # The mean is the best one for each phi, so it counts as fixed here.
+        ds = 2 * phi * early_sq - 2 * self.products - 2 * phi * mean**2 + 2 * mean * (drift + slope * early) - 2 * m * slope * mean**2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(s > 0, -0.5 * self.n * ds / s - phi / edge, 0.0)
+
     def forecast(self) -> float:
         spread = self.squares - self.total**2 / self.n
         if self.n < 3 or spread <= 1e-12 * max(self.squares, 1e-300):
             return self.origin + self.last
-        grid = _GRID
-        for _ in range(6):
-            best = int(np.argmax(self._profile(grid)[0]))
-            step = grid[1] - grid[0]
-            grid = np.linspace(max(grid[best] - step, -0.999999), min(grid[best] + step, 0.999999), 41)
-        level, mean = self._profile(grid)
-        best = int(np.argmax(level))
-        return float(self.origin + mean[best] + grid[best] * (self.last - mean[best]))
+        best, step = _GRID[int(np.argmax(self._profile(_GRID)[0]))], _GRID[1] - _GRID[0]
+        low, high = max(best - step, -0.999999), min(best + step, 0.999999)
+        for _ in range(4):
+            grid = low + np.arange(41) * ((high - low) / 40)
+            rising = int(np.cumprod(self._score(grid) > 0).sum())
+            low, high = grid[max(rising - 1, 0)], grid[min(rising, 40)]
+        left, right = self._score(np.array([low, high]))
+        phi = low + (high - low) * left / (left - right) if left > right else low
+        mean = float(self._profile(np.array([phi]))[1][0])
+        return float(self.origin + mean + phi * (self.last - mean))
 
 
 def _fill(values: np.ndarray, fit: RunningFit | None) -> RunningFit | None:

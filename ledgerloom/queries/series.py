@@ -206,7 +206,51 @@ _impute("impute_between", impute.fill_between, False, False, True)
 _impute("impute_full", impute.fill_gaps, True, True, True)
 
 
-@query("ar1_impute")
+def _ar1_sql(digits):
+    """The same fit, one row of each series a step: a row carries the running sums, and a gap searches phi on a grid and then the zero of its slope."""
+    drift, edge = "(total - p * (total - last))", "(1 - p * p)"
+    mean = f"((1 - p) * {drift} / ({edge} + (n - 1) * (1 - p) * (1 - p)))"
+    rest = f"""({edge} * {mean} * {mean} + sq - 2 * p * prod + p * p * (sq - last * last)
+      - 2 * {mean} * (1 - p) * {drift} + (n - 1) * (1 - p) * {mean} * (1 - p) * {mean})"""
+    level = f"-0.5 * n * CASE WHEN {rest} > 0 THEN ln({rest}) ELSE -1e300 END + 0.5 * ln({edge})"
+    score = f"""CASE WHEN {rest} > 0 THEN -0.5 * n * (2 * p * (sq - last * last) - 2 * prod - 2 * p * {mean} * {mean}
+      + 2 * {mean} * ({drift} + (1 - p) * (total - last)) - 2 * (n - 1) * (1 - p) * {mean} * {mean}) / {rest} - p / {edge} ELSE 0 END"""
+    rows = """SELECT w.id, w.col, c.k, c.x, w.origin, w.n, w.last, w.total, w.sq, w.prod,
+        w.n >= 3 AND w.sq - w.total * w.total / w.n > 1e-12 * greatest(w.sq, 1e-300) AS fits,
+        list_transform(range(CASE WHEN c.x IS NULL AND fits THEN 201 ELSE 0 END), lambda i: -0.999 + i * (1.998 / 200)) AS g
+      FROM walk w JOIN cells c ON c.id = w.id AND c.col = w.col AND c.k = w.k + 1"""
+    found = f"""SELECT * EXCLUDE (g, top, levels), greatest(top - 1.998 / 200, -0.999999) AS low, least(top + 1.998 / 200, 0.999999) AS high
+      FROM (SELECT *, g[list_position(levels, list_max(levels))] AS top
+        FROM (SELECT *, list_transform(g, lambda p: {level}) AS levels FROM ({rows})))"""
+    for _ in range(4):
+        found = f"""SELECT * EXCLUDE (g, low, high, rising), g[greatest(rising, 1)] AS low, g[least(rising + 1, 41)] AS high
+          FROM (SELECT *, coalesce(nullif(list_position(list_transform(g, lambda p: {score} > 0), false), 0) - 1, 41) AS rising
+            FROM (SELECT *, list_transform(range(CASE WHEN low IS NULL THEN 0 ELSE 41 END), lambda i: low + i * ((high - low) / 40)) AS g FROM ({found})))"""
+    found = f"""SELECT *, CASE WHEN ends[1] > ends[2] THEN low + (high - low) * ends[1] / (ends[1] - ends[2]) ELSE low END AS p
+      FROM (SELECT *, list_transform([low, high], lambda p: {score}) AS ends FROM ({found}))"""
+    cells = " UNION ALL ".join(f"SELECT ID_BB_UNIQUE AS id, '{c}' AS col, row_number() OVER ({W}) AS k, CAST({c} AS DOUBLE) AS x FROM panel" for c in GAPPED)
+    return "WITH RECURSIVE " + with_ctes(
+        D.PANEL_SQL,
+        f"cells AS ({cells})",
+        f"""walk AS (
+      SELECT id, col, k, x AS v, x AS origin, CASE WHEN x IS NULL THEN 0 ELSE 1 END AS n, CAST(0 AS DOUBLE) AS last,
+        CAST(0 AS DOUBLE) AS total, CAST(0 AS DOUBLE) AS sq, CAST(0 AS DOUBLE) AS prod FROM cells WHERE k = 1
+      UNION ALL
+      SELECT id, col, k, v, coalesce(origin, v), CASE WHEN v IS NULL THEN 0 ELSE n + 1 END, coalesce(d, 0), total + coalesce(d, 0),
+        sq + coalesce(d * d, 0), prod + coalesce(d * last, 0)
+      FROM (SELECT *, v - coalesce(origin, v) AS d
+        FROM (SELECT *, CASE WHEN x IS NOT NULL OR origin IS NULL THEN x WHEN NOT fits THEN origin + last
+            ELSE origin + {mean} + p * (last - {mean}) END AS v
+          FROM ({found}))))""",
+        f"numbered AS (SELECT {KEY_SQL}, row_number() OVER ({W}) AS k FROM panel)",
+        select=f"SELECT {KEY_SQL}, "
+        + ", ".join(f"ROUND(z{i}.v, {digits}) AS {c}" for i, c in enumerate(GAPPED))
+        + " FROM numbered n "
+        + " ".join(f"JOIN walk z{i} ON z{i}.id = n.ID_BB_UNIQUE AND z{i}.col = '{c}' AND z{i}.k = n.k" for i, c in enumerate(GAPPED)),
+    ).removeprefix("WITH ")
+
+
+@query("ar1_impute", _ar1_sql(3))
 def ar1_impute(spark, folder):
     return plain(ar1.ar1_fill(_panel(spark, folder, GAPPED), GAPPED), 3)
 
