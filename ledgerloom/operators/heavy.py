@@ -1,8 +1,9 @@
 """Keys with more rows than one task should hold: found without a miss, and joined in blocks.
 
-Finding.  Rows are counted per bucket of the key's hash.  Every task merges its counts into at most ``BUCKETS`` numbers, and
-a key above the bound lies in a bucket above it, so only the rows of such buckets are counted by key, in the same
-aggregate that finds their latest revision.
+Finding.  Rows are counted per bucket of a hash, first of a few key columns, which are cheap to read, then of the whole key
+where a bucket is above the bound.  Every task merges its counts into at most ``BUCKETS`` numbers, and a key above the bound lies
+in a bucket above it, so only the rows of such buckets are counted by key, in the same aggregate that finds their latest
+revision.
 
 Joining.  The rows of a heavy key are numbered and written, so that a repeated task deals them out alike.  Left rows go
 to as many blocks as hold at most the bound, right rows likewise; each left block meets each right block in a task of its
@@ -71,22 +72,41 @@ class HeavyKeys:
         return out
 
 
-def heavy_keys(tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int, revision: str | None = None) -> HeavyKeys | None:
-    """Keys with more than ``rows`` rows in one of the tables, or ``None``.  NULL parts of a key count as equal."""
-    keys, names = list(keys), list(tables)
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int").alias("__bucket")
-    every = [t.select(F.lit(i).alias("__table"), bucket) for i, t in enumerate(tables.values())]
+def _bucket(columns: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BUCKETS)).cast("int")
+
+
+def _in_full_buckets(tables: Sequence[DataFrame], columns: Sequence[str], rows: int) -> list[DataFrame] | None:
+    """The rows whose bucket of ``columns`` has more than ``rows`` rows in one of the tables, or ``None`` if there is no such bucket."""
+    bucket = _bucket(columns).alias("__bucket")
+    every = [t.select(F.lit(i).alias("__table"), bucket) for i, t in enumerate(tables)]
     counts = reduce(DataFrame.unionAll, every).groupBy("__table", "__bucket").agg(F.count(F.lit(1)).alias("__rows"))
     # At most BUCKETS numbers come to the driver and go to a task.
     full = [(r[0],) for r in counts.where(F.col("__rows") > rows).select("__bucket").distinct().collect()]
     if not full:
         return None
     full = F.broadcast(counts.sparkSession.createDataFrame(full, "__full int"))
+    return [t.join(full, _bucket(columns) == F.col("__full"), "left_semi") for t in tables]
+
+
+def heavy_keys(
+    tables: Mapping[str, DataFrame], keys: Sequence[str], rows: int, revision: str | None = None, front: Sequence[str] = ()
+) -> HeavyKeys | None:
+    """Keys with more than ``rows`` rows in one of the tables, or ``None``.  NULL parts of a key count as equal.
+
+    ``front``, columns of the key that differ in most keys, are counted alone first: where none of their buckets is above the
+    bound, the other columns are not read.
+    """
+    keys, names, close = list(keys), list(tables), list(tables.values())
+    front = [k for k in keys if k in front]
+    for columns in ([front] if front and len(front) < len(keys) else []) + [keys]:
+        close = _in_full_buckets(close, columns, rows)
+        if close is None:
+            return None
     facts = []
-    for i, t in enumerate(tables.values()):
+    for i, t in enumerate(close):
         top = F.col(revision) if revision else F.lit(None).cast("long")
-        near = t.select(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(keys)], top.alias("__top"), bucket)
-        near = near.join(full, F.col("__bucket") == F.col("__full"), "left_semi")
+        near = t.select(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(keys)], top.alias("__top"))
         named = [f"__k{j}" for j in range(len(keys))]
         by_revision = near.groupBy(*named, "__top").agg(F.count(F.lit(1)).alias("__n"))
         per_key = by_revision.groupBy(*named).agg(F.sum("__n").alias("__n"), F.max(F.struct("__top", "__n")).alias("__latest"))

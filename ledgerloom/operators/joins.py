@@ -3,6 +3,9 @@
 Skew.  Rows whose record key has a NULL part can never match, so they skip every join and are added back at the end.  Keys
 with more than ``HOT_ROWS`` rows in any table are found by an exact count (see ``heavy``).  Their rows are ranked in place,
 against the top revision that the count has found, and joined in blocks; all other keys take one window and the plain joins.
+
+Order.  A record key has eight columns, mostly text.  Rows are sorted by a hash of the key before the key itself, so that one
+number decides most comparisons of the window and of the joins.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ from .heavy import HeavyKeys, heavy_keys
 
 # Rows of one key that a single task may hold.
 HOT_ROWS = 2_000_000
+# Hash of the record key, first in sorts and joins.
+HASH = "__hash"
+# Read alone when heavy keys are looked for.
+FRONT = (K.COMPANY,)
 
 
 def split_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -39,20 +46,32 @@ def latest_revision(
     Rows of a key with more than ``hot_rows`` rows stay where they are: the count that finds such a key also knows its
     highest revision.
     """
-    kept = _latest(df, "rows", heavy_keys({"rows": df}, keys, hot_rows, revision), keys, revision)
+    kept = _latest(df, "rows", heavy_keys({"rows": df}, keys, hot_rows, revision, FRONT), keys, revision)
     return kept.withColumn(rank_column, F.lit(1)) if rank_column else kept
 
 
 def _latest(df: DataFrame, name: str, heavy: HeavyKeys | None, keys: Sequence[str], revision: str) -> DataFrame:
-    if heavy is None:
-        return H.ranked_window(df, selective_first(keys), revision)
-    light = H.ranked_window(heavy.light(df), selective_first(keys), revision)
-    return light.unionByName(heavy.latest(df, name, revision))
+    light = hashed(df if heavy is None else heavy.light(df), keys)
+    light = H.ranked_window(light, selective_first([HASH, *keys]), revision).drop(HASH)
+    return light if heavy is None else light.unionByName(heavy.latest(df, name, revision))
+
+
+def hashed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``HASH``, a hash of its key."""
+    return df.withColumn(HASH, F.xxhash64(*keys))
+
+
+def _hashed_alike(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables with ``HASH`` and it in front of the keys; as they were where equal keys of other types would hash to others."""
+    types = {tuple(df.schema[k].dataType for k in keys) for df in tables.values()}
+    if len(types) > 1:
+        return dict(tables), list(keys)
+    return {name: hashed(df, keys) for name, df in tables.items()}, [HASH, *keys]
 
 
 def selective_first(keys: Sequence[str]) -> list[str]:
     """The same keys, company ids in front: a sort then mostly decides on its first column."""
-    return H.selective_first(keys, (K.SERIES_ID, K.COMPANY))
+    return H.selective_first(keys, (HASH, K.SERIES_ID, K.COMPANY))
 
 
 def join_no_dup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -78,7 +97,7 @@ def join_statements(
     base, *others = [name for name in order if name in tables]
     names = [base, *others]
     ranked = [name for name in names if rank in ("all", name)]
-    heavy = heavy_keys({name: tables[name] for name in names}, keys, hot_rows, revision if ranked else None)
+    heavy = heavy_keys({name: tables[name] for name in names}, keys, hot_rows, revision if ranked else None, FRONT)
     complete, incomplete = {}, None
     for name in names:
         complete[name], rest = split_null_keys(tables[name], keys)
@@ -87,15 +106,14 @@ def join_statements(
     hows = {name: "inner" if rank == name else "left" for name in others}
 
     def chain(rows: Mapping[str, DataFrame]) -> DataFrame:
-        return reduce(lambda out, name: join_no_dup(out, rows[name], keys, hows[name]), others, rows[base])
-
-    def top(df: DataFrame, name: str) -> DataFrame:
-        return H.ranked_window(df, selective_first(keys), revision) if name in ranked else df
+        rows, on = _hashed_alike(rows, keys)
+        tops = {name: H.ranked_window(df, selective_first(on), revision) if name in ranked else df for name, df in rows.items()}
+        return reduce(lambda out, name: join_no_dup(out, tops[name], on, hows[name]), others, tops[base]).drop(HASH)
 
     if heavy is None:
-        out = chain({name: top(df, name) for name, df in complete.items()})
+        out = chain(complete)
     else:
-        light = chain({name: top(heavy.light(df), name) for name, df in complete.items()})
+        light = chain({name: heavy.light(df) for name, df in complete.items()})
         hot = {name: heavy.latest(df, name, revision) if name in ranked else df for name, df in complete.items()}
         combine = {name: join_no_dup for name in others}
         out = light.unionByName(_heavy_chain(heavy, hot, names, ranked, keys, hows, combine))
@@ -143,11 +161,12 @@ def join_and_select(
     base, *others = [name for name in order if name in tables]
     complete, incomplete = split_null_keys(tables[base], keys)
     rights = {name: split_null_keys(tables[name], keys)[0] for name in others}
-    heavy = heavy_keys({base: complete, **rights}, keys, hot_rows)
+    heavy = heavy_keys({base: complete, **rights}, keys, hot_rows, front=FRONT)
     light = {base: complete, **rights}
     if heavy is not None:
         light = {name: heavy.light(df) for name, df in light.items()}
-    joined = left_join_chain(light, keys, order)
+    light, on = _hashed_alike(light, keys)
+    joined = left_join_chain(light, on, order)
     parts = [joined]
     if heavy is not None:
         # Bound now: the name of the right table goes with each join.

@@ -187,3 +187,36 @@ def test_chain_splits_hot_key_on_the_left(spark, conf):
     got = out.collect()[0].asDict()
     assert got["count(b)"] == got["count(c)"] == n
     assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_count_for_heavy_keys_reads_the_company_alone_first(spark):
+    df = keyed(spark, DATA, "v").withColumn(K.FISCAL_PERIOD, F.raise_error(F.lit("read")).cast("string"))
+    joins.latest_revision(df)
+    joins.join_statements({"is": df, "cr": df.withColumnRenamed("v", "w")})
+    with pytest.raises(PySparkException, match="read"):
+        joins.latest_revision(df, hot_rows=2)
+
+
+def test_heavy_company_without_a_heavy_key(spark):
+    df = spark.range(100).selectExpr("'c' as c", "id % 20 as k", "id as r")
+    assert heavy.heavy_keys({"t": df}, ["c", "k"], 20, "r", ["c"]) is None
+    df = df.unionByName(spark.range(30).selectExpr("'c' as c", "7L as k", "id as r"))
+    found = heavy.heavy_keys({"t": df}, ["c", "k"], 20, "r", ["c"])
+    assert [tuple(r) for r in found.frame.collect()] == [("c", 7, 35, 87, 1)]
+
+
+def test_hash_of_the_key_leads_every_sort(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    tables = {"is": keyed(spark, DATA, "a"), "cr": keyed(spark, DATA, "b")}
+    for out in (joins.join_statements(tables), joins.latest_revision(tables["is"]), joins.join_and_select(tables, None, ["is.REVISION_ID", "b"])):
+        assert joins.HASH not in out.columns
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        ranks = [line for line in plan.splitlines() if "Window" in line or "SortMergeJoin" in line]
+        assert ranks and all("[" + joins.HASH in line for line in ranks)
+
+
+def test_equal_keys_of_different_types_still_match(spark):
+    left = spark.createDataFrame([(1, 2, "l")], "k int, REVISION_ID int, a string")
+    right = spark.createDataFrame([(1, 2, "r")], "k long, REVISION_ID int, b string")
+    out = joins.join_statements({"is": left, "cr": right}, keys=["k"])
+    assert rows(out) == [(1, 2, "l", "r")]
