@@ -71,16 +71,17 @@ def staging_tables(
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, line): the first line of each CSV file.  One file costs its first line, many cost a scan of their text."""
+    """(file, line): the first line of each CSV file, found by two scans of the text that hold one number a file."""
     lines = spark.read.text([path] if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
         F.regexp_replace("value", "^\uFEFF", "").alias("value"),
     )
-    # Within a block lines are numbered in order.
-    first = lines.where("block = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("first"))
-    return first.select("file", F.col("first.value").alias("line"))
+    # Within a block lines are numbered in order.  A minimum of numbers is merged by hashing; one that carries the line would sort
+    # all lines.  Both scans are of one file list, so their splits and numbers are the same.
+    first = stored(lines.where("block = 0").groupBy("file").agg(F.min("at").alias("at")), "first-lines")
+    return lines.join(broadcast_within(first), ["file", "at"], "left_semi").select("file", F.col("value").alias("line"))
 
 
 def read_csv(

@@ -38,6 +38,22 @@ def test_csv_headers_in_any_order(spark, tmp_path):
     assert rows(same) == [("6", "b6", None)] * 2
 
 
+def test_headers_are_found_without_sorting_lines(spark, tmp_path, monkeypatch):
+    plans, write = [], tables.stored
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(tables, "stored", stored)
+    for name, text in {"a.csv": "\ufeffB,A\n1,2\nB,A\n", "b.csv": "A\n" + "0\n" * 5000, "c.csv": "", "d.csv": "\nA\n"}.items():
+        (tmp_path / name).write_text(text)
+    headers = tables.csv_headers(spark, str(tmp_path))
+    plans.append(headers._jdf.queryExecution().sparkPlan().toString())
+    assert sorted((r.file[-5:], r.line) for r in headers.collect()) == [("a.csv", "B,A"), ("b.csv", "A"), ("d.csv", "")]
+    assert not any("Sort" in plan for plan in plans)
+
+
 def test_company_info_and_codes(spark, tmp_path):
     info = tmp_path / "info.csv"
     info.write_text("ID_BB_UNIQUE," + ",".join(K.INDUSTRY_COLUMNS) + "\nu,1,2.0,3,4,5,\n")
