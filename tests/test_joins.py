@@ -193,7 +193,6 @@ def test_count_for_heavy_keys_reads_the_company_alone_first(spark):
     df = keyed(spark, DATA, "v").withColumn(K.FISCAL_PERIOD, F.raise_error(F.lit("read")).cast("string"))
     joins.latest_revision(df)
     joins.join_statements({"is": df, "cr": df.withColumnRenamed("v", "w")})
-    joins.join_and_select({"is": df, "cr": df.withColumnRenamed("v", "w")}, None, ["is.REVISION_ID", "w"])
     with pytest.raises(PySparkException, match="read"):
         joins.latest_revision(df, hot_rows=2)
 
@@ -221,3 +220,15 @@ def test_equal_keys_of_different_types_still_match(spark):
     right = spark.createDataFrame([(1, 2, "r")], "k long, REVISION_ID int, b string")
     out = joins.join_statements({"is": left, "cr": right}, keys=["k"])
     assert rows(out) == [(1, 2, "l", "r")]
+
+
+def test_selected_columns_count_the_company_first(spark, monkeypatch):
+    fronts, find = [], joins.heavy_keys
+
+    def recorded(*args, front=(), **named):
+        fronts.append(tuple(front))
+        return find(*args, front=front, **named)
+
+    monkeypatch.setattr(joins, "heavy_keys", recorded)
+    joins.join_and_select({"is": keyed(spark, DATA, "v"), "cr": keyed(spark, DATA, "w")}, None, ["is.REVISION_ID", "w"])
+    assert fronts == [(K.COMPANY,)]
