@@ -65,8 +65,7 @@ UNIQUE_ORDER = ["is", "cr", "cf", "bs", "sard_bs", "sard_is", "sard_cf", "cr2"]
     ),
 )
 def statement_left_join(spark, folder):
-    tables = {n: D.unique_statements(spark, folder, n) for n in UNIQUE_ORDER}
-    return plain(joins.left_join_chain(tables))
+    return plain(joins.left_join_chain(D.unique_statements(spark, folder, UNIQUE_ORDER)))
 
 
 JOIN_NO_DUP_ORDER = D.STATEMENT_NAMES

@@ -6,8 +6,12 @@ conflicting variants, and nation and region are industry levels.  Every view rea
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import stored
+
 STATEMENT_NAMES = ["is", "cr", "cr2", "cf", "bs", "sard_bs", "sard_is", "sard_cf"]
 
 
@@ -53,11 +57,9 @@ def filings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of eight statement tables: the filings that report the item, under its own measure."""
-    rows = filings(spark, folder)
-    keys = rows.columns[:8]
-    kept = {
+def _reports(name: str) -> Column:
+    """Whether a filing reports the item of a statement table."""
+    return {
         "is": F.lit(True),
         "cr": F.col("SALES_REV_TURN") > 20000,
         "cr2": F.col("SALES_REV_TURN") > 10000,
@@ -67,15 +69,31 @@ def statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
         "sard_is": F.col("ARD_CAPITAL_EXPENDITURES").isNotNull(),
         "sard_cf": F.col("SALES_REV_TURN") < 60000,
     }[name]
-    return rows.where(kept).select(
+
+
+def statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of eight statement tables: the filings that report the item, under its own measure."""
+    rows = filings(spark, folder)
+    keys = rows.columns[:8]
+    return rows.where(_reports(name)).select(
         *keys, "REVISION_ID", F.col("FUNDAMENTAL_UPDATE_DT").alias("UPDATED"), F.col("SALES_REV_TURN").alias(f"V_{name}")
     )
 
 
-def unique_statements(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A statement table with one row per record key."""
-    rows = statements(spark, folder, name)
-    return rows.groupBy(*rows.columns[:8]).agg(F.sum(F.round(F.col(f"V_{name}") * 100).cast("long")).alias(f"V_{name}"))
+def unique_statements(spark: SparkSession, folder: str, names: Sequence[str]) -> dict[str, DataFrame]:
+    """Statement tables with one row per record key.
+
+    One aggregate over the filings has the sums of all of them and is written, so that the joins of the tables read plain rows:
+    their shuffles are then the inputs of the joins, whose sizes decide between hashing and sorting.
+    """
+    rows = filings(spark, folder)
+    keys = rows.columns[:8]
+    cents = F.round(F.col("SALES_REV_TURN") * 100).cast("long")
+    sums = [F.sum(F.when(_reports(n), cents)).alias(f"V_{n}") for n in names]
+    # A key whose filings all lack the measure is in the table, with NULL.
+    there = [F.coalesce(F.bool_or(_reports(n)), F.lit(False)).alias(f"__has_{n}") for n in names]
+    every = stored(rows.groupBy(*keys).agg(*sums, *there), "unique")
+    return {n: every.where(f"__has_{n}").select(*keys, f"V_{n}") for n in names}
 
 
 FILINGS_SQL = """filings AS (
