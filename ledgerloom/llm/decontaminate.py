@@ -101,18 +101,28 @@ def _weights(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n: int, idf
     return (value / np.maximum(norm[row], 1e-12)).astype(np.float32)
 
 
-def _times(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of A that are not empty, times ``x``; rows come in order."""
+def _times(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, x: np.ndarray, cells: int = 1 << 11) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of A that are not empty, times ``x``; rows come in order. Whole rows of about ``cells`` cells are added up at a time."""
     first = np.flatnonzero(np.concatenate(([True], np.diff(row) != 0)))
-    return np.add.reduceat(value[:, None] * x[bucket], first, axis=0), np.cumsum(np.concatenate(([0], np.diff(row) != 0)))
-
-
-def _summed(table: DataFrame, each, parts: int, width: int) -> np.ndarray:
+    at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+    out = np.empty((len(first), x.shape[1]), x.dtype)
+    begin = 0
+    while begin < len(first):
+        stop = max(begin + 1, int(np.searchsorted(first, first[begin] + cells)))
+        part = slice(first[begin], first[stop] if stop < len(first) else len(row))
+        made = x.take(bucket[part], axis=0)
+        made *= value[part, None]
+        np.add.reduceat(made, first[begin:stop] - first[begin], axis=0, out=out[begin:stop])
+        begin = stop
+    return out, at
+
+
+def _summed(table: DataFrame, each, parts: int, width: int, words: int = 1 << 14) -> np.ndarray:
     """Sum over all tasks of a matrix of fixed size, added up in ``parts`` blocks of rows; each task sends it once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for _, terms, first in _portions(batches):
+        for _, terms, first in _portions(batches, words):
             if len(terms):
                 total = each(terms, first, total)
         if total is not None:
@@ -162,13 +172,15 @@ def fit(table: DataFrame, latent: Latent = Latent()) -> Model | None:
         row, bucket, count, n = _rows(terms, first, latent)
         value = _weights(row, bucket, count, n, idf)
         y, at = _times(row, bucket, value, start)
-        order = np.argsort(bucket, kind="stable")
+        # By bucket: rows of the transposed matrix.
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
         total = np.zeros((buckets, width), np.float32) if total is None else total
-        here = np.flatnonzero(np.concatenate(([True], np.diff(bucket[order]) != 0)))
-        total[bucket[order][here]] += np.add.reduceat(value[order][:, None] * y[at[order]], here, axis=0)
+        sorted_ = bucket[order]
+        here = sorted_[np.concatenate(([True], np.diff(sorted_) != 0))]
+        total[here] += _times(sorted_, at[order], value[order], y)[0]
         return total
 
-    basis = np.linalg.qr(_summed(table, product, 64, width))[0].astype(np.float32)
+    basis = np.linalg.qr(_summed(table, product, 64, width, 1 << 17))[0].astype(np.float32)
 
     def gram(terms, first, total):
         row, bucket, count, n = _rows(terms, first, latent)
@@ -220,6 +232,24 @@ def _pairs(terms: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, n
         yield (wide[at] << np.uint64(32)) | wide[at + apart], at
 
 
+def _sums(vectors: np.ndarray, at: np.ndarray, run: int = 16) -> np.ndarray:
+    """Sums of the first 0, 1, 2, ... of ``vectors[at]``: inside short runs, of whole runs, and both together."""
+    many = -(-len(at) // run)
+    out = np.zeros((1 + many * run, vectors.shape[1]), np.float32)
+    out[1 : len(at) + 1] = vectors.take(at, axis=0)
+    runs = out[1:].reshape(many, run, vectors.shape[1])
+    for k in range(1, run):
+        runs[:, k] += runs[:, k - 1]
+    runs[1:] += np.cumsum(runs[:-1, -1], axis=0)[:, None]
+    return out[: len(at) + 1]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Different values in order, by sorting alone."""
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 class _Runs:
     """Windows that share two words with an item in the item's order, at most one word apart in each, however common these words are.
 
@@ -236,15 +266,17 @@ class _Runs:
         at = at[order]
         self.pairs, self.item, self.offset = made[order], of[at], at - first[of[at]]
         # Each word of each item once.
-        cell = np.unique((terms.view(np.uint32).astype(np.uint64) << np.uint64(20)) | of.astype(np.uint64))
-        self.words, self.holder = cell >> np.uint64(20), (cell & np.uint64((1 << 20) - 1)).astype(np.int64)
+        self.cells, self.times = np.unique((terms.view(np.uint32).astype(np.uint64) << np.uint64(20)) | of.astype(np.uint64), return_counts=True)
+        self.words, self.holder = self.cells >> np.uint64(20), (self.cells & np.uint64((1 << 20) - 1)).astype(np.int64)
+        self.pair_table, self.word_table = self._table(self.pairs), self._table(self.words)
         self.sizes, self.least = sizes, np.ceil(least * np.diff(first)).astype(np.int64)
 
     def near(self, terms: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Items and begins of windows that hold a pair, in order."""
         item, begin = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for made, at in _pairs(terms, first):
-            low, many = self._found(self.pairs, made)
+            known, low, many = self._found(self.pairs, self.pair_table, made)
+            at = at[known]
             hit = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
             item.append(self.item[hit])
             begin.append(np.repeat(at, many) - self.offset[hit])
@@ -253,30 +285,61 @@ class _Runs:
             step, head = np.maximum(1, self.sizes[item[-1]] // 4), first[text]
             last = np.maximum(first[text + 1] - head - self.sizes[item[-1]], 0)
             begin[-1] = head + np.clip((begin[-1] - head + step // 2) // step * step, 0, last)
-        cell = np.unique(np.concatenate(item) * (len(terms) + 1) + np.concatenate(begin))
-        return cell // (len(terms) + 1), cell % (len(terms) + 1)
-
-    def enough(self, terms: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, group: int = 256) -> np.ndarray:
-        """Which of some regions have as many places with words of the item as a leak has; items come in order."""
-        out = np.zeros(len(item), bool)
-        wide = terms.view(np.uint32).astype(np.uint64)
-        start, many = self._found(self.words, wide)
-        held = np.flatnonzero(many)
-        at = np.repeat(held, many[held])
-        holder = self.holder[np.repeat((start - np.cumsum(many) + many)[held], many[held]) + np.arange(len(at))]
+        shift = len(terms).bit_length()
+        cell = _distinct((np.concatenate(item) << shift) + np.concatenate(begin))
+        return cell >> shift, cell & ((1 << shift) - 1)
+
+    def enough(self, terms: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, group: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some regions share as many words with the item as a leak does, each word as often as in the item at most, and how
+        many they share; items come in order."""
+        out, shared = np.zeros(len(item), bool), np.zeros(len(item), np.int64)
+        wide, shift = terms.view(np.uint32).astype(np.uint64), len(terms).bit_length()
+        held, start, many = self._found(self.words, self.word_table, wide)
+        # Where the holders of each word begin; they are one number for the word.
+        word = np.zeros(len(terms), np.int64)
+        word[held] = start
+        holder = self.holder[np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        every = (holder << shift) + np.repeat(held, many)
+        wide_word = len(self.words).bit_length()
         for k in range(0, int(item.max(initial=-1)) + 1, group):
             part = slice(*np.searchsorted(item, (k, k + group)))
             if part.start < part.stop:
-                mine = (holder >= k) & (holder < k + group)
-                place = np.sort(holder[mine] * (len(terms) + 1) + at[mine])
-                base = item[part] * (len(terms) + 1)
-                out[part] = place.searchsorted(base + high[part]) - place.searchsorted(base + low[part]) >= self.least[item[part]]
-        return out
+                place = np.sort(every if k == 0 and len(self.least) <= group else every[(holder >= k) & (holder < k + group)])
+                base = item[part] << shift
+                first = place.searchsorted(base + low[part])
+                size = place.searchsorted(base + high[part]) - first
+                use = np.flatnonzero(size >= self.least[item[part]])
+                first, size, use = first[use], size[use], use + part.start
+                # The words of these regions, and how often each is there.
+                at = place[np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())] & ((1 << shift) - 1)
+                pair = np.sort((np.repeat(np.arange(len(use)), size) << wide_word) | word[at])
+                new = np.flatnonzero(np.diff(pair, prepend=-1))
+                pair, n = pair[new], np.diff(np.append(new, len(pair)))
+                region, more = pair >> wide_word, np.flatnonzero(n > 1)
+                asked = (self.words[pair[more] & ((1 << wide_word) - 1)] << np.uint64(20)) | item[use[region[more]]].astype(np.uint64)
+                n[more] = np.minimum(n[more], self.times[self.cells.searchsorted(asked)])
+                total = np.bincount(region, n, minlength=len(use)).astype(np.int64)
+                good = total >= self.least[item[use]]
+                out[use[good]], shared[use[good]] = True, total[good]
+        return out, shared
 
     @staticmethod
-    def _found(known: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low = known.searchsorted(asked, "left")
-        return low, known.searchsorted(asked, "right") - low
+    def _cells(asked: np.ndarray) -> np.ndarray:
+        return (asked * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def _table(self, known: np.ndarray) -> np.ndarray:
+        """Which cells of a table of fixed size hold a known number."""
+        out = np.zeros(1 << 20, bool)
+        out[self._cells(known)] = True
+        return out
+
+    def _found(self, known: np.ndarray, table: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in ``asked`` of known numbers, and where these begin in ``known`` and how many they are."""
+        at = np.flatnonzero(table[self._cells(asked)])
+        low = known.searchsorted(asked[at], "left")
+        hit = known[np.minimum(low, len(known) - 1)] == asked[at]
+        at, low = at[hit], low[hit]
+        return at, low, known.searchsorted(asked[at], "right") - low
 
 
 def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) -> DataFrame:
@@ -288,38 +351,34 @@ def _search(table: DataFrame, model: Model, items: list[tuple], rules: Rules) ->
     for size, members in scales.items():
         sizes[members] = size
     unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    bags = [np.unique(t, return_counts=True) for _, t, _ in items]
     wanted = unit(np.stack([model.vectors[_bucket(t, model.latent)].sum(axis=0) for _, t, _ in items]))
     runs = _Runs(items, sizes, rules.common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, terms, first in _portions(batches):
-            sums = np.zeros((len(terms) + 1, model.vectors.shape[1]), np.float32)
-            np.cumsum(model.vectors[_bucket(terms, model.latent)], axis=0, out=sums[1:])
+            sums = _sums(model.vectors, _bucket(terms, model.latent))
             best: dict[tuple[int, int], tuple[int, int, int]] = {}
             some = [runs.near(terms, first)]
             for size, members in scales.items():
                 begin, end = _starts(first, size, max(1, size // 4))
                 for part in range(0, len(begin), 1 << 12):
                     b, e = begin[part : part + (1 << 12)], end[part : part + (1 << 12)]
-                    made = sums[e] - sums[b]
+                    made = sums.take(e, axis=0)
+                    made -= sums.take(b, axis=0)
                     length = np.sqrt(np.einsum("nd,nd->n", made, made)) + 1e-12
-                    w, m = np.nonzero(made @ wanted[members].T >= rules.cosine * length[:, None])
+                    w, m = divmod(np.flatnonzero(made @ wanted[members].T >= rules.cosine * length[:, None]), len(members))
                     some.append((np.array(members)[m], b[w]))
-            cell = np.unique(np.concatenate([i * (len(terms) + 1) + b for i, b in some]))
-            which, b = cell // (len(terms) + 1), cell % (len(terms) + 1)
+            shift = len(terms).bit_length()
+            cell = _distinct(np.concatenate([(i << shift) + b for i, b in some]))
+            which, b = cell >> shift, cell & ((1 << shift) - 1)
             of = np.searchsorted(first, b, "right") - 1
             size = sizes[which]
             low, high = np.maximum(first[of], b - size // 2), np.minimum(first[of + 1], np.minimum(b + size, first[of + 1]) + size // 2)
-            use = runs.enough(terms, which, low, high)
-            which, of, low, high = which[use], of[use], low[use], high[use]
             # No subsequence is longer than the words in common, each as often as in the item.
-            for t, item, x, y in zip(of.tolist(), which.tolist(), low.tolist(), high.tolist()):
+            use, shared = runs.enough(terms, which, low, high)
+            for t, item, x, y, most in zip(*(v[use].tolist() for v in (of, which, low, high, shared))):
                 _, mine, answer = items[item]
-                words, times = bags[item]
-                here = np.sort(terms[x:y])
-                shared = int(np.minimum(here.searchsorted(words, "right") - here.searchsorted(words, "left"), times).sum())
-                if shared < rules.common * len(mine) or best.get((t, item), (0, 0, -1))[2] >= min(len(mine), shared):
+                if best.get((t, item), (0, 0, -1))[2] >= most:
                     continue
                 common = common_subsequence(mine, terms[x:y])
                 if common < rules.common * len(mine) or common_subsequence(mine[-answer:], terms[x:y]) < rules.answer * min(answer, len(mine)):

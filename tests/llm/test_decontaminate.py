@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -125,3 +126,39 @@ def test_very_long_texts_and_columns_of_any_name(spark):
     found = got.collect()
     assert {(r.doc_id, r.item_id) for r in found} == {(5000, items[3][0])}
     assert all(len(body) - 60 <= r.start <= len(body) + 60 for r in found)
+
+
+def test_shared_words_of_regions_are_exact():
+    """Words in common, each as often as in the item, in one call for all regions, against counting; more items than a group."""
+    rng = np.random.default_rng(3)
+    pool = rng.integers(-(2**31), 2**31, 12).astype(np.int32)
+    items = [(k, rng.choice(pool, rng.integers(5, 12)), 4) for k in range(20)]
+    runs = decontaminate._Runs(items, np.full(20, 8), 0.6)
+    terms = rng.choice(np.append(pool, rng.integers(-(2**31), 2**31, 12).astype(np.int32)), 300)
+    item = np.sort(rng.integers(0, 20, 500))
+    low = rng.integers(0, 300, 500)
+    high = np.minimum(low + rng.integers(0, 20, 500), 300)
+    brute = []
+    for i, x, y in zip(item, low, high):
+        brute.append((Counter(terms[x:y].tolist()) & Counter(items[i][1].tolist())).total())
+    brute = np.array(brute)
+    for group in (4, 256):
+        use, shared = runs.enough(terms, item, low, high, group)
+        assert (use == (brute >= runs.least[item])).all() and use.any() and not use.all()
+        assert (shared[use] == brute[use]).all()
+
+
+def test_sums_and_products_in_pieces():
+    rng = np.random.default_rng(4)
+    vectors = rng.standard_normal((50, 6)).astype(np.float32)
+    for n in (0, 1, 16, 100):
+        at = rng.integers(0, 50, n)
+        whole = np.concatenate((np.zeros((1, 6)), np.cumsum(vectors[at], axis=0)))
+        assert np.allclose(decontaminate._sums(vectors, at), whole, atol=1e-4)
+    row = np.sort(rng.integers(0, 30, 400))
+    bucket, value = rng.integers(0, 50, 400), rng.random(400).astype(np.float32)
+    dense = np.zeros((30, 50), np.float32)
+    np.add.at(dense, (row, bucket), value)
+    for cells in (1, 64, 4096):
+        out, at = decontaminate._times(row, bucket, value, vectors, cells)
+        assert np.allclose(out, (dense @ vectors)[np.unique(row)], atol=1e-4) and (np.unique(row)[at] == row).all()
