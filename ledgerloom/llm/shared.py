@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,23 @@ def written(df: DataFrame, name: str, codec: str = "zstd", dictionary: int = 1 <
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def bucketed(df: DataFrame, key: str, name: str, codec: str = "zstd") -> Iterator[DataFrame]:
+    """Write ``df`` once in buckets by ``key``, as many as a shuffle has tasks: joins by ``key`` leave its rows where they are.
+
+    The catalog knows the table inside the block only; the files stay.
+    """
+    spark = df.sparkSession
+    path = folder(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.option("compression", codec).option("path", path).bucketBy(n, key).format("parquet").saveAsTable(table)
+    try:
+        yield spark.table(table)
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+
+
 #: Bytes that a hinted broadcast may have, by rows times the width of a row.
 BROADCAST_BYTES = 16 << 20
 

@@ -12,6 +12,9 @@ windows. Only where a bucket holds different blocks, the earliest of each kind i
 bytes in common, and these into smaller ones down to single windows. A place is a byte of all texts put one after the other,
 so earlier is smaller.
 
+The texts that take part are written once in buckets by their SHA-256. Blocks and sections are a few numbers each; what needs bytes
+again is sent to the texts, which stay where they are.
+
 Copies of a text take part once. Minima and counts are merged before a shuffle, so a passage in a third of all documents is a
 row per task. Identifiers are 64-bit hashes from two families, of the bytes that a bucket shares and of all bytes of a block.
 """
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .ranks import placed
-from .shared import narrow_side, written
+from .shared import bucketed, narrow_side, written
 from .words import Words, as_bytes, chunks, lists, mix, signed
 
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
@@ -137,12 +140,14 @@ def _rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     return plain.mapInArrow(run, f"key {kind}, row long, seq binary, n_bytes long, grams array<long>, at array<int>")
 
 
-LEVEL = "start long, place long, n int, high int, low int, core long, shape long, span binary"
+#: A block or section; ``form`` has the number of windows, how far the q-gram is behind the first of them, and ``low``, in 20 bits each.
+LEVEL = "start long, place long, form long, core long, shape long"
+PART = 20
 
 
-def _level(start, place, n, high, low, core, shape, spans) -> pa.RecordBatch:
-    columns = [pa.array(start, pa.int64()), pa.array(place, pa.int64()), *[pa.array(x.astype(np.int32)) for x in (n, high, low)], pa.array(signed(core)), pa.array(signed(shape)), pa.array(spans, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["start", "place", "n", "high", "low", "core", "shape", "span"])
+def _level(start, place, n, high, low, core, shape) -> pa.RecordBatch:
+    form = (n.astype(np.int64) << 2 * PART) | (high.astype(np.int64) << PART) | low.astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (start, place, form, signed(core), signed(shape))], ["start", "place", "form", "core", "shape"])
 
 
 def _shape(data: Bytes, begin: np.ndarray, n: np.ndarray, high: np.ndarray, width: int) -> np.ndarray:
@@ -153,7 +158,7 @@ def _shape(data: Bytes, begin: np.ndarray, n: np.ndarray, high: np.ndarray, widt
 def _blocks(texts: DataFrame, width: int) -> DataFrame:
     """Blocks of windows that stand by a q-gram which another place has too.
 
-    ``place`` is that of the first window, ``high`` how far behind it the q-gram starts, ``span`` all bytes of the windows.
+    ``place`` is that of the first window.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,45 +177,46 @@ def _blocks(texts: DataFrame, width: int) -> DataFrame:
                 new = np.flatnonzero(np.concatenate(([True], (np.diff(at) != 1) | (np.diff(chosen) != 0))))
                 begin, n = at[new], np.diff(np.concatenate((new, [len(at)])))
                 high, of = chosen[new] - begin, data.of(begin)
-                whole = data.buffer.tobytes()
-                spans = [whole[a:b] for a, b in zip(begin.tolist(), (begin + n + width - 1).tolist())]
                 start = starts[part][of]
-                yield _level(start, start + begin - data.first[of], n, high, np.zeros(len(n)), grams[begin + high], _shape(data, begin, n, high, width), spans)
+                yield _level(start, start + begin - data.first[of], n, high, np.zeros(len(n)), grams[begin + high], _shape(data, begin, n, high, width))
 
     return texts.select("start", "text", "at").mapInArrow(run, LEVEL)
 
 
-def _sections(models: DataFrame, width: int, size: int, smaller: int) -> DataFrame:
-    """Sections of ``smaller`` windows of those of ``size``, in refined buckets.
+def _sections(texts: DataFrame, width: int, size: int, smaller: int) -> DataFrame:
+    """Sections of ``smaller`` windows of the ``models`` (place, form, core) of each text, which are of ``size``, in refined buckets.
 
     A section holds the windows whose q-gram starts ``low`` to ``low + size - 1`` bytes behind them, as far as they are there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans = as_bytes(batch.column(7))
-            start, place, n, high, low = (batch.column(i).to_numpy().astype(np.int64) for i in range(5))
-            core = batch.column(5).to_numpy().view(np.uint64)
-            data = Bytes(spans)
-            base, whole = data.first[:-1], data.buffer.tobytes()
-            for k in range(0, size, smaller):
-                down = low + k
-                up = np.minimum(down, low + size - 1) + min(smaller, size - k) - 1
-                top, bottom = np.minimum(high, up), np.maximum(high - n + 1, down)
-                rows = np.flatnonzero(top >= bottom)
-                if not len(rows):
-                    continue
-                top, bottom, up_, down_ = top[rows], bottom[rows], up[rows], down[rows]
-                gram = base[rows] + high[rows]
-                # Bytes that all windows of the section share and those of the wider one did not: at offsets before and behind.
-                left = data.hashes(gram - down_, gram - low[rows], 0)
-                right = data.hashes(gram - low[rows] - (size - 1) + width, gram - up_ + width, 0)
-                refined = mix(mix(mix(core[rows] + down_.astype(np.uint64)) * PAIR + left) * PAIR + right)
-                begin, m = gram - top, top - bottom + 1
-                cut = [whole[a:b] for a, b in zip(begin.tolist(), (begin + m + width - 1).tolist())]
-                yield _level(start[rows], place[rows] + high[rows] - top, m, top, down_, refined, _shape(data, begin, m, top, width), cut)
-
-    return models.select("start", "place", "n", "high", "low", "core", "shape", "span").mapInArrow(run, LEVEL)
+            starts, texts, column = batch.column(0).to_numpy(), as_bytes(batch.column(1)), batch.column(2)
+            first = column.offsets.to_numpy().astype(np.int64) - column.offsets[0].as_py()
+            every = [x.to_numpy(zero_copy_only=False) for x in column.flatten().flatten()]
+            for part in chunks(texts):
+                data = Bytes(texts[part])
+                place, form, core = (x[first[part.start] : first[part.stop]] for x in every)
+                of = np.repeat(np.arange(part.stop - part.start), np.diff(first[part.start : part.stop + 1]))
+                start, core = starts[part][of], core.view(np.uint64)
+                n, high, low = form >> 2 * PART, (form >> PART) & ((1 << PART) - 1), form & ((1 << PART) - 1)
+                at = data.first[of] + place - start + high
+                for k in range(0, size, smaller):
+                    down = low + k
+                    up = np.minimum(down, low + size - 1) + min(smaller, size - k) - 1
+                    top, bottom = np.minimum(high, up), np.maximum(high - n + 1, down)
+                    rows = np.flatnonzero(top >= bottom)
+                    if not len(rows):
+                        continue
+                    top, bottom, up_, down_, gram = top[rows], bottom[rows], up[rows], down[rows], at[rows]
+                    # Bytes that all windows of the section share and those of the wider one did not: at offsets before and behind.
+                    left = data.hashes(gram - down_, gram - low[rows], 0)
+                    right = data.hashes(gram - low[rows] - (size - 1) + width, gram - up_ + width, 0)
+                    refined = mix(mix(mix(core[rows] + down_.astype(np.uint64)) * PAIR + left) * PAIR + right)
+                    begin, m = gram - top, top - bottom + 1
+                    yield _level(start[rows], place[rows] + high[rows] - top, m, top, down_, refined, _shape(data, begin, m, top, width))
+
+    return texts.select("start", "text", "models").mapInArrow(run, LEVEL)
 
 
 SPANS = "array<struct<start:long,length:long>>"
@@ -245,31 +251,36 @@ def _covered(carriers: DataFrame, width: int) -> DataFrame:
     return carriers.select("row", "text", "ranges").mapInArrow(run, f"row long, n_removed long, removed {SPANS}, kept_sha256 string")
 
 
-def _ranges(blocks: DataFrame, width: int) -> DataFrame:
-    """Windows that start earlier too: (start of the text, begin, n)."""
+def _ranges(blocks: DataFrame, texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """Windows that start earlier too: (seq, row, ranges). ``texts`` are in buckets by seq, ``wanted`` has the seq of a start."""
     sizes, rows, found = sections(width), blocks, []
+    seq = wanted.select("start", "seq")
     for size, smaller in zip(sizes, [*sizes[1:], None]):
-        kinds = written(rows.groupBy("core", "shape").agg(F.min("place").alias("earliest"), F.count("*").alias("copies")), "kinds")
-        # Written before the join, so that adaptive execution can split a bucket with many kinds.
-        mixed = kinds.groupBy("core").agg(F.min("shape").alias("a"), F.max("shape").alias("b")).where("a <> b").select("core", F.lit(True).alias("mixed"))
-        pointers = kinds.join(narrow_side(written(mixed, "mixed"), 16), "core", "left").where("copies > 1 or mixed")
-        pointers = written(pointers.select("core", "shape", "earliest", "copies", "mixed"), "pointers")
-        twice = narrow_side(pointers.where("copies > 1").select("core", "shape", "earliest"), 32)
-        found.append(rows.select("start", "place", "n", "core", "shape").join(twice, ["core", "shape"]).where("place > earliest"))
+        # Rows of a kind are of one form, and the text of the earliest place is the earliest text.
+        kinds = rows.groupBy("core", "shape").agg(F.min("place").alias("earliest"), F.min("start").alias("start"), F.min("form").alias("form"), F.count("*").alias("copies"))
+        kinds = written(kinds, "kinds")
+        twice = narrow_side(kinds.where("copies > 1").select("core", "shape", "earliest"), 32)
+        found.append(rows.select("start", "place", "form", "core", "shape").join(twice, ["core", "shape"]).where("place > earliest"))
         if smaller is None:
             break
-        # The earliest of each kind, where its bucket has other kinds: these may share some of its windows.
-        models = rows.join(narrow_side(pointers.where("mixed").select(F.col("earliest").alias("place")), 16), "place", "left_semi")
-        rows = written(_sections(models, width, size, smaller), "sections")
-    hits = reduce(DataFrame.unionByName, [f.select("start", (F.col("place") - F.col("start")).cast("int").alias("begin"), "n") for f in found])
-    return hits.groupBy("start").agg(F.collect_list(F.struct("begin", "n")).alias("ranges"))
+        # The earliest of each kind, where its bucket has other kinds: these may share some of its windows. Written before the join,
+        # so that adaptive execution can split a bucket with many kinds.
+        mixed = written(kinds.groupBy("core").agg(F.min("shape").alias("a"), F.max("shape").alias("b")).where("a <> b").select("core"), "mixed")
+        models = kinds.join(narrow_side(mixed, 16), "core", "left_semi")
+        models = models.groupBy("start").agg(F.collect_list(F.struct(F.col("earliest").alias("place"), "form", "core")).alias("models"))
+        models = models.join(seq, "start").select("seq", "models")
+        rows = written(_sections(texts.join(models, "seq"), width, size, smaller), "sections")
+    n = F.shiftright("form", 2 * PART).cast("int").alias("n")
+    hits = reduce(DataFrame.unionByName, [f.select("start", (F.col("place") - F.col("start")).cast("int").alias("begin"), n) for f in found])
+    hits = hits.groupBy("start").agg(F.collect_list(F.struct("begin", "n")).alias("ranges"))
+    return hits.join(wanted.select("start", "row", "seq"), "start").select("seq", "row", "ranges")
 
 
 def _texts(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """``wanted`` (seq and more) with one text of each."""
     whole = docs.select(F.unhex(F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)).alias("seq"), F.col(text).cast("string").alias("text"))
     whole = whole.join(narrow_side(wanted.select("seq"), 48), "seq", "left_semi").groupBy("seq").agg(F.first("text").alias("text"))
-    return whole.join(wanted, "seq")
+    return whole.join(wanted.hint("shuffle_hash"), "seq")
 
 
 def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
@@ -291,9 +302,10 @@ def repeated_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text", wid
     carried = grams.join(live, "gram", "left_semi").groupBy("row").agg(F.collect_list("at").alias("at"))
     starts = placed(heads, ["key", "seq"], F.col("n_bytes")).select("row", "seq", F.col("__before").alias("start"))
     wanted = written(carried.join(starts, "row"), "wanted")
-    blocks = written(_blocks(_texts(docs, text, wanted), width), "blocks")
-    ranges = written(_ranges(blocks, width).join(wanted.select("start", "row", "seq"), "start").select("row", "seq", "ranges"), "ranges")
-    lost = written(_covered(_texts(docs, text, ranges), width), "covered")
+    with bucketed(_texts(docs, text, wanted).select("seq", "start", "text", "at"), "seq", "texts") as texts:
+        blocks = written(_blocks(texts, width), "blocks")
+        ranges = _ranges(blocks, texts.select("seq", "start", "text"), wanted, width)
+        lost = written(_covered(texts.select("seq", "text").join(ranges, "seq"), width), "covered")
     mine = heads.select("row", F.lit(True).alias("head"))
     out = rows.select("key", "row", "seq", "n_bytes").join(mine, "row", "left").join(lost, "row", "left")
     gone = F.col("head").isNull() & (F.col("n_bytes") >= width)

@@ -69,3 +69,20 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, catalog.queries()["op13_bucket_pointer_dedup"](spark, folder).collect()), key=str) == brute(rows, 100)
+
+
+def test_texts_are_dealt_out_once(spark, monkeypatch):
+    """Beyond the bound of broadcasts only numbers are joined: one shuffle of texts, no bytes in blocks and sections."""
+    rng = random.Random(7)
+    base = "".join(chr(97 + rng.randrange(26)) for _ in range(2_000))
+    rows = [(i, base[a : a + rng.randrange(100, 700)] + str(i) * 9 + base[: rng.randrange(90, 300)]) for i, a in enumerate(rng.choices(range(1500), k=60))]
+    tables, dealt = {}, []
+    written, texts = suffixes.written, suffixes._texts
+    monkeypatch.setattr(suffixes, "narrow_side", lambda df, row_bytes: df)
+    monkeypatch.setattr(suffixes, "written", lambda df, name: tables.setdefault(name, df.schema) and written(df, name))
+    monkeypatch.setattr(suffixes, "_texts", lambda *a: dealt.append(a) or texts(*a))
+    before = spark.catalog.listTables()
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), 100) == brute(rows, 100)
+    assert len(dealt) == 1
+    assert {f.dataType.simpleString() for name in ("blocks", "sections") for f in tables[name]} == {"bigint"}
+    assert spark.catalog.listTables() == before
