@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .shared import written
-from .words import Words, as_bytes, chunks, lists
+from .words import Words, as_bytes, chunks, packed, unpacked
 
 #: Punctuation ends words, A-Z are a-z.
 FOLD = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\"()", bytes(range(97, 123)) + b" " * 9)
@@ -62,18 +62,16 @@ def _table(docs: DataFrame, key: str, text: str) -> DataFrame:
             texts = as_bytes(batch.column(1))
             for part in chunks(texts):
                 made, first = terms_of(texts[part])
-                yield pa.RecordBatch.from_arrays([batch.column(0)[part.start : part.stop], lists(made, first, pa.int32())], ["key", "terms"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[part.start : part.stop], packed(made, first)], ["key", "terms"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, terms array<int>")
+    return docs.select(key, F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, terms binary")
 
 
 def _portions(batches: Iterator[pa.RecordBatch], words: int = 1 << 14) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows in portions of about ``words`` words, which a processor's cache holds: the rows, their words, and where each begins."""
     for batch in batches:
-        column = batch.column(batch.num_columns - 1)
-        first = column.offsets.to_numpy().astype(np.int64)
-        flat = column.values.to_numpy()
+        first, flat = unpacked(batch.column(batch.num_columns - 1), np.int32)
         begin = 0
         while begin < batch.num_rows:
             stop = max(begin + 1, int(np.searchsorted(first, first[begin] + words, "right")) - 1)
@@ -102,19 +100,23 @@ def _weights(row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n: int, idf
 
 
 def _times(row: np.ndarray, bucket: np.ndarray, value: np.ndarray, x: np.ndarray, cells: int = 1 << 11) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of A that are not empty, times ``x``; rows come in order. Whole rows of about ``cells`` cells are added up at a time."""
+    """Rows of A that are not empty, times ``x``; rows come in order. Rows of like length, about ``cells`` cells, are multiplied at a time."""
     first = np.flatnonzero(np.concatenate(([True], np.diff(row) != 0)))
-    at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+    size = np.diff(np.append(first, len(row)))
     out = np.empty((len(first), x.shape[1]), x.dtype)
+    order = np.argsort(size, kind="stable")
+    upto = np.concatenate(([0], np.cumsum(size[order])))
     begin = 0
     while begin < len(first):
-        stop = max(begin + 1, int(np.searchsorted(first, first[begin] + cells)))
-        part = slice(first[begin], first[stop] if stop < len(first) else len(row))
-        made = x.take(bucket[part], axis=0)
-        made *= value[part, None]
-        np.add.reduceat(made, first[begin:stop] - first[begin], axis=0, out=out[begin:stop])
+        stop = max(begin + 1, int(np.searchsorted(upto, upto[begin] + cells, "right")) - 1)
+        some = order[begin:stop]
+        # Shorter rows are filled up with zeros.
+        place = np.arange(size[some[-1]])
+        at = np.minimum(first[some][:, None] + place, len(row) - 1)
+        weight = value[at] * (place < size[some][:, None])
+        out[some] = np.matmul(weight[:, None, :], x.take(bucket[at], axis=0))[:, 0]
         begin = stop
-    return out, at
+    return out, np.repeat(np.arange(len(first)), size)
 
 
 def _summed(table: DataFrame, each, parts: int, width: int, words: int = 1 << 14) -> np.ndarray:
@@ -250,6 +252,28 @@ def _distinct(x: np.ndarray) -> np.ndarray:
     return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
 
 
+def _counts(has: np.ndarray, rows: np.ndarray, low: np.ndarray, high: np.ndarray, column: np.ndarray, run: int = 16, most: int = 1 << 15) -> np.ndarray:
+    """How many of ``has[rows[low:high], column]`` are set, for many ranges: by sums inside short runs and of whole runs, in pieces of ``most`` rows."""
+    out, longest = np.zeros(len(low), np.int64), int((high - low).max(initial=0))
+    order = np.argsort(low, kind="stable") if len(rows) > most else np.arange(len(low))
+    starts = low[order] if len(rows) > most else None
+    for begin in range(0, len(rows), most):
+        # Ranges that reach into this piece.
+        part = order if starts is None else order[slice(*np.searchsorted(starts, (begin - longest, begin + most)))]
+        here = rows[begin : begin + most]
+        many = -(-len(here) // run)
+        inside = np.zeros((1 + many * run, has.shape[1]), np.uint8)
+        has.take(here, axis=0, out=inside[1 : len(here) + 1], mode="clip")
+        runs = inside[1:].reshape(many, run, -1)
+        for k in range(1, run):
+            runs[:, k] += runs[:, k - 1]
+        whole = np.zeros((many + 1, has.shape[1]), np.int32)
+        np.cumsum(runs[:, -1], axis=0, out=whole[1:])
+        upto = lambda at: inside[at, column[part]] + whole[np.maximum(at - 1, 0) // run, column[part]]
+        out[part] += upto(np.clip(high[part] - begin, 0, len(here))) - upto(np.clip(low[part] - begin, 0, len(here)))
+    return out
+
+
 class _Runs:
     """Windows that share two words with an item in the item's order, at most one word apart in each, however common these words are.
 
@@ -269,6 +293,7 @@ class _Runs:
         self.cells, self.times = np.unique((terms.view(np.uint32).astype(np.uint64) << np.uint64(20)) | of.astype(np.uint64), return_counts=True)
         self.words, self.holder = self.cells >> np.uint64(20), (self.cells & np.uint64((1 << 20) - 1)).astype(np.int64)
         self.pair_table, self.word_table = self._table(self.pairs), self._table(self.words)
+        self.known: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
         self.sizes, self.least = sizes, np.ceil(least * np.diff(first)).astype(np.int64)
 
     def near(self, terms: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -293,36 +318,50 @@ class _Runs:
         """Which of some regions share as many words with the item as a leak does, each word as often as in the item at most, and how
         many they share; items come in order."""
         out, shared = np.zeros(len(item), bool), np.zeros(len(item), np.int64)
-        wide, shift = terms.view(np.uint32).astype(np.uint64), len(terms).bit_length()
-        held, start, many = self._found(self.words, self.word_table, wide)
-        # Where the holders of each word begin; they are one number for the word.
-        word = np.zeros(len(terms), np.int64)
-        word[held] = start
-        holder = self.holder[np.repeat(start - np.cumsum(many) + many, many) + np.arange(many.sum())]
-        every = (holder << shift) + np.repeat(held, many)
+        held, word, _ = self._found(self.words, self.word_table, terms.view(np.uint32).astype(np.uint64))
+        # Places count among the words that any item has.
+        before = np.zeros(len(terms) + 1, np.int64)
+        before[held + 1] = 1
+        np.cumsum(before, out=before)
+        low, high = before[low], before[high]
         wide_word = len(self.words).bit_length()
         for k in range(0, int(item.max(initial=-1)) + 1, group):
-            part = slice(*np.searchsorted(item, (k, k + group)))
-            if part.start < part.stop:
-                place = np.sort(every if k == 0 and len(self.least) <= group else every[(holder >= k) & (holder < k + group)])
-                base = item[part] << shift
-                first = place.searchsorted(base + low[part])
-                size = place.searchsorted(base + high[part]) - first
-                use = np.flatnonzero(size >= self.least[item[part]])
-                first, size, use = first[use], size[use], use + part.start
-                # The words of these regions, and how often each is there.
-                at = place[np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())] & ((1 << shift) - 1)
-                pair = np.sort((np.repeat(np.arange(len(use)), size) << wide_word) | word[at])
-                new = np.flatnonzero(np.diff(pair, prepend=-1))
-                pair, n = pair[new], np.diff(np.append(new, len(pair)))
-                region, more = pair >> wide_word, np.flatnonzero(n > 1)
-                asked = (self.words[pair[more] & ((1 << wide_word) - 1)] << np.uint64(20)) | item[use[region[more]]].astype(np.uint64)
-                n[more] = np.minimum(n[more], self.times[self.cells.searchsorted(asked)])
-                total = np.bincount(region, n, minlength=len(use)).astype(np.int64)
-                good = total >= self.least[item[use]]
-                out[use[good]], shared[use[good]] = True, total[good]
+            here = np.arange(*np.searchsorted(item, (k, k + group)))
+            here = here[high[here] - low[here] >= self.least[item[here]]]
+            if not len(here):
+                continue
+            rows, has = self._holders(k, group)
+            size = _counts(has, rows[word], low[here], high[here], item[here] - k)
+            use = here[size >= self.least[item[here]]]
+            # The words of these regions that their item has, and how often each is there.
+            size = high[use] - low[use]
+            at = word[np.repeat(low[use] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            region = np.repeat(np.arange(len(use)), size)
+            mine = has[rows[at], item[use[region]] - k] > 0
+            pair = np.sort((region[mine] << wide_word) | at[mine])
+            new = np.flatnonzero(np.diff(pair, prepend=-1))
+            pair, n = pair[new], np.diff(np.append(new, len(pair)))
+            region, more = pair >> wide_word, np.flatnonzero(n > 1)
+            asked = (self.words[pair[more] & ((1 << wide_word) - 1)] << np.uint64(20)) | item[use[region[more]]].astype(np.uint64)
+            n[more] = np.minimum(n[more], self.times[self.cells.searchsorted(asked)])
+            total = np.bincount(region, n, minlength=len(use)).astype(np.int64)
+            good = total >= self.least[item[use]]
+            out[use[good]], shared[use[good]] = True, total[good]
         return out, shared
 
+    def _holders(self, k: int, group: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``group`` items from ``k`` on have which words: a row for each of their words, row 0 for all others, and the row of the
+        word that begins at a place of ``words``."""
+        if (k, group) not in self.known:
+            at = np.flatnonzero((self.holder >= k) & (self.holder < k + group))
+            words, row = np.unique(self.words[at], return_inverse=True)
+            rows = np.zeros(len(self.words), np.int32)
+            rows[self.words.searchsorted(words)] = np.arange(1, len(words) + 1)
+            has = np.zeros((len(words) + 1, min(group, len(self.least) - k)), np.uint8)
+            has[row + 1, self.holder[at] - k] = 1
+            self.known[k, group] = rows, has
+        return self.known[k, group]
+
     @staticmethod
     def _cells(asked: np.ndarray) -> np.ndarray:
         return (asked * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
@@ -409,7 +448,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     blocks, each in a pass over all documents. Repeated documents or items each give their rows; a null key is kept.
     Item numbers are whole numbers. Texts are searched whole, however long; other columns are not looked at, whatever their names.
     """
-    table = written(_table(docs, key, text), "terms")
+    table = written(_table(docs, key, text), "terms", plain=("terms",))
     model = fit(table, latent)
     kind = docs.schema[key].dataType.simpleString()
     out = docs.sparkSession.createDataFrame([], f"`{key}` {kind}, `{item}` long, start long, words long, common double")

@@ -162,3 +162,27 @@ def test_sums_and_products_in_pieces():
     for cells in (1, 64, 4096):
         out, at = decontaminate._times(row, bucket, value, vectors, cells)
         assert np.allclose(out, (dense @ vectors)[np.unique(row)], atol=1e-4) and (np.unique(row)[at] == row).all()
+
+
+def test_counts_of_ranges_in_pieces():
+    rng = np.random.default_rng(6)
+    has = (rng.random((9, 5)) < 0.5).astype(np.uint8)
+    has[0] = 0
+    rows = rng.integers(0, 9, 333)
+    low = rng.integers(0, 333, 400)
+    high, column = np.minimum(low + rng.integers(0, 90, 400), 333), rng.integers(0, 5, 400)
+    want = [has[rows[x:y], c].sum() for x, y, c in zip(low, high, column)]
+    for most in (32, 48, 1 << 15):
+        assert (decontaminate._counts(has, rows, low, high, column, most=most) == want).all()
+
+
+def test_words_are_bytes_and_portions_are_whole(spark):
+    """Spark hands words on and does not take them one by one."""
+    df = spark.createDataFrame([(1, "b a, c"), (None, None), (2, ""), (3, "a b " * 50)], "doc_id long, text string")
+    table = decontaminate._table(df.coalesce(1), "doc_id", "text")
+    assert dict(table.dtypes)["terms"] == "binary"
+    batch = table.toArrow().combine_chunks().to_batches()[0]
+    got = [(rows.column(0).to_pylist(), terms, first) for rows, terms, first in decontaminate._portions(iter([batch]), 4)]
+    assert sum((keys for keys, _, _ in got), []) == [1, None, 2, 3]
+    terms, first = decontaminate.terms_of([b"b a, c", None, b"", b"a b " * 50])
+    assert (np.concatenate([t for _, t, _ in got]) == terms).all() and [int(f[-1]) for _, _, f in got] == [3, 100]
