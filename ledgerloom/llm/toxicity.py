@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .shared import written
-from .words import as_bytes, chunks, mix
+from .words import Words, as_bytes, chunks, mix
 
 #: Words whose inputs a task remembers; then it starts anew.
 REMEMBERED = 150_000
@@ -130,6 +130,46 @@ class Network:
         logit = pooled @ self.p["out"] + self.p["bias"]
         return (logit, states, share, pooled, saved) if keep else logit
 
+    def read(self, table: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
+        """What ``run`` gives without ``keep``, for windows (T, n) of row numbers of a table of gate inputs. Numbers of one kind stand
+        together, a window being a column, and steps write over what they no longer need."""
+        h, (T, n) = self.shape.hidden, ids.shape
+        states, x = np.empty((T, 2 * h, n), np.float32), np.empty((n, 3 * h), np.float32)
+        gates, g, blend = np.empty((3 * h, n), np.float32), np.empty((3 * h, n), np.float32), np.empty((h, n), np.float32)
+        z, r, new = gates[:h], gates[h : 2 * h], gates[2 * h :]
+        for k, half, order in (("f", slice(0, h), range(T)), ("b", slice(h, 2 * h), range(T - 1, -1, -1))):
+            now, u = np.zeros((h, n), np.float32), np.ascontiguousarray(self.p[f"u{k}"].T)
+            for t in order:
+                np.take(table[k], ids[t], axis=0, out=x, mode="clip")
+                gates[:] = x.T
+                np.matmul(u, now, out=g)
+                both = gates[: 2 * h]
+                both += g[: 2 * h]
+                both *= np.float32(0.5)
+                np.tanh(both, out=both)
+                both += np.float32(1)
+                both *= np.float32(0.5)
+                r *= g[2 * h :]
+                new += r
+                np.tanh(new, out=new)
+                np.subtract(now, new, out=blend)
+                blend *= z
+                after = states[t, half]
+                np.add(new, blend, out=after)
+                if mask is not None:
+                    np.copyto(after, now, where=~mask[t])
+                now = after
+        score = np.matmul(self.p["attend"], states)
+        if mask is not None:
+            score = np.where(mask, score, np.float32(-1e9))
+        share = np.exp(score - score.max(axis=0))
+        share /= share.sum(axis=0)
+        pooled = np.zeros((2 * h, n), np.float32)
+        for t in range(T):
+            states[t] *= share[t]
+            pooled += states[t]
+        return self.p["out"] @ pooled + self.p["bias"]
+
     def gradients(self, dlogit: np.ndarray, mask: np.ndarray, kept: tuple) -> tuple[dict, dict]:
         """Gradients of the weights, and of the gate inputs by direction, (n, T, 3h)."""
         _, states, share, pooled, saved = kept
@@ -254,66 +294,69 @@ def _logits(net: Network, vectors: np.ndarray, windows: np.ndarray, block: int =
     return _by_table(net, table, windows, block)
 
 
-def _by_table(net: Network, table: dict[str, np.ndarray], windows: np.ndarray, block: int = 4096) -> np.ndarray:
-    out = []
-    for k in range(0, len(windows), block):
-        ids = np.ascontiguousarray(windows[k : k + block].T)
-        mask = (ids > 0).T
-        out.append(net.run(lambda d, t: table[d][ids[t]], None if mask.all() else mask))
-    return np.concatenate(out) if out else np.zeros(0, np.float32)
+def _by_table(net: Network, table: dict[str, np.ndarray], windows: np.ndarray, block: int = 1024) -> np.ndarray:
+    out = np.zeros(len(windows), np.float32)
+    # Windows with places left over are read with a mask, the others without.
+    full = windows[:, -1] > 0 if len(windows) else np.zeros(0, bool)
+    for some in (np.flatnonzero(full), np.flatnonzero(~full)):
+        for k in range(0, len(some), block):
+            part = some[k : k + block]
+            ids = np.ascontiguousarray(windows[part].T)
+            out[part] = net.read(table, ids, None if full[part[0]] else ids > 0)
+    return out
 
 
 class Scorer:
-    """Scores of whole texts; remembers gate inputs of words."""
+    """Scores of whole texts; remembers gate inputs of words, which are told apart by 64-bit hashes."""
 
     def __init__(self, net: Network):
-        self.net, self.size = net, 0
+        self.net = net
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {b"": 0}
-        word, chars, bounds = self.net.inputs([b""])
-        self.table = self._gates(word, chars, bounds)
+        self.known, self.row = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.table = self._gates([b""])
 
-    def _gates(self, word, chars, bounds) -> dict[str, np.ndarray]:
-        x = self.net.vectors(word, chars, bounds)
+    def _gates(self, words: list[bytes]) -> dict[str, np.ndarray]:
+        x = self.net.vectors(*self.net.inputs(words))
         return {k: x @ self.net.p[f"x{k}"] + self.net.p[f"c{k}"] for k in "fb"}
 
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
+    def _rows(self, words: Words) -> np.ndarray:
+        """Rows of the table for all words, those of new words included; row 0 is no word."""
+        every, first, at = np.unique(words.hashes(words.starts, words.ends), return_index=True, return_inverse=True)
+        while True:
+            place = self.known.searchsorted(every)
+            new = np.ones(len(every), bool)
+            if len(self.known):
+                new = self.known[np.minimum(place, len(self.known) - 1)] != every
+            if not len(self.known) or len(self.known) + new.sum() <= REMEMBERED:
+                break
             self._reset()
-        for w in words:
-            self.known.setdefault(w, len(self.known))
-        new = self._gates(*self.net.inputs(words))
-        self.table = {k: np.concatenate([self.table[k], new[k]]) for k in "fb"}
+        if new.any():
+            buffer, chosen = words.buffer.tobytes(), first[new]
+            gates = self._gates([buffer[a:b] for a, b in zip(words.starts[chosen].tolist(), words.ends[chosen].tolist())])
+            row = len(self.table["f"]) + np.arange(len(chosen), dtype=np.int32)
+            self.known, self.row = np.insert(self.known, place[new], every[new]), np.insert(self.row, place[new], row)
+            self.table = {k: np.concatenate([self.table[k], gates[k]]) for k in "fb"}
+        return self.row[self.known.searchsorted(every)][at]
 
     def scores(self, texts: Sequence[bytes | None]) -> np.ndarray:
         s = self.net.shape
-        split = [t.lower().split() if t else [] for t in texts]
-        every = set().union(*split) if split else set()
-        missing = [w for w in every if w not in self.known]
-        if missing:
-            if len(self.known) + len(missing) > REMEMBERED:
-                self._reset()
-                missing = list(every - {b""})
-            self._learn(sorted(missing))
-        get = self.known.__getitem__
-        flat = np.fromiter((i for w in split for i in map(get, w)), np.int32)
-        at = np.cumsum([0, *map(len, split)])
-        counts, heads, sizes = [], [], []
-        for i, w in enumerate(split):
-            mine = starts(len(w), s.window, s.stride) if w else []
-            counts.append(len(mine))
-            heads += [at[i] + a for a in mine]
-            sizes += [min(len(w), s.window)] * len(mine)
+        words = Words([t.lower() if t else t for t in texts])
         out = np.zeros(len(texts))
-        if heads:
+        if len(words):
+            flat, n = self._rows(words), words.counts
+            # A text of more words than a window has one every ``stride`` words, and one that ends with it.
+            wide = np.maximum(n - s.window, 0)
+            many = np.where(n > 0, -(-wide // s.stride) + 1, 0)
+            of = np.repeat(np.arange(len(n)), many)
+            heads = words.first[:-1][of] + np.minimum((np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)) * s.stride, wide[of])
             places = np.arange(s.window)
-            ids = flat[np.minimum(np.array(heads)[:, None] + places, len(flat) - 1)]
-            ids[places >= np.array(sizes)[:, None]] = 0
+            ids = flat[np.minimum(heads[:, None] + places, len(flat) - 1)]
+            ids[places >= n[of, None]] = 0
             logit = _by_table(self.net, self.table, ids)
-            have = np.flatnonzero(counts)
-            first = np.concatenate(([0], np.cumsum(counts)[:-1]))[have]
+            have = np.flatnonzero(many)
+            first = (np.cumsum(many) - many)[have]
             out[have] = _sigmoid(np.maximum.reduceat(logit.astype(float), first))
         return out
 

@@ -93,3 +93,26 @@ def test_the_fit_is_bounded_by_bytes(spark):
     less = toxicity.train(df, labels, shape=SMALL, sample_bytes=1 << 14)
     assert not np.array_equal(net.p["out"], less.p["out"])
     assert toxicity.train(df, labels, shape=SMALL, sample_bytes=64) is None
+
+
+def test_scores_are_those_of_every_window_alone(monkeypatch):
+    """Windows are read in blocks of columns, with a mask only where places are left over; the table of words starts anew in between."""
+    net, rng = toxicity.Network(SMALL, 3), random.Random(5)
+    plain = [f"{rng.choice('abc')}{k}".encode() for k in range(300)]
+    texts = [None, b"", b" \n", b"One", b"\tone\x0bTWO\r\n"] + [b" ".join(rng.choice(plain) for _ in range(rng.randrange(1, 40))) for _ in range(200)]
+    masks, real = [], toxicity.Network.read
+    monkeypatch.setattr(toxicity.Network, "read", lambda net, table, ids, mask: masks.append((mask is None, (ids > 0).all())) or real(net, table, ids, mask))
+    monkeypatch.setattr(toxicity, "REMEMBERED", 250)
+    scorer = toxicity.Scorer(net)
+    got = np.concatenate([scorer.scores(texts[k : k + 50]) for k in range(0, len(texts), 50)])
+    assert {m for m, _ in masks} == {True, False} and all(m == whole for m, whole in masks)
+    for text, score in zip(texts, got):
+        words = (text or b"").lower().split()
+        worst = 0.0
+        for a in toxicity.starts(len(words), SMALL.window, SMALL.stride) if words else []:
+            here = words[a : a + SMALL.window]
+            ids = np.array([[*range(1, len(here) + 1), *[0] * (SMALL.window - len(here))]])
+            x = net.vectors(*net.inputs([b"", *here]))
+            gates = {k: (x @ net.p[f"x{k}"] + net.p[f"c{k}"])[ids] for k in "fb"}
+            worst = max(worst, float(toxicity._sigmoid(net.run(lambda k, t: gates[k][:, t], ids > 0, keep=True)[0].astype(float))[0]))
+        assert abs(score - worst) < 1e-6
