@@ -5,7 +5,8 @@ with more than ``HOT_ROWS`` rows in any table are found by an exact count (see `
 against the top revision that the count has found, and joined in blocks; all other keys take one window and the plain joins.
 
 Order.  A record key has eight columns, mostly text.  Rows are sorted by a hash of the key before the key itself, so that one
-number decides most comparisons of the window and of the joins.
+number decides most comparisons of the window.  The join chain goes by two independent 64-bit hashes of the key, 128 bits together, in
+place of it: only the left-most table carries the key itself through shuffles, sorts and what they spill.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .heavy import HeavyKeys, heavy_keys
 HOT_ROWS = 2_000_000
 # Hash of the record key, first in sorts and joins.
 HASH = "__hash"
+# A second one, independent of the first: together they stand for the key.
+HASH2 = "__hash2"
 # Read alone when heavy keys are looked for.
 FRONT = (K.COMPANY,)
 
@@ -61,17 +64,19 @@ def hashed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(HASH, F.xxhash64(*keys))
 
 
-def _hashed_alike(tables: Mapping[str, DataFrame], keys: Sequence[str]) -> tuple[dict[str, DataFrame], list[str]]:
-    """The tables with ``HASH`` and it in front of the keys; as they were where equal keys of other types would hash to others."""
+def _by_hashes(tables: Mapping[str, DataFrame], base: str, keys: Sequence[str]) -> tuple[dict[str, DataFrame], list[str]]:
+    """The tables with ``HASH`` and ``HASH2`` and what they are joined on: these, without the key in all tables but ``base``.  Keys have no
+    NULL part.  Where equal keys of other types would hash to others, the tables are as they were and joined on the key."""
     types = {tuple(df.schema[k].dataType for k in keys) for df in tables.values()}
     if len(types) > 1:
         return dict(tables), list(keys)
-    return {name: hashed(df, keys) for name, df in tables.items()}, [HASH, *keys]
+    both = {name: hashed(df, keys).withColumn(HASH2, F.xxhash64(F.lit(HASH2), *keys)) for name, df in tables.items()}
+    return {name: df if name == base else df.drop(*keys) for name, df in both.items()}, [HASH, HASH2]
 
 
 def selective_first(keys: Sequence[str]) -> list[str]:
     """The same keys, company ids in front: a sort then mostly decides on its first column."""
-    return H.selective_first(keys, (HASH, K.SERIES_ID, K.COMPANY))
+    return H.selective_first(keys, (HASH, HASH2, K.SERIES_ID, K.COMPANY))
 
 
 def join_no_dup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
@@ -106,9 +111,10 @@ def join_statements(
     hows = {name: "inner" if rank == name else "left" for name in others}
 
     def chain(rows: Mapping[str, DataFrame]) -> DataFrame:
-        rows, on = _hashed_alike(rows, keys)
+        rows, on = _by_hashes(rows, base, keys)
         tops = {name: H.ranked_window(df, selective_first(on), revision) if name in ranked else df for name, df in rows.items()}
-        return reduce(lambda out, name: join_no_dup(out, tops[name], on, hows[name]), others, tops[base]).drop(HASH)
+        out = reduce(lambda out, name: join_no_dup(out, tops[name], on, hows[name]), others, tops[base]).drop(HASH, HASH2)
+        return out.select(*keys, *[c for c in out.columns if c not in keys]) if others else out
 
     if heavy is None:
         out = chain(complete)

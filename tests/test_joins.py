@@ -232,3 +232,27 @@ def test_selected_columns_count_the_company_first(spark, monkeypatch):
     monkeypatch.setattr(joins, "heavy_keys", recorded)
     joins.join_and_select({"is": keyed(spark, DATA, "v"), "cr": keyed(spark, DATA, "w")}, None, ["is.REVISION_ID", "w"])
     assert fronts == [(K.COMPANY,)]
+
+
+def test_only_the_base_carries_the_key_through_the_chain(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", -1)
+    key = ["a", "b"]
+    values = [("ab", "c"), ("a", "bc"), ("", "abc"), ("abc", ""), (None, "abc"), ("x", "y")]
+    base = spark.createDataFrame([(*k, r, f"l{i}") for i, k in enumerate(values) for r in (1, 2)], "a string, b string, REVISION_ID int, v string")
+    others = {n: spark.createDataFrame([(*k, r, f"{n}{i}{r}", "no") for i, k in enumerate(values[:5]) for r in (2, 3, 3)], f"a string, b string, REVISION_ID int, {n} string, v string") for n in ("cr", "bs")}
+    for rank in ("all", "none", "cr"):
+        out = joins.join_statements({"is": base, **others}, rank=rank, keys=key)
+        assert out.columns == ["a", "b", "REVISION_ID", "v", "cr", "bs"]
+        found = []
+        nodes = [out._jdf.queryExecution().optimizedPlan()]
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(i) for i in range(node.children().size())]
+            if node.nodeName() == "Join":
+                found.append(node.right().output().mkString(" ").split())
+        assert len(found) == 2 and all({c.split("#")[0] for c in names} == {joins.HASH, joins.HASH2, n} for names, n in zip(found, ("bs", "cr")))
+        matched = [r for r in out.collect() if r.cr]
+        assert {(r.a, r.b, r.v[1:], r.cr[2], r.bs[2]) for r in matched} == {(*k, str(i), str(i), str(i)) for i, k in enumerate(values[:4])}
+        # Revisions of the base, times the ties or rows of both others.
+        assert len(matched) == 4 * {"all": 1 * 2 * 2, "none": 2 * 3 * 3, "cr": 2 * 2 * 3}[rank]
+        assert sum(r.cr is None for r in out.collect()) == {"all": 2, "none": 4, "cr": 0}[rank]
