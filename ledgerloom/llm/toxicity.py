@@ -121,54 +121,50 @@ class Network:
                 if keep:
                     saved[k, t] = now, z, r, new, g[:, 2 * h :]
                 now = states[t][:, half] = after
-        score = states @ self.p["attend"]
-        if mask is not None:
-            score = np.where(mask.T, score, -1e9)
-        share = np.exp(score - score.max(axis=0))
-        share /= share.sum(axis=0)
-        pooled = np.einsum("tn,tnh->nh", share, states)
-        logit = pooled @ self.p["out"] + self.p["bias"]
+        logit, share, pooled = self._pooled(states, None if mask is None else mask.T)
         return (logit, states, share, pooled, saved) if keep else logit
 
     def read(self, table: dict[str, np.ndarray], ids: np.ndarray, mask: np.ndarray | None) -> np.ndarray:
         """What ``run`` gives without ``keep``, for windows (T, n) of row numbers of a table of gate inputs. Numbers of one kind stand
         together, a window being a column, and steps write over what they no longer need."""
         h, (T, n) = self.shape.hidden, ids.shape
-        states, x = np.empty((T, 2 * h, n), np.float32), np.empty((n, 3 * h), np.float32)
-        gates, g, blend = np.empty((3 * h, n), np.float32), np.empty((3 * h, n), np.float32), np.empty((h, n), np.float32)
-        z, r, new = gates[:h], gates[h : 2 * h], gates[2 * h :]
+        states, x = np.empty((T, n, 2 * h), np.float32), np.empty((n, 3 * h), np.float32)
+        g, gates, own, after = np.empty((n, 3 * h), np.float32), np.empty((3 * h, n), np.float32), np.empty((h, n), np.float32), np.empty((h, n), np.float32)
+        both, z, r, new = gates[: 2 * h], gates[:h], gates[h : 2 * h], gates[2 * h :]
         for k, half, order in (("f", slice(0, h), range(T)), ("b", slice(h, 2 * h), range(T - 1, -1, -1))):
-            now, u = np.zeros((h, n), np.float32), np.ascontiguousarray(self.p[f"u{k}"].T)
+            now, u = np.zeros((h, n), np.float32), self.p[f"u{k}"]
             for t in order:
                 np.take(table[k], ids[t], axis=0, out=x, mode="clip")
-                gates[:] = x.T
-                np.matmul(u, now, out=g)
-                both = gates[: 2 * h]
-                both += g[: 2 * h]
+                # This way round the product is rounded like that of ``run``.
+                np.matmul(now.T, u, out=g)
+                new[:], own[:] = x[:, 2 * h :].T, g[:, 2 * h :].T
+                x += g
+                both[:] = x[:, : 2 * h].T
                 both *= np.float32(0.5)
                 np.tanh(both, out=both)
                 both += np.float32(1)
                 both *= np.float32(0.5)
-                r *= g[2 * h :]
+                r *= own
                 new += r
                 np.tanh(new, out=new)
-                np.subtract(now, new, out=blend)
-                blend *= z
-                after = states[t, half]
-                np.add(new, blend, out=after)
+                np.subtract(now, new, out=after)
+                after *= z
+                after += new
                 if mask is not None:
                     np.copyto(after, now, where=~mask[t])
-                now = after
-        score = np.matmul(self.p["attend"], states)
+                states[t, :, half] = after.T
+                now, after = after, now
+        return self._pooled(states, mask)[0]
+
+    def _pooled(self, states: np.ndarray, mask: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores from the states (T, n, 2h) of windows, their shares and what was pooled by them; ``mask`` (T, n)."""
+        score = states @ self.p["attend"]
         if mask is not None:
-            score = np.where(mask, score, np.float32(-1e9))
+            score = np.where(mask, score, -1e9)
         share = np.exp(score - score.max(axis=0))
         share /= share.sum(axis=0)
-        pooled = np.zeros((2 * h, n), np.float32)
-        for t in range(T):
-            states[t] *= share[t]
-            pooled += states[t]
-        return self.p["out"] @ pooled + self.p["bias"]
+        pooled = np.einsum("tn,tnh->nh", share, states)
+        return pooled @ self.p["out"] + self.p["bias"], share, pooled
 
     def gradients(self, dlogit: np.ndarray, mask: np.ndarray, kept: tuple) -> tuple[dict, dict]:
         """Gradients of the weights, and of the gate inputs by direction, (n, T, 3h)."""
@@ -294,16 +290,13 @@ def _logits(net: Network, vectors: np.ndarray, windows: np.ndarray, block: int =
     return _by_table(net, table, windows, block)
 
 
-def _by_table(net: Network, table: dict[str, np.ndarray], windows: np.ndarray, block: int = 1024) -> np.ndarray:
-    out = np.zeros(len(windows), np.float32)
-    # Windows with places left over are read with a mask, the others without.
-    full = windows[:, -1] > 0 if len(windows) else np.zeros(0, bool)
-    for some in (np.flatnonzero(full), np.flatnonzero(~full)):
-        for k in range(0, len(some), block):
-            part = some[k : k + block]
-            ids = np.ascontiguousarray(windows[part].T)
-            out[part] = net.read(table, ids, None if full[part[0]] else ids > 0)
-    return out
+def _by_table(net: Network, table: dict[str, np.ndarray], windows: np.ndarray, block: int = 4096) -> np.ndarray:
+    out = []
+    for k in range(0, len(windows), block):
+        ids = np.ascontiguousarray(windows[k : k + block].T)
+        mask = ids > 0
+        out.append(net.read(table, ids, None if mask.all() else mask))
+    return np.concatenate(out) if out else np.zeros(0, np.float32)
 
 
 class Scorer:
@@ -329,13 +322,17 @@ class Scorer:
             new = np.ones(len(every), bool)
             if len(self.known):
                 new = self.known[np.minimum(place, len(self.known) - 1)] != every
-            if not len(self.known) or len(self.known) + new.sum() <= REMEMBERED:
+            if not len(self.known) or len(self.known) + 1 + new.sum() <= REMEMBERED:
                 break
             self._reset()
         if new.any():
             buffer, chosen = words.buffer.tobytes(), first[new]
-            gates = self._gates([buffer[a:b] for a, b in zip(words.starts[chosen].tolist(), words.ends[chosen].tolist())])
-            row = len(self.table["f"]) + np.arange(len(chosen), dtype=np.int32)
+            named = [buffer[a:b] for a, b in zip(words.starts[chosen].tolist(), words.ends[chosen].tolist())]
+            # In the order of the words: how a row of a product is rounded depends on its place.
+            order = sorted(range(len(named)), key=named.__getitem__)
+            gates = self._gates([named[i] for i in order])
+            row = np.empty(len(order), np.int32)
+            row[order] = len(self.table["f"]) + np.arange(len(order), dtype=np.int32)
             self.known, self.row = np.insert(self.known, place[new], every[new]), np.insert(self.row, place[new], row)
             self.table = {k: np.concatenate([self.table[k], gates[k]]) for k in "fb"}
         return self.row[self.known.searchsorted(every)][at]

@@ -96,7 +96,7 @@ def test_the_fit_is_bounded_by_bytes(spark):
 
 
 def test_scores_are_those_of_every_window_alone(monkeypatch):
-    """Windows are read in blocks of columns, with a mask only where places are left over; the table of words starts anew in between."""
+    """Windows are read in blocks of columns, with a mask where places are left over; the table of words starts anew in between."""
     net, rng = toxicity.Network(SMALL, 3), random.Random(5)
     plain = [f"{rng.choice('abc')}{k}".encode() for k in range(300)]
     texts = [None, b"", b" \n", b"One", b"\tone\x0bTWO\r\n"] + [b" ".join(rng.choice(plain) for _ in range(rng.randrange(1, 40))) for _ in range(200)]
@@ -104,6 +104,7 @@ def test_scores_are_those_of_every_window_alone(monkeypatch):
     monkeypatch.setattr(toxicity.Network, "read", lambda net, table, ids, mask: masks.append((mask is None, (ids > 0).all())) or real(net, table, ids, mask))
     monkeypatch.setattr(toxicity, "REMEMBERED", 250)
     scorer = toxicity.Scorer(net)
+    texts += [b" ".join(plain[:20])] * (50 - len(texts) % 50) + [b" ".join(plain[k : k + 9]) for k in range(50)]
     got = np.concatenate([scorer.scores(texts[k : k + 50]) for k in range(0, len(texts), 50)])
     assert {m for m, _ in masks} == {True, False} and all(m == whole for m, whole in masks)
     for text, score in zip(texts, got):
